@@ -51,9 +51,12 @@ HINT = r"\d|[Tt]he (?:following|next|previous) "
 
 def find_mentions(text: Column) -> Column:
     """``array<struct<date_text, start_pos, end_pos>>`` in reading order, character positions."""
-    # One more gap than hits: the text after the last hit pairs with NULL.
+    # Only the lengths of the gaps between hits matter, so hits are replaced by a control
+    # character and split there: a pattern given to split() would be compiled per row. One
+    # more gap than hits: the text after the last hit pairs with NULL.
+    marked = F.regexp_replace(F.translate(text, "\x01", "\x02"), SCAN, "\x01")
     pairs = F.arrays_zip(
-        F.split(text, SCAN, -1).alias("gap"), F.regexp_extract_all(text, F.lit(SCAN), F.lit(0)).alias("hit")
+        F.split(marked, "\x01", -1).alias("gap"), F.regexp_extract_all(text, F.lit(SCAN), F.lit(0)).alias("hit")
     )
     start = F.struct(
         F.lit(0).alias("pos"),
@@ -77,16 +80,22 @@ def with_mention_op(df: DataFrame, text: str = "date_text", out: str = "_op") ->
     name M, so a handful of pattern matches serves all forms.
     """
     t = F.col(text)
+
+    def nth_number(i):
+        digits = F.regexp_extract(t, r"^\D*" + r"\d+\D+" * i + r"(\d+)", 1)
+        # NULL costs nothing to cast; a string without digits costs an exception.
+        return F.nullif(digits, F.lit("")).try_cast("bigint")
+
     month_name = F.regexp_extract(t, rf"\b{_MONTH}\b", 1)
     parts = F.struct(
         F.regexp_replace(F.regexp_replace(t, r"\d", "9"), rf"\b{_MONTH}\b", "M").alias("shape"),
-        F.transform(F.regexp_extract_all(t, F.lit(r"\d+"), F.lit(0)), lambda n: n.try_cast("bigint")).alias("n"),
+        *[nth_number(i).alias(f"n{i}") for i in range(3)],
         F.array_position(F.array(*[F.lit(m) for m in MONTHS]), month_name).cast("bigint").alias("month"),
     )
-    shape, n, month = F.col("_p.shape"), F.col("_p.n"), F.col("_p.month")
+    shape, month = F.col("_p.shape"), F.col("_p.month")
 
     def number(i):
-        return F.get(n, F.lit(i))
+        return F.col(f"_p.n{i}")
 
     kind = (
         F.when(shape.isin("9 M 9999", "99 M 9999"), "day_month_year")
@@ -104,65 +113,75 @@ def with_mention_op(df: DataFrame, text: str = "date_text", out: str = "_op") ->
     )
     unit = F.regexp_extract(shape, "(day|month|year)", 1)
     back = shape.endswith("earlier") | shape.contains(" previous ")
+    form = F.col("_kind")
     fields = F.struct(
-        kind.alias("kind"),
+        form.alias("kind"),
         F.coalesce(number(0), F.lit(0)).alias("n"),
         F.coalesce(number(1), F.lit(0)).alias("minutes"),
-        F.when(kind.isin("day_month_year", "month_day_year"), number(1))
-        .when(kind == "bc", 1 - number(0))
-        .when(kind == "century", (number(0) - 1) * 100 + 1)
-        .when(kind == "partial", F.lit(2000))  # has a 29 February; the fold decides
+        F.when(form.isin("day_month_year", "month_day_year"), number(1))
+        .when(form == "bc", 1 - number(0))
+        .when(form == "century", (number(0) - 1) * 100 + 1)
+        .when(form == "partial", F.lit(2000))  # has a 29 February; the fold decides
         .otherwise(number(0))
         .alias("y"),
-        F.when(kind == "iso", number(1)).when(month > 0, month).otherwise(F.lit(1)).alias("m"),
-        F.when(kind == "iso", number(2))
-        .when(kind.isin("day_month_year", "month_day_year", "partial"), number(0))
+        F.when(form == "iso", number(1))
+        .when(form.isin("day_month_year", "month_day_year", "month_year", "partial"), month)
+        .otherwise(F.lit(1))
+        .alias("m"),
+        F.when(form == "iso", number(2))
+        .when(form.isin("day_month_year", "month_day_year", "partial"), number(0))
         .otherwise(F.lit(1))
         .alias("d"),
-        F.when(kind.isin("day_month_year", "month_day_year", "iso"), "day")
-        .when(kind == "month_year", "month")
-        .when(kind.isin("decade", "century"), kind)
-        .when(kind.isin("bc", "year"), "year")
-        .when(kind.isin("offset", "neighbour"), unit)
+        F.when(form.isin("day_month_year", "month_day_year", "iso"), "day")
+        .when(form == "month_year", "month")
+        .when(form.isin("decade", "century"), form)
+        .when(form.isin("bc", "year"), "year")
+        .when(form.isin("offset", "neighbour"), unit)
         .alias("grain"),
         F.when(back, -1).otherwise(1).alias("sign"),
     )
     f = {c: F.col(f"_f.{c}") for c in ("kind", "n", "minutes", "y", "m", "d", "grain", "sign")}
-    length = days_in_month(f["y"], f["m"])
-    exists = f["m"].between(1, 12) & (f["d"] >= 1) & (f["d"] <= length)
-    years = F.when(f["grain"] == "century", 100).when(f["grain"] == "decade", 10).otherwise(1)
-    begin = epoch(f["y"], f["m"], f["d"])
-    end = (
-        F.when(f["grain"] == "day", begin + DAY - 1)
-        .when(f["grain"] == "month", begin + length * DAY - 1)
-        .otherwise(epoch(f["y"] + years, F.lit(1), F.lit(1)) - 1)
-    )
+    exists = f["m"].between(1, 12) & (f["d"] >= 1) & (f["d"] <= F.col("_days"))
     clock = (f["n"] < 24) & (f["minutes"] < 60)
     op = (
         F.when(f["kind"].isNull(), "fail")
-        .when(f["kind"] == "partial", F.when(exists, "fix"))
-        .when(f["kind"] == "clock", F.when(clock, "clock"))
+        .when(f["kind"] == "clock", F.when(clock, "clock").otherwise("fail"))
         .when(f["kind"].isin("offset", "neighbour"), "shift")
-        .when(f["kind"].isin("bc", "century"), F.when(f["n"] >= 1, "set"))
-        .when(exists, "set")
+        .when(~exists | (f["kind"].isin("bc", "century") & (f["n"] < 1)), "fail")
+        .when(f["kind"] == "partial", "fix")
+        .otherwise("set")
+    )
+    years = F.when(f["grain"] == "century", 100).when(f["grain"] == "decade", 10).otherwise(1)
+    name, begin = F.col("_name"), F.col("_begin")
+    end = (
+        F.when(f["grain"] == "day", begin + DAY - 1)
+        .when(f["grain"] == "month", begin + F.col("_days") * DAY - 1)
+        .otherwise(F.col("_next") - 1)
     )
     amount = F.when(f["kind"] == "neighbour", 1).otherwise(f["n"]) * f["sign"]
     result = F.struct(
-        F.coalesce(op, F.lit("fail")).alias("op"),
-        F.when(op == "set", begin).when(op == "fix", f["m"]).when(op == "shift", amount)
-        .when(op == "clock", f["n"] * 3600 + f["minutes"] * 60).cast("bigint").alias("a"),
-        F.when(op == "set", end).when(op == "fix", f["d"]).cast("bigint").alias("b"),
-        F.when(op.isin("set", "shift"), f["grain"]).alias("grain"),
+        name.alias("op"),
+        F.when(name == "set", begin).when(name == "fix", f["m"]).when(name == "shift", amount)
+        .when(name == "clock", f["n"] * 3600 + f["minutes"] * 60).cast("bigint").alias("a"),
+        F.when(name == "set", end).when(name == "fix", f["d"]).cast("bigint").alias("b"),
+        F.when(name.isin("set", "shift"), f["grain"]).alias("grain"),
     )
-    for name, step in (("_p", parts), ("_f", fields), (out, result)):
-        df = _computed_once(df, step, name)
-    return df.drop("_p", "_f")
-
-
-def _computed_once(df: DataFrame, value: Column, name: str) -> DataFrame:
-    """``withColumn`` that later filters cannot be merged into. Filters pushed through the
-    steps would carry a copy of all of them for every field they read."""
-    return df.select("*", F.explode(F.array(value)).alias(name))
+    steps = {
+        "_p": parts,
+        "_kind": kind,
+        "_f": fields,
+        "_days": days_in_month(f["y"], f["m"]),
+        "_name": F.coalesce(op, F.lit("fail")),
+        "_begin": epoch(f["y"], f["m"], f["d"]),
+        "_next": epoch(f["y"] + years, F.lit(1), F.lit(1)),
+        "_r": result,
+    }
+    # Small steps keep the generated code below the size at which the JVM stops compiling it.
+    for step, value in steps.items():
+        df = df.withColumn(step, value)
+    # The generator keeps later filters from being pushed into the steps, where each filter
+    # would carry a copy of all of them for every field it reads.
+    return df.select("*", F.explode(F.array("_r")).alias(out)).drop(*steps)
 
 
 def sentence_around(text: Column, start_pos: Column, end_pos: Column, limit: int = 500) -> Column:

@@ -30,8 +30,8 @@ BOILERPLATE = ("References", "External_links", "Bibliography", "Citations")
 # HTML void elements; elements whose text is not part of the page text.
 VOID = set("area base basefont bgsound br col command embed frame hr image img input isindex keygen "
            "link menuitem meta nextid param source spacer track wbr".split())
-UNREAD = {"script", "style", "template", "rt", "rp"}
-KEPT_WHITESPACE = {"pre", "textarea"}
+UNREAD = ("script", "style", "template", "rt", "rp")
+KEPT_WHITESPACE = ("pre", "textarea")
 ENDS_PARAGRAPH = {"p", "div", "section", "article", "ul", "ol", "dl", "table", "blockquote", "h1", "h2", "h3", "h4",
                   "h5", "h6", "footer", "nav"}
 
@@ -44,9 +44,13 @@ class _Soup(HTMLParser):
         super().__init__(convert_charrefs=False)
         self.implied_p_end = implied_p_end
 
+    def updatepos(self, i, j):
+        return j  # source positions are not needed
+
     def read(self, markup: str) -> list:
         self.reset()
         self.nodes, self.open, self.text = [], [], []
+        self.depth = {}  # open elements by tag
         self.feed(markup)
         self.close()
         self._flush()
@@ -54,25 +58,32 @@ class _Soup(HTMLParser):
         return self.nodes
 
     def _close_to(self, depth: int) -> None:
+        end = len(self.nodes)
         for i in self.open[depth:]:
-            self.nodes[i][2] = len(self.nodes)
+            node = self.nodes[i]
+            node[2] = end
+            self.depth[node[0]] -= 1
         del self.open[depth:]
 
     def _close_tag(self, tag: str) -> None:
+        if not self.depth.get(tag):
+            return
         for depth in range(len(self.open) - 1, -1, -1):
             if self.nodes[self.open[depth]][0] == tag:
                 self._close_to(depth)
                 return
 
+    def _inside(self, tags: tuple) -> bool:
+        return any(self.depth.get(tag) for tag in tags)
+
     def _flush(self, plain: bool = True) -> None:
         if not self.text:
             return
         text = "".join(self.text)
         self.text = []
-        inside = {self.nodes[i][0] for i in self.open}
-        if not text.strip(" \n\t\f\r") and not inside & KEPT_WHITESPACE:
+        if not text.strip(" \n\t\f\r") and not self._inside(KEPT_WHITESPACE):
             text = "\n" if "\n" in text else " "
-        if plain and inside & UNREAD:
+        if plain and self._inside(UNREAD):
             return
         n = len(self.nodes)
         self.nodes.append([None, text, n + 1, self.open[-1] if self.open else -1])
@@ -83,6 +94,7 @@ class _Soup(HTMLParser):
             self._close_tag("p")
         self.nodes.append([tag, {k: v or "" for k, v in attrs}, 0, self.open[-1] if self.open else -1])
         self.open.append(len(self.nodes) - 1)
+        self.depth[tag] = self.depth.get(tag, 0) + 1
         if tag in VOID:
             self._close_to(len(self.open) - 1)
 

@@ -70,6 +70,9 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = customer.join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("c"), "c_name", "c_mktsegment", "n_name"
     )
+    # The exchange a join by customer needs anyway, with a fixed partition count: the few
+    # bytes of a small test table still give every core a share of the parsing.
+    people = people.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c")
     empty = F.array().cast(pages.schema["orders"].dataType)
     joined = people.join(pages, "c", "left").select(
         "c", "c_name", "c_mktsegment", "n_name",

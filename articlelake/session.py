@@ -24,7 +24,9 @@ def build_session(app: str = "articlelake", master: str | None = None, **conf: s
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # A fixed lower bound on splits keeps the layout of a text scan independent of
         # how many executors are alive when it is planned (see sources.lines).
-        "spark.sql.files.minPartitionNum": "1",
+        "spark.sql.files.minPartitionNum": "2000",
+        # The JVM does not compile methods above 8000 bytes; such plans run faster unfused.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)

@@ -7,7 +7,8 @@ import tarfile
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from ..session import broadcast_if_small
 
 BATCH_BYTES = 16 << 20
 _SCHEMA = "archive string, file_name string, dump_idx bigint, value string"
@@ -19,7 +20,7 @@ def _members(batches):
     for batch in batches:
         for path in batch.column(0).to_pylist():
             fs, inner = pafs.FileSystem.from_uri(path)
-            with fs.open_input_stream(inner) as raw, tarfile.open(fileobj=raw, mode="r|gz") as tar:
+            with fs.open_input_stream(inner, compression=None) as raw, tarfile.open(fileobj=raw, mode="r|gz") as tar:
                 for member in tar:
                     if not member.isfile():
                         continue
@@ -63,7 +64,8 @@ def read_archives(spark: SparkSession, path) -> DataFrame:
 
 def only_new_files(lines: DataFrame, known: DataFrame) -> DataFrame:
     """Drop members whose name is already present."""
-    return lines.join(known.select("file_name").distinct(), "file_name", "left_anti")
+    names = known.select("file_name").distinct()
+    return lines.join(broadcast_if_small(names), "file_name", "left_anti")
 
 
 def write_files(lines: DataFrame, path: str, compress: bool = False, mode: str = "append") -> None:
@@ -81,7 +83,7 @@ def write_files(lines: DataFrame, path: str, compress: bool = False, mode: str =
 
 def unpack(spark: SparkSession, archives: str, target: str, known: DataFrame | None = None) -> None:
     """Extract members not yet present in ``target``. Lines keep the order in which the
-    task reads them, so nothing is shuffled."""
+    task reads them, so no line is shuffled."""
     lines = read_archives(spark, archives)
     if known is not None:
         lines = only_new_files(lines, known)
