@@ -1,6 +1,6 @@
 """Article dumps derived from the relational tables, for queries and tests.
 
-One article per customer (and per million order keys, so no article grows without bound),
+One article per customer (and per 100,000 order keys, so no article grows without bound),
 holding all its orders. The expected results of the section and date jobs follow from the
 relations, so an oracle can compute them without parsing anything. See FIXTURES.md.
 """
@@ -17,8 +17,7 @@ from ..sources.archive import write_files
 
 AS_OF = datetime(2024, 1, 1)
 ARTICLES_PER_FILE = 200
-ORDERS_PER_PAGE = 1_000_000
-FILES_PER_PAGE = 100_000
+ORDERS_PER_PAGE = 100_000
 
 _written: dict[tuple[str, str], str] = {}
 
@@ -94,7 +93,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(items, ""),
         F.lit('</ul></section><section><h2 id="References">References</h2><p>removed in 1999</p></section></body></html>'),
     )
-    file_no = F.call_function("div", F.col("c"), F.lit(ARTICLES_PER_FILE)) + F.col("page") * FILES_PER_PAGE
+    file_no = F.call_function("div", F.col("c"), F.lit(ARTICLES_PER_FILE))
     title = F.when(F.col("page") == 0, F.col("c_name")).otherwise(
         F.concat("c_name", F.lit(" page "), F.col("page").cast("string"))
     )
@@ -102,7 +101,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c", "page", "c_name", "c_mktsegment", title.alias("title"),
         (file_no + 1).alias("dump_file_id"),
         F.concat(F.lit("dump_"), F.lpad((file_no + 1).cast("string"), 9, "0"), F.lit(".ndjson")).alias("file_name"),
-        (F.col("c") % ARTICLES_PER_FILE).alias("dump_idx"),
+        (F.col("c") % ARTICLES_PER_FILE + F.col("page") * ARTICLES_PER_FILE).alias("dump_idx"),
         html.alias("html"),
     )
 

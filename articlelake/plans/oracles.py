@@ -8,7 +8,7 @@ from __future__ import annotations
 
 _ORDERS = """
 o AS (
-  SELECT o_custkey AS c, o_orderkey // 1000000 AS page, o_orderkey AS key, 'K' || o_orderkey AS name,
+  SELECT o_custkey AS c, o_orderkey // 100000 AS page, o_orderkey AS key, 'K' || o_orderkey AS name,
     o_orderstatus AS status, o_orderpriority AS priority, o_orderdate::DATE AS d, year(o_orderdate) AS y,
     CASE o_orderkey % 8
       WHEN 0 THEN strftime(o_orderdate, '%-d %B %Y')
@@ -19,15 +19,15 @@ o AS (
       WHEN 5 THEN (year(o_orderdate) - year(o_orderdate) % 10) || 's'
       WHEN 6 THEN CASE WHEN year(o_orderdate) > 2000 THEN '21st century' ELSE '20th century' END
       ELSE year(o_orderdate) || ' BC' END AS date_text,
-    row_number() OVER (PARTITION BY o_custkey, o_orderkey // 1000000 ORDER BY o_orderkey) AS k
+    row_number() OVER (PARTITION BY o_custkey, o_orderkey // 100000 ORDER BY o_orderkey) AS k
   FROM orders),
 a AS (
   SELECT c_custkey AS c, coalesce(p.page, 0) AS page, c_name, n_name, c_mktsegment, coalesce(p.n, 0) AS n,
     CASE WHEN coalesce(p.page, 0) = 0 THEN c_name ELSE c_name || ' page ' || p.page END AS title,
-    c_custkey // 200 + coalesce(p.page, 0) * 100000 + 1 AS dump_file_id,
-    'dump_' || lpad((c_custkey // 200 + coalesce(p.page, 0) * 100000 + 1)::VARCHAR, 9, '0') || '.ndjson' AS file_name,
-    c_custkey % 200 AS dump_idx,
-    (c_custkey // 200 + coalesce(p.page, 0) * 100000 + 1) * 4294967296 + c_custkey % 200 AS article_id,
+    c_custkey // 200 + 1 AS dump_file_id,
+    'dump_' || lpad((c_custkey // 200 + 1)::VARCHAR, 9, '0') || '.ndjson' AS file_name,
+    c_custkey % 200 + 200 * coalesce(p.page, 0) AS dump_idx,
+    (c_custkey // 200 + 1) * 4294967296 + c_custkey % 200 + 200 * coalesce(p.page, 0) AS article_id,
     'https://wiki.example.org/wiki/' || c_custkey AS url
   FROM customer JOIN nation ON c_nationkey = n_nationkey
   LEFT JOIN (SELECT c, page, count(*) AS n FROM o GROUP BY ALL) p ON p.c = c_custkey)
@@ -243,6 +243,8 @@ ORACLES = {
         SELECT page_id, unnest(l) AS link, unnest(range(len(l))) AS n
         FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS l FROM pages))
       WHERE NOT starts_with(link, './File:') AND NOT contains(link, 'redlink=1')""",
+    "page_section_counts": """SELECT page_id, len(regexp_extract_all(html, '<p[ >]'))::BIGINT AS paragraphs,
+        len(regexp_extract_all(html, '<b>'))::BIGINT AS bold FROM pages""",
     "page_tag_counts": """SELECT tag, count(*) AS n,
         CASE WHEN tag IN ('h2','h3','h4','p','ul','ol','dl','li','dt','dd','table','th','td','a','b','strong','i','em',
           'blockquote','section','span','abbr','u','div','thead','tbody','tr','caption','body')

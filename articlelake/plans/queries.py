@@ -38,12 +38,13 @@ def _positions(spark, d) -> DataFrame:
 
 
 def _catalog(spark, d) -> DataFrame:
-    return _positions(spark, d).select(F.col("dump_file_id").alias("id"), "file_name").distinct()
+    files = _positions(spark, d).select(F.col("dump_file_id").alias("id"), "file_name").distinct()
+    return stage(files, "catalog")
 
 
 def _file_catalog(spark, d) -> DataFrame:
     listed = src.list_files(spark, corpus.dump_folder(spark, d), packed=True)
-    return src.upsert_catalog(src.empty_catalog(spark), listed)
+    return stage(src.upsert_catalog(src.empty_catalog(spark), listed), "catalog")
 
 
 def _file_lines(spark, d) -> DataFrame:
@@ -278,7 +279,8 @@ def boilerplate_removed(spark, d):
 
 
 def section_children(spark, d):
-    return sections.section_children(_parsed(spark, d), tuple(KEYS)).groupBy("title", "section_id", "tag").agg(
+    parsed = stage(_parsed(spark, d), "parsed")  # both sides of a self-join
+    return sections.section_children(parsed, tuple(KEYS)).groupBy("title", "section_id", "tag").agg(
         F.count(F.lit(1)).alias("children"), F.max("child_id").cast("bigint").alias("last_child")
     ).select("title", *_long("section_id"), "tag", "children", "last_child")
 
@@ -303,12 +305,22 @@ def page_tag_counts(spark, d):
     ).select("tag", "n", F.when(name.isin(*kept), "walked").otherwise("dropped").alias("handling"))
 
 
-def page_sections(spark, d):
+def _page_sections(spark, d) -> DataFrame:
     pages = table(spark, d, "pages")
-    parsed = sections.parse_sections(
+    return sections.parse_sections(
         pages, ["page_id"], title="url", extra_containers=("article", "main"), implied_p_end=True
     )
-    return sections.section_rows(parsed, ("page_id",)).drop("overflow")
+
+
+def page_sections(spark, d):
+    return sections.section_rows(_page_sections(spark, d), ("page_id",)).drop("overflow")
+
+
+def page_section_counts(spark, d):
+    return _page_sections(spark, d).groupBy("page_id").agg(
+        F.count_if(F.col("tag") == "PARAGRAPH").alias("paragraphs"),
+        F.sum(F.size(F.filter("spans", lambda s: s["format"] == "b"))).alias("bold"),
+    )
 
 
 # Events --------------------------------------------------------------------------------
@@ -507,7 +519,7 @@ QUERIES = {
         text_chunks, section_full_text, document_chunks_roundtrip, unparsed_sections, mark_sections_parsed,
         strip_citations, length_violations, section_rows, headings, paragraphs, list_items, table_cells, format_spans,
         link_filter, boilerplate_removed, section_children, section_id_contiguity, page_links, page_tag_counts,
-        page_sections, date_mentions, event_sentences, date_intervals, resolve_dates_article, resolve_dates_section,
+        page_sections, page_section_counts, date_mentions, event_sentences, date_intervals, resolve_dates_article, resolve_dates_section,
         unresolved_events, events_writeback, date_failure_context, articles_without_dates, title_search,
         title_search_wildcards, redirect_resolve, title_search_ai_ci, title_token_search, article_with_dump,
         articles_to_parse, refresh_articles, article_detail, article_parse_stats, duplicate_keys, orphan_rows, flagship,

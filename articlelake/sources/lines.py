@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import DUMP_FILE
-from ..session import broadcast_if_small, fits_broadcast, stage
+from ..session import broadcast_if_small, stage
 
 # Split descriptors are ~100 bytes; two million of them cover 250 TB of default splits.
 MAX_BROADCAST_SPLITS = 2_000_000
@@ -162,7 +162,6 @@ def lines_at(lines: DataFrame, articles: DataFrame) -> DataFrame:
     keys = articles.where("dump_file_id is not null").select(
         F.col("id").alias("article_id"), "dump_file_id", "dump_idx"
     )
-    hinted = F.broadcast(keys) if fits_broadcast(keys) else keys
-    return lines.join(hinted, ["dump_file_id", "dump_idx"]).select(
+    return lines.join(broadcast_if_small(stage(keys, "keys")), ["dump_file_id", "dump_idx"]).select(
         "article_id", "dump_file_id", "file_name", "dump_idx", "value"
     )

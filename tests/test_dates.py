@@ -128,6 +128,35 @@ def test_chain_crosses_arrow_batches(spark):
     assert last == seconds(2001, 5, 1) + (n - 1) * DAY
 
 
+def test_one_chain_over_many_partitions(spark):
+    """A single article with all mentions; partitions start with failures and shifts."""
+    import random
+
+    rng = random.Random(7)
+    texts = ["1 day later", "1 day later", "the following month", "bad date", "3 years earlier", "29 February"]
+    rows = [(1, i, 0, rng.choice(texts) if rng.random() < 0.97 else f"{rng.randint(1, 28)} May {1900 + i % 100}") for i in range(600)]
+    rows += [(2, 0, 0, "1 day later"), (3, 0, 0, "bad date"), (3, 1, 0, "1 day later")]
+    events = spark.createDataFrame(rows, "article_id bigint, section_id int, start_pos int, date_text string")
+    op_of = {r.date_text: tuple(r._op) for r in with_mention_op(events.select("date_text").distinct()).collect()}
+    want, reference, last = {}, None, None
+    for article, section, _, text in sorted(rows):
+        if article != last:
+            reference, last = (seconds(2024, 1, 1), "day"), article
+        result = apply_op(reference, *op_of[text])
+        reference = (result[0], result[2]) if result else reference
+        want[article, section] = result[:2] if result else (None, None)
+    keys = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
+    spark.conf.set(keys[0], "false")
+    spark.conf.set(keys[1], "40")
+    try:
+        got = resolve_dates(events, datetime(2024, 1, 1)).collect()
+    finally:
+        spark.conf.unset(keys[0])
+        spark.conf.set(keys[1], "4")
+    assert {(r.article_id, r.section_id): (r.start_date, r.end_date) for r in got} == want
+    assert len(got) == len(rows)
+
+
 def found(spark, text):
     df = spark.createDataFrame([(text,)], "t string")
     return [tuple(m) for m in df.select(find_mentions(F.col("t"))).first()[0]]
