@@ -73,112 +73,102 @@ def find_mentions(text: Column) -> Column:
     return F.aggregate(pairs, start, step, lambda acc: acc["out"])
 
 
+_RULE = (
+    "struct<op:string,grain:string,sign:int,y:int,scale:int,shift:int,years:int,m:int,d:int,low:bigint,high:bigint,step:int>"
+)
+_BY_NAME = -1
+
+
+def _rule(op, grain=None, sign=1, y=None, scale=1, shift=0, years=1, m=None, d=None, low=0, high=10**12, step=1):
+    """How the numbers of one form are read. ``y, m, d`` are indexes into them; the year is
+    ``number * scale + shift``; the first number must be a multiple of ``step`` in
+    ``[low, high]``."""
+    return F.struct(*[F.lit(v) for v in (op, grain, sign, y, scale, shift, years, m, d, low, high, step)]).cast(_RULE)
+
+
+def _rules() -> dict:
+    """Reading rule by shape: the mention with every digit as 9 and every month name as M."""
+    nines = ["9" * n for n in range(12)]
+    units = ("day", "month", "year")
+    rules = {
+        "M 9999": _rule("set", "month", y=0, m=_BY_NAME),
+        "9999-99-99": _rule("set", "day", y=0, m=1, d=2),
+        "9999": _rule("set", "year", y=0, low=1000, high=2099),
+    }
+    for n in nines[1:3]:
+        rules[f"{n} M 9999"] = _rule("set", "day", y=1, m=_BY_NAME, d=0)
+        rules[f"M {n}, 9999"] = rules[f"{n} M 9999"]
+        # Year 2000 has a 29 February; whether the reference year has one, the fold decides.
+        rules[f"{n} M"] = rules[f"M {n}"] = _rule("fix", y=0, scale=0, shift=2000, m=_BY_NAME, d=0)
+        rules[f"{n}:99"] = _rule("clock", high=23)
+        for ordinal in ("st", "nd", "rd", "th"):
+            rules[f"{n}{ordinal} century"] = _rule("set", "century", y=0, scale=100, shift=-99, years=100, low=1)
+    for n in nines[2:5]:
+        rules[f"{n}s"] = _rule("set", "decade", y=0, years=10, step=10)
+    for n in nines[1:12]:
+        rules[f"{n} BC"] = _rule("set", "year", y=0, scale=-1, shift=1, low=1)
+    for unit in units:
+        for word, sign in (("later", 1), ("earlier", -1)):
+            for n in nines[1:10]:
+                rules[f"{n} {unit} {word}"] = rules[f"{n} {unit}s {word}"] = _rule("shift", unit, sign)
+        for word, sign in (("following", 1), ("next", 1), ("previous", -1)):
+            rules[f"the {word} {unit}"] = rules[f"The {word} {unit}"] = _rule("shift", unit, sign)
+    return rules
+
+
 def with_mention_op(df: DataFrame, text: str = "date_text", out: str = "_op") -> DataFrame:
     """Add the operation each mention stands for; absolute forms are fully resolved.
 
-    The form is told from the mention's shape, in which every digit reads 9 and every month
-    name M, so a handful of pattern matches serves all forms.
+    One lookup by shape gives the reading rule, so a handful of pattern matches and one
+    date computation serve all forms.
     """
     t = F.col(text)
-
-    def nth_number(i):
-        digits = F.regexp_extract(t, r"^\D*" + r"\d+\D+" * i + r"(\d+)", 1)
-        # NULL costs nothing to cast; a string without digits costs an exception.
-        return F.nullif(digits, F.lit("")).try_cast("bigint")
-
+    table = F.create_map(*[part for shape, rule in _rules().items() for part in (F.lit(shape), rule)])
     month_name = F.regexp_extract(t, rf"\b{_MONTH}\b", 1)
-    parts = F.struct(
-        F.regexp_replace(F.regexp_replace(t, r"\d", "9"), rf"\b{_MONTH}\b", "M").alias("shape"),
-        *[nth_number(i).alias(f"n{i}") for i in range(3)],
-        F.array_position(F.array(*[F.lit(m) for m in MONTHS]), month_name).cast("bigint").alias("month"),
-    )
-    shape, month = F.col("_p.shape"), F.col("_p.month")
-
-    def number(i):
-        return F.col(f"_p.n{i}")
-
-    kind = (
-        F.when(shape.isin("9 M 9999", "99 M 9999"), "day_month_year")
-        .when(shape.isin("M 9, 9999", "M 99, 9999"), "month_day_year")
-        .when(shape == "M 9999", "month_year")
-        .when(shape == "9999-99-99", "iso")
-        .when(shape.rlike("^9{1,11} BC$"), "bc")
-        .when(shape.rlike("^99?(st|nd|rd|th) century$"), "century")
-        .when(shape.rlike("^9{2,4}s$") & (number(0) % 10 == 0), "decade")
-        .when(shape.isin("9 M", "99 M", "M 9", "M 99"), "partial")
-        .when(shape.rlike("^9{1,9} (day|month|year)s? (later|earlier)$"), "offset")
-        .when(shape.rlike("^[Tt]he (following|next|previous) (day|month|year)$"), "neighbour")
-        .when(shape.isin("9:99", "99:99"), "clock")
-        .when((shape == "9999") & number(0).between(1000, 2099), "year")
-    )
-    unit = F.regexp_extract(shape, "(day|month|year)", 1)
-    back = shape.endswith("earlier") | shape.contains(" previous ")
-    form = F.col("_kind")
-    fields = F.struct(
-        form.alias("kind"),
-        F.coalesce(number(0), F.lit(0)).alias("n"),
-        F.coalesce(number(1), F.lit(0)).alias("minutes"),
-        F.when(form.isin("day_month_year", "month_day_year"), number(1))
-        .when(form == "bc", 1 - number(0))
-        .when(form == "century", (number(0) - 1) * 100 + 1)
-        .when(form == "partial", F.lit(2000))  # has a 29 February; the fold decides
-        .otherwise(number(0))
-        .alias("y"),
-        F.when(form == "iso", number(1))
-        .when(form.isin("day_month_year", "month_day_year", "month_year", "partial"), month)
-        .otherwise(F.lit(1))
-        .alias("m"),
-        F.when(form == "iso", number(2))
-        .when(form.isin("day_month_year", "month_day_year", "partial"), number(0))
-        .otherwise(F.lit(1))
-        .alias("d"),
-        F.when(form.isin("day_month_year", "month_day_year", "iso"), "day")
-        .when(form == "month_year", "month")
-        .when(form.isin("decade", "century"), form)
-        .when(form.isin("bc", "year"), "year")
-        .when(form.isin("offset", "neighbour"), unit)
-        .alias("grain"),
-        F.when(back, -1).otherwise(1).alias("sign"),
-    )
-    f = {c: F.col(f"_f.{c}") for c in ("kind", "n", "minutes", "y", "m", "d", "grain", "sign")}
-    exists = f["m"].between(1, 12) & (f["d"] >= 1) & (f["d"] <= F.col("_days"))
-    clock = (f["n"] < 24) & (f["minutes"] < 60)
-    op = (
-        F.when(f["kind"].isNull(), "fail")
-        .when(f["kind"] == "clock", F.when(clock, "clock").otherwise("fail"))
-        .when(f["kind"].isin("offset", "neighbour"), "shift")
-        .when(~exists | (f["kind"].isin("bc", "century") & (f["n"] < 1)), "fail")
-        .when(f["kind"] == "partial", "fix")
-        .otherwise("set")
-    )
-    years = F.when(f["grain"] == "century", 100).when(f["grain"] == "decade", 10).otherwise(1)
-    name, begin = F.col("_name"), F.col("_begin")
+    n, rule = F.col("_n"), F.col("_rule")
+    first = F.coalesce(F.get(n, F.lit(0)), F.lit(1))
+    y, m, d = F.col("_ymd.y"), F.col("_ymd.m"), F.col("_ymd.d")
+    op, begin = F.col("_name"), F.col("_begin")
+    read = first.between(rule["low"], rule["high"]) & (first % rule["step"] == 0)
+    exists = m.between(1, 12) & (d >= 1) & (d <= F.col("_days"))
     end = (
-        F.when(f["grain"] == "day", begin + DAY - 1)
-        .when(f["grain"] == "month", begin + F.col("_days") * DAY - 1)
-        .otherwise(F.col("_next") - 1)
-    )
-    amount = F.when(f["kind"] == "neighbour", 1).otherwise(f["n"]) * f["sign"]
-    result = F.struct(
-        name.alias("op"),
-        F.when(name == "set", begin).when(name == "fix", f["m"]).when(name == "shift", amount)
-        .when(name == "clock", f["n"] * 3600 + f["minutes"] * 60).cast("bigint").alias("a"),
-        F.when(name == "set", end).when(name == "fix", f["d"]).cast("bigint").alias("b"),
-        F.when(name.isin("set", "shift"), f["grain"]).alias("grain"),
+        F.when(rule["grain"] == "day", begin + DAY)
+        .when(rule["grain"] == "month", begin + F.col("_days") * DAY)
+        .otherwise(F.col("_next"))
     )
     steps = {
-        "_p": parts,
-        "_kind": kind,
-        "_f": fields,
-        "_days": days_in_month(f["y"], f["m"]),
-        "_name": F.coalesce(op, F.lit("fail")),
-        "_begin": epoch(f["y"], f["m"], f["d"]),
-        "_next": epoch(f["y"] + years, F.lit(1), F.lit(1)),
-        "_r": result,
+        "_n": F.transform(F.regexp_extract_all(t, F.lit(r"\d+"), F.lit(0)), lambda digits: digits.try_cast("bigint")),
+        "_rule": F.try_element_at(
+            table, F.regexp_replace(F.regexp_replace(t, r"\d", "9"), rf"\b{_MONTH}\b", "M")
+        ),
+        "_ymd": F.struct(
+            (F.get(n, rule["y"]) * rule["scale"] + rule["shift"]).alias("y"),
+            F.when(rule["m"].isNull(), F.lit(1))
+            .when(rule["m"] == _BY_NAME, F.array_position(F.array(*[F.lit(x) for x in MONTHS]), month_name))
+            .otherwise(F.get(n, rule["m"]))
+            .alias("m"),
+            F.when(rule["d"].isNull(), F.lit(1)).otherwise(F.get(n, rule["d"])).alias("d"),
+        ),
+        "_days": days_in_month(y, m),
+        "_name": F.when(F.coalesce(~read, F.lit(True)), "fail")
+        .when(rule["op"].isin("set", "fix") & ~exists, "fail")
+        .when((rule["op"] == "clock") & (F.get(n, F.lit(1)) > 59), "fail")
+        .otherwise(rule["op"]),
+        "_begin": epoch(y, m, d),
+        "_next": epoch(y + rule["years"], F.lit(1), F.lit(1)),
+        "_r": F.struct(
+            op.alias("op"),
+            F.when(op == "set", begin)
+            .when(op == "fix", m)
+            .when(op == "shift", first * rule["sign"])
+            .when(op == "clock", first * 3600 + F.get(n, F.lit(1)) * 60)
+            .alias("a"),
+            F.when(op == "set", end - 1).when(op == "fix", d).alias("b"),
+            F.when(op.isin("set", "shift"), rule["grain"]).alias("grain"),
+        ),
     }
-    # Small steps keep the generated code below the size at which the JVM stops compiling it.
-    for step, value in steps.items():
-        df = df.withColumn(step, value)
+    for name, value in steps.items():
+        df = df.withColumn(name, value)
     # The generator keeps later filters from being pushed into the steps, where each filter
     # would carry a copy of all of them for every field it reads.
     return df.select("*", F.explode(F.array("_r")).alias(out)).drop(*steps)
