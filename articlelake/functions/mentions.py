@@ -11,6 +11,8 @@ A mention becomes an operation ``struct<op, a, b, grain>``:
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,8 +75,8 @@ def find_mentions(text: Column) -> Column:
     return F.aggregate(pairs, start, step, lambda acc: acc["out"])
 
 
-_RULE = (
-    "struct<op:string,grain:string,sign:int,y:int,scale:int,shift:int,years:int,m:int,d:int,low:bigint,high:bigint,step:int>"
+_RULES = (
+    "map<string,struct<op:string,grain:string,sign:int,y:int,scale:int,shift:int,years:int,m:int,d:int,low:bigint,high:bigint,step:int>>"
 )
 _BY_NAME = -1
 
@@ -83,10 +85,10 @@ def _rule(op, grain=None, sign=1, y=None, scale=1, shift=0, years=1, m=None, d=N
     """How the numbers of one form are read. ``y, m, d`` are indexes into them; the year is
     ``number * scale + shift``; the first number must be a multiple of ``step`` in
     ``[low, high]``."""
-    return F.struct(*[F.lit(v) for v in (op, grain, sign, y, scale, shift, years, m, d, low, high, step)]).cast(_RULE)
+    return dict(op=op, grain=grain, sign=sign, y=y, scale=scale, shift=shift, years=years, m=m, d=d, low=low, high=high, step=step)
 
 
-def _rules() -> dict:
+def _rules() -> dict[str, dict]:
     """Reading rule by shape: the mention with every digit as 9 and every month name as M."""
     nines = ["9" * n for n in range(12)]
     units = ("day", "month", "year")
@@ -123,7 +125,8 @@ def with_mention_op(df: DataFrame, text: str = "date_text", out: str = "_op") ->
     date computation serve all forms.
     """
     t = F.col(text)
-    table = F.create_map(*[part for shape, rule in _rules().items() for part in (F.lit(shape), rule)])
+    # One literal, folded to a constant when the query is planned.
+    table = F.from_json(F.lit(json.dumps(_rules())), _RULES)
     month_name = F.regexp_extract(t, rf"\b{_MONTH}\b", 1)
     n, rule = F.col("_n"), F.col("_rule")
     first = F.coalesce(F.get(n, F.lit(0)), F.lit(1))

@@ -8,6 +8,7 @@ replacement, span explosion, chunking, joins) is native.
 from __future__ import annotations
 
 import html.entities
+import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -30,11 +31,19 @@ BOILERPLATE = ("References", "External_links", "Bibliography", "Citations")
 # HTML void elements; elements whose text is not part of the page text.
 VOID = set("area base basefont bgsound br col command embed frame hr image img input isindex keygen "
            "link menuitem meta nextid param source spacer track wbr".split())
-UNREAD = ("script", "style", "template", "rt", "rp")
+UNREAD = {"script", "style", "template", "rt", "rp"}
 KEPT_WHITESPACE = ("pre", "textarea")
 ENDS_PARAGRAPH = {"p", "div", "section", "article", "ul", "ol", "dl", "table", "blockquote", "h1", "h2", "h3", "h4",
                   "h5", "h6", "footer", "nav"}
 
+# Text without references followed by a plainly written tag. These make up almost all of a
+# page and need none of the tokenizer's care; tags that switch its mode are left to it.
+_PLAIN = re.compile(
+    r"([^<&]*)<(?!(?:script|style|title|textarea|iframe|noembed|noframes|noscript|xmp|plaintext)\b)"
+    r"(?:/([a-z][a-z0-9]*)|([a-z][a-z0-9]*)((?: [a-z][a-z-]*=\"[^\"<>&]*\")*)(/?))>"
+)
+_ATTRIBUTE = re.compile(r" ([a-z-]+)=\"([^\"]*)\"")
+
 
 class _Soup(HTMLParser):
     """Flat list of nodes in document order: ``[tag, attrs, end, parent]`` for elements,
@@ -51,18 +60,49 @@ class _Soup(HTMLParser):
         self.reset()
         self.nodes, self.open, self.text = [], [], []
         self.depth = {}  # open elements by tag
-        self.feed(markup)
+        self.unread = 0  # open elements whose text is not page text
+        position, size = 0, len(markup)
+        while position < size:
+            plain = _PLAIN.match(markup, position)
+            if plain is None:
+                position = self._feed_from(markup, position)
+                continue
+            text, closed, tag, attrs, empty = plain.groups()
+            if text:
+                self.text.append(text)
+            if closed:
+                self.handle_endtag(closed)
+            elif empty:
+                self.handle_startendtag(tag, _ATTRIBUTE.findall(attrs))
+            else:
+                self.handle_starttag(tag, _ATTRIBUTE.findall(attrs) if attrs else ())
+            position = plain.end()
         self.close()
         self._flush()
         self._close_to(0)
         return self.nodes
 
+    def _feed_from(self, markup: str, start: int) -> int:
+        """Hand text to the tokenizer up to a ``<`` at which it has nothing left to read."""
+        stop = start
+        while True:
+            # Growing steps, as what is left over is read again.
+            start, stop = stop, markup.find("<", stop + 1 + len(self.rawdata))
+            if stop < 0:
+                self.feed(markup[start:])
+                return len(markup)
+            self.feed(markup[start:stop])
+            if not self.rawdata and self.cdata_elem is None:
+                return stop
+
     def _close_to(self, depth: int) -> None:
         end = len(self.nodes)
         for i in self.open[depth:]:
             node = self.nodes[i]
             node[2] = end
             self.depth[node[0]] -= 1
+            if node[0] in UNREAD:
+                self.unread -= 1
         del self.open[depth:]
 
     def _close_tag(self, tag: str) -> None:
@@ -73,17 +113,14 @@ class _Soup(HTMLParser):
                 self._close_to(depth)
                 return
 
-    def _inside(self, tags: tuple) -> bool:
-        return any(self.depth.get(tag) for tag in tags)
-
     def _flush(self, plain: bool = True) -> None:
         if not self.text:
             return
         text = "".join(self.text)
         self.text = []
-        if not text.strip(" \n\t\f\r") and not self._inside(KEPT_WHITESPACE):
+        if not text.strip(" \n\t\f\r") and not any(self.depth.get(tag) for tag in KEPT_WHITESPACE):
             text = "\n" if "\n" in text else " "
-        if plain and self._inside(UNREAD):
+        if plain and self.unread:
             return
         n = len(self.nodes)
         self.nodes.append([None, text, n + 1, self.open[-1] if self.open else -1])
@@ -95,6 +132,8 @@ class _Soup(HTMLParser):
         self.nodes.append([tag, {k: v or "" for k, v in attrs}, 0, self.open[-1] if self.open else -1])
         self.open.append(len(self.nodes) - 1)
         self.depth[tag] = self.depth.get(tag, 0) + 1
+        if tag in UNREAD:
+            self.unread += 1
         if tag in VOID:
             self._close_to(len(self.open) - 1)
 

@@ -1,6 +1,8 @@
 """Golden rows for the HTML walk, worked out by hand from the rules."""
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from articlelake.operators.sections import BODY_JSON, _Soup, article_section_ext_text, parse_articles, parse_sections, walk
 
@@ -159,6 +161,38 @@ def test_deep_nesting_is_not_recursive():
     assert p[3] == "x"
 
 
+PIECES = [
+    "<p>", "</p>", "<b>", "</b>", '<a href="./X">', "</a>", "<br>", "<br/>", "text", " ", "\n", "&amp;", "&", "&eacute", ";",
+    "&#65", "&#x42;", "<", ">", "<!-- c <p> -->", "<!--", "-->", "<script>", "</script>", "var a='<b>'", "<style>x</style>",
+    "<title>t</title>", "<UL>", "</ul>", "<li class=x>", "<td colspan='2'>", '<a title="a<b">', "<![CDATA[x]]>", "<!DOCTYPE html>",
+    "<?pi?>", '"', "<pre>", "</pre>", "<p/>", "</", "<a href>", '<i id="References">', "<rt>", "</rt >", "<x-y>", "é",
+]
+
+
+@settings(max_examples=800, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=25))
+def test_plain_tags_read_like_the_tokenizer(pieces):
+    markup = "".join(pieces)
+
+    class Slow(_Soup):
+        def read(self, text):
+            self.reset()
+            self.nodes, self.open, self.text, self.depth, self.unread = [], [], [], {}, 0
+            self.feed(text)
+            self.close()
+            self._flush()
+            self._close_to(0)
+            return self.nodes
+
+    def outcome(soup):
+        try:
+            return soup.read(markup)
+        except AssertionError:
+            return "refused"
+
+    assert outcome(_Soup(False)) == outcome(Slow(False))
+
+
 def test_parse_job_and_errors(spark):
     pages = spark.createDataFrame(
         [(1, "A", "<body><p>x – y</p></body>"), (2, "B", "<body><![bad[ x"), (3, "C", None)], "id int, title string, html string"
