@@ -18,6 +18,12 @@ def like_pattern(search: str) -> str:
     return re.sub(r"\\(.)", lambda m: m.group(0) if m.group(1) in "%_\\" else m.group(1), pattern, flags=re.S)
 
 
+def by_title(articles: DataFrame) -> DataFrame:
+    """The table laid out by title, for writing: a prefix search then reads only the row
+    groups whose title range it meets."""
+    return articles.repartitionByRange("title").sortWithinPartitions("title")
+
+
 def _resolved(hits: DataFrame, targets: DataFrame) -> DataFrame:
     rdr = targets.select(
         F.col("title").alias("r_title"), F.col("id").alias("r_id"), F.col("description").alias("r_description")

@@ -176,18 +176,18 @@ class _Soup(HTMLParser):
 
 def _cleared(nodes: list) -> set:
     """Sections emptied because they hold one of the boilerplate headings."""
+    marked = [i for i, node in enumerate(nodes) if node[0] and node[1] and node[1].get("id") in BOILERPLATE]
     emptied: set[int] = set()
     for wanted in BOILERPLATE:
-        i = 0
-        while i < len(nodes):
-            tag, attrs, end, parent = nodes[i]
-            if tag and attrs.get("id") == wanted:
-                while parent >= 0 and nodes[parent][0] != "section":
-                    parent = nodes[parent][3]
-                if parent >= 0:
-                    emptied.add(parent)
-                break
-            i = end if i in emptied else i + 1
+        for i in marked:
+            if nodes[i][1]["id"] != wanted or any(e < i < nodes[e][2] for e in emptied):
+                continue
+            parent = nodes[i][3]
+            while parent >= 0 and nodes[parent][0] != "section":
+                parent = nodes[parent][3]
+            if parent >= 0:
+                emptied.add(parent)
+            break
     return emptied
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from articlelake.functions.chunks import full_text, overflow_rows, split_overflow, text_chunks
 from articlelake.operators import checks
-from articlelake.operators.search import like_pattern, search_title_words, search_titles, search_titles_loosely
+from articlelake.operators.search import by_title, like_pattern, search_title_words, search_titles, search_titles_loosely
 
 ARTICLES = [
     (1, "Paris", None, "city"),
@@ -63,7 +63,7 @@ def test_like_pattern():
 
 def test_prefix_reaches_the_scan(spark, articles, tmp_path):
     path = str(tmp_path / "a")
-    articles.write.parquet(path)
+    by_title(articles).write.parquet(path)
     plan = search_titles(spark.read.parquet(path), "Pa", 5)._jdf.queryExecution().toString()
     assert "StringStartsWith(title,Pa)" in plan
     assert "Exchange hashpartitioning(title" not in plan
