@@ -54,24 +54,24 @@ def mark_parsed(sections: DataFrame, scanned: DataFrame) -> DataFrame:
     )
 
 
+def _is_open():
+    """No interval yet. A failed mention is reported once and not selected again."""
+    missing = F.col("start_date").isNull() | F.col("end_date").isNull()
+    return missing & ~F.col("parse_status").eqNullSafe(FAILED)
+
+
 def unresolved_events(events: DataFrame, limit: int | None = None) -> DataFrame:
     """Events without an interval in article, section, position order; optionally the first
     ``limit`` of them."""
-    open_events = events.where("start_date is null or end_date is null")
-    # A failed mention is reported once and not selected again.
-    if "parse_status" in events.columns:
-        open_events = open_events.where(f"parse_status is null or parse_status <> {FAILED}")
-    ordered = open_events.orderBy(*EVENT_KEY)
+    ordered = events.where(_is_open()).orderBy(*EVENT_KEY)
     return ordered if limit is None else ordered.limit(limit)
 
 
 def resolve_events(events: DataFrame, as_of: datetime) -> DataFrame:
-    """The event table after one resolution run over all its articles.
-
-    Mentions that already have an interval come out with the same one, because a chain is
-    a function of its mentions; the table is rewritten in one pass without a join.
-    """
-    return resolve_dates(events, as_of).select(*events.columns)
+    """The event table after one resolution run. Open events are replaced, others pass
+    through, so nothing is joined."""
+    resolved = resolve_dates(events.where(_is_open()), as_of)
+    return events.where(~_is_open()).unionByName(resolved.select(*events.columns))
 
 
 def write_back(events: DataFrame, resolved: DataFrame) -> DataFrame:

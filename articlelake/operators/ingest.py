@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import article as fa
 from ..schemas import ARTICLE, INGEST_JSON
-from ..sources.lines import read_lines, resume_lines
+from ..sources.lines import read_pending_lines
 
 _STORED = [
     "id", "title", "title_srch", "description", "update", "dump_file_id", "dump_idx", "url", "redirect",
@@ -118,7 +118,7 @@ def ingest_dumps(
     spark: SparkSession, path, catalog: DataFrame, stored: DataFrame, as_of: datetime, packed: bool = False
 ) -> DataFrame:
     """Resume: read pending files, skip lines up to the high-water mark, project, dedup."""
-    return ingest(resume_lines(read_lines(spark, path, catalog, packed), stored), stored, as_of)
+    return ingest(read_pending_lines(spark, path, catalog, stored, packed), stored, as_of)
 
 
 def with_metrics(lines: DataFrame, name: str = "ingest"):

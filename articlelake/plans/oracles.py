@@ -196,6 +196,12 @@ ORACLES = {
         WHERE {_EARLIER} AND dump_file_id = (SELECT max(dump_file_id) FROM a WHERE {_EARLIER}) GROUP BY 1)
       SELECT dump_file_id, file_name, dump_idx, title FROM a, h
       WHERE dump_file_id > f OR (dump_file_id = f AND dump_idx > i)""",
+    # Stored positions are the corpus's own, the lines' are ranks in the files; see _FILE_LINES.
+    "read_pending_lines": f"""{_A}, h AS (SELECT dump_file_id AS f, max(dump_idx) AS i FROM a
+        WHERE {_EARLIER} AND dump_file_id = (SELECT max(dump_file_id) FROM a WHERE {_EARLIER}) GROUP BY 1),
+      x AS (SELECT dense_rank() OVER (ORDER BY file_name) AS dump_file_id, file_name,
+        row_number() OVER (PARTITION BY file_name ORDER BY dump_idx) - 1 AS dump_idx, title FROM a)
+      SELECT x.* FROM x, h WHERE dump_file_id > f OR (dump_file_id = f AND dump_idx > i)""",
     "article_rows": f"{_R} SELECT {_VIEW} FROM r",
     "article_dedup": f"{_R} SELECT {_VIEW} FROM art",
     "ingest_resumed": f"{_R} SELECT {_VIEW} FROM art",

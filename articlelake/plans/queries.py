@@ -123,6 +123,12 @@ def resume_lines(spark, d):
     return _named(src.resume_lines(corpus.lines(spark, d), _earlier_run(spark, d)))
 
 
+def read_pending_lines(spark, d):
+    folder, catalog = corpus.dump_folder(spark, d), _file_catalog(spark, d)
+    done = stage(_earlier_run(spark, d), "done")
+    return _named(src.read_pending_lines(spark, folder, catalog, done, packed=True))
+
+
 # Ingest --------------------------------------------------------------------------------
 
 
@@ -514,7 +520,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         dump_catalog_upsert, article_lines, packed_article_lines, lines_per_file, article_lines_by_id,
-        ingest_high_water, pending_files, resume_lines, article_rows, article_dedup, redirect_aliases,
+        ingest_high_water, pending_files, resume_lines, read_pending_lines, article_rows, article_dedup, redirect_aliases,
         article_redirect_target, article_description, dash_normalise, new_titles_only, ingest_resumed, stream_ingest,
         text_chunks, section_full_text, document_chunks_roundtrip, unparsed_sections, mark_sections_parsed,
         strip_citations, length_violations, section_rows, headings, paragraphs, list_items, table_cells, format_spans,

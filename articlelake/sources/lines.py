@@ -57,12 +57,18 @@ def empty_catalog(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], DUMP_FILE)
 
 
-def scan_lines(spark: SparkSession, path, packed: bool = False) -> DataFrame:
-    """Raw lines with the marks that :func:`number_lines` needs. Blank lines are kept."""
+def scan_lines(spark: SparkSession, path, packed: bool = False, only: list[str] | None = None) -> DataFrame:
+    """Raw lines with the marks that :func:`number_lines` needs. Blank lines are kept.
+
+    ``only`` names the dump files to read; the others are dropped from the file listing.
+    """
     reader = spark.read.option("lineSep", "\n")
     if packed:
         reader = reader.schema("value string, file_name string")
-    return mark_lines(reader.text(path), packed)
+    text = reader.text(path)
+    if only is not None:
+        text = text.where((F.col("file_name") if packed else F.col("_metadata.file_name")).isin(only))
+    return mark_lines(text, packed)
 
 
 def mark_lines(text: DataFrame, packed: bool = False) -> DataFrame:
@@ -115,9 +121,21 @@ def number_lines(marked: DataFrame) -> DataFrame:
     )
 
 
-def read_lines(spark: SparkSession, path, catalog: DataFrame, packed: bool = False) -> DataFrame:
+def read_lines(
+    spark: SparkSession, path, catalog: DataFrame, packed: bool = False, only: list[str] | None = None
+) -> DataFrame:
     """``(dump_file_id, file_name, dump_idx, value)`` of the catalogued files."""
-    return with_file_id(number_lines(scan_lines(spark, path, packed)), catalog)
+    return with_file_id(number_lines(scan_lines(spark, path, packed, only)), catalog)
+
+
+def read_pending_lines(
+    spark: SparkSession, path, catalog: DataFrame, articles: DataFrame, packed: bool = False
+) -> DataFrame:
+    """Lines not ingested yet. Files before the high-water mark are not opened; the driver
+    handles file names only, which it lists anyway."""
+    names = [r.file_name for r in pending_files(catalog, articles).select("file_name").collect()]
+    only = names if len(names) < catalog.count() else None
+    return resume_lines(read_lines(spark, path, catalog, packed, only), articles)
 
 
 def with_file_id(lines: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -100,6 +100,26 @@ def test_resume_equals_one_run(spark, dumps):
     assert first.unionByName(second).exceptAll(whole).count() == 0
 
 
+@pytest.mark.parametrize("packed", [False, True])
+def test_pending_lines_open_pending_files_only(spark, tmp_path, packed):
+    folder = tmp_path / "d"
+    for f in range(3):
+        target = folder / f"file_name=d{f}" if packed else folder
+        target.mkdir(parents=True, exist_ok=True)
+        (target / ("part-00000.txt" if packed else f"d{f}")).write_text("".join(document(f"{f}/{i}") + "\n" for i in range(9)))
+    catalog = src.upsert_catalog(src.empty_catalog(spark), src.list_files(spark, str(folder), packed))
+    stored = ingest.ingest(src.read_lines(spark, str(folder), catalog, packed), None, NOW)
+    stored = spark.createDataFrame(stored.where("dump_file_id < 2 or (dump_file_id = 2 and dump_idx <= 4)").collect(), TABLES["article"])
+    # The finished file is unreadable now; it must not matter.
+    done = folder / "file_name=d0" / "part-00000.txt" if packed else folder / "d0"
+    done.write_bytes(b"\n" * 5)
+    got = src.read_pending_lines(spark, str(folder), catalog, stored, packed)
+    assert sorted((r.dump_file_id, r.dump_idx) for r in got.collect()) == [(2, i) for i in range(5, 9)] + [(3, i) for i in range(9)]
+    marked = src.scan_lines(spark, str(folder), packed, only=["d1", "d2"])
+    assert marked.select("file_path").distinct().count() == 2
+    assert ingest.ingest_dumps(spark, str(folder), catalog, stored, NOW, packed).count() == 13
+
+
 @pytest.fixture
 def archives(tmp_path):
     folder = tmp_path / "tars"
