@@ -25,6 +25,8 @@ def build_session(app: str = "articlelake", master: str | None = None, **conf: s
         # A fixed lower bound on splits keeps the layout of a text scan independent of
         # how many executors are alive when it is planned (see sources.lines).
         "spark.sql.files.minPartitionNum": "256",
+        # Pages may hold a megabyte each.
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
         # The JVM does not compile methods above 8000 bytes; such plans run faster unfused.
         "spark.sql.codegen.hugeMethodLimit": "8000",
     }
