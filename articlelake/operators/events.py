@@ -13,6 +13,7 @@ from ..schemas import FAILED
 from .dates import resolve_dates
 
 EVENT_KEY = ["article_id", "section_id", "start_pos"]
+# Fixed value: shown for a failed mention whose section is unknown.
 NO_CONTEXT = "No context available"
 
 

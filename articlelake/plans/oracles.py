@@ -203,6 +203,8 @@ ORACLES = {
         row_number() OVER (PARTITION BY file_name ORDER BY dump_idx) - 1 AS dump_idx, title FROM a)
       SELECT x.* FROM x, h WHERE dump_file_id > f OR (dump_file_id = f AND dump_idx > i)""",
     "article_rows": f"{_R} SELECT {_VIEW} FROM r",
+    "rejected_lines": """SELECT 0::BIGINT AS dump_file_id, 'texts' AS file_name, doc_id AS dump_idx, 'malformed' AS reason
+      FROM documents""",
     "article_dedup": f"{_R} SELECT {_VIEW} FROM art",
     "ingest_resumed": f"{_R} SELECT {_VIEW} FROM art",
     "stream_ingest": f"{_R} SELECT title, url, redirect, description FROM art",
@@ -293,6 +295,10 @@ ORACLES = {
         coalesce(events, '') AS events
       FROM art JOIN a ON a.article_id = art.id JOIN ss ON ss.article_id = art.id LEFT JOIN mm ON mm.article_id = art.id""",
     "article_parse_stats": f"""{_A} SELECT article_id, 8 + 4 * n AS sections, 2::BIGINT AS formats, 2 * n AS events FROM a""",
+    "table_counts": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n FROM {name}"
+        for name in ("customer", "orders", "documents", "labels", "pages", "conversations")
+    ),
     "duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
       GROUP BY ALL HAVING count(*) > 1""",
     "orphan_rows": """SELECT doc_id, lang FROM documents d

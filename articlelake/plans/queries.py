@@ -143,6 +143,15 @@ def article_rows(spark, d):
     return _article_view(_rows(spark, d))
 
 
+def rejected_lines(spark, d):
+    """Good dump lines and, as a file of their own, document texts, which are no JSON."""
+    texts = table(spark, d, "documents").select(
+        F.lit(0).cast("bigint").alias("dump_file_id"), F.lit("texts").alias("file_name"),
+        F.col("doc_id").alias("dump_idx"), F.col("text").alias("value"),
+    )
+    return ingest.rejected_lines(corpus.lines(spark, d).unionByName(texts))
+
+
 def article_dedup(spark, d):
     return _article_view(ingest.first_titles(_rows(spark, d)))
 
@@ -498,6 +507,11 @@ def article_parse_stats(spark, d):
     return detail.parse_stats(parsed, sections.article_section_format(parsed), events.scan_mentions(parsed))
 
 
+def table_counts(spark, d):
+    names = ("customer", "orders", "documents", "labels", "pages", "conversations")
+    return checks.table_counts({name: table(spark, d, name) for name in names})
+
+
 def duplicate_keys(spark, d):
     return checks.duplicate_keys(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -520,7 +534,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         dump_catalog_upsert, article_lines, packed_article_lines, lines_per_file, article_lines_by_id,
-        ingest_high_water, pending_files, resume_lines, read_pending_lines, article_rows, article_dedup, redirect_aliases,
+        ingest_high_water, pending_files, resume_lines, read_pending_lines, article_rows, rejected_lines, article_dedup, redirect_aliases,
         article_redirect_target, article_description, dash_normalise, new_titles_only, ingest_resumed, stream_ingest,
         text_chunks, section_full_text, document_chunks_roundtrip, unparsed_sections, mark_sections_parsed,
         strip_citations, length_violations, section_rows, headings, paragraphs, list_items, table_cells, format_spans,
@@ -528,6 +542,6 @@ QUERIES = {
         page_sections, page_section_counts, date_mentions, event_sentences, date_intervals, resolve_dates_article, resolve_dates_section,
         unresolved_events, events_writeback, date_failure_context, articles_without_dates, title_search,
         title_search_wildcards, redirect_resolve, title_search_ai_ci, title_token_search, article_with_dump,
-        articles_to_parse, refresh_articles, article_detail, article_parse_stats, duplicate_keys, orphan_rows, flagship,
+        articles_to_parse, refresh_articles, article_detail, article_parse_stats, table_counts, duplicate_keys, orphan_rows, flagship,
     )
 }
