@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,7 +38,13 @@ def redirect_target(wikitext: Column) -> Column:
 
 
 def modified_time(text: Column) -> Column:
-    return F.try_to_timestamp(text, F.lit("yyyy-M-d'T'H:m:s'Z'"))
+    """UTC time ``yyyy-MM-ddTHH:mm:ssZ``; NULL for anything else."""
+    return F.when(text.endswith("Z"), F.try_to_timestamp(text, F.lit("yyyy-M-d'T'H:m:sX")))
+
+
+def job_time(as_of: datetime) -> Column:
+    """The job's "now" as a timestamp; a time without zone is UTC."""
+    return F.lit(as_of if as_of.tzinfo else as_of.replace(tzinfo=timezone.utc)).cast("timestamp")
 
 
 def description(abstract: Column) -> Column:

@@ -49,7 +49,7 @@ def article_rows(lines: DataFrame, as_of: datetime) -> DataFrame:
     titles are still present; see :func:`first_titles`.
     """
     j = F.col("j")
-    now = F.lit(as_of).cast("timestamp")
+    now = fa.job_time(as_of)
     modified = fa.modified_time(j["date_modified"])
 
     def row(**cells):

@@ -7,7 +7,7 @@ relations, so an oracle can compute them without parsing anything. See FIXTURES.
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,7 +123,7 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(dump_file_id, file_name, dump_idx, value)`` with one JSON document per row."""
     c = F.col("c")
     modified = F.date_format(
-        F.timestamp_seconds(F.lit(int(AS_OF.replace(tzinfo=timezone.utc).timestamp())) + c * 3600),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(c % 100000 as int))"),
         "yyyy-MM-dd'T'HH:mm:ss'Z'",
     )
     neighbour = F.concat(F.lit("Customer#"), F.lpad((c - 1).cast("string"), 9, "0"))

@@ -41,16 +41,16 @@ r AS (
       CASE WHEN length(repeat(c_mktsegment || ' account, ', c % 90)) > 1000
         THEN left(repeat(c_mktsegment || ' account, ', c % 90), 997) || '...'
         ELSE repeat(c_mktsegment || ' account, ', c % 90) END END AS description,
-    CASE WHEN c % 17 <> 0 THEN 1704067200 + c * 3600 END AS wiki_update,
+    CASE WHEN c % 17 <> 0 THEN 1704067200 + c % 100000 * 3600 END AS wiki_update,
     dump_file_id AS sf, dump_idx AS si, 0 AS ord
   FROM a
   UNION ALL
   SELECT NULL, 'Alias ' || title, NULL, NULL, CASE WHEN c % 3 <> 0 THEN url || '/alias' END, title, NULL,
-    CASE WHEN c % 17 <> 0 THEN 1704067200 + c * 3600 END, dump_file_id, dump_idx, 1
+    CASE WHEN c % 17 <> 0 THEN 1704067200 + c % 100000 * 3600 END, dump_file_id, dump_idx, 1
   FROM a WHERE c % 5 <> 0
   UNION ALL
   SELECT NULL, 'Customer#' || lpad((CASE WHEN c % 50 = 49 THEN c - 1 ELSE c + 1 END)::VARCHAR, 9, '0'), NULL, NULL, url,
-    title, NULL, CASE WHEN c % 17 <> 0 THEN 1704067200 + c * 3600 END, dump_file_id, dump_idx, 3
+    title, NULL, CASE WHEN c % 17 <> 0 THEN 1704067200 + c % 100000 * 3600 END, dump_file_id, dump_idx, 3
   FROM a WHERE c % 5 <> 0 AND c % 50 IN (24, 49)),
 art AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY title ORDER BY sf, si, ord) = 1)
 """

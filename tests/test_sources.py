@@ -184,9 +184,10 @@ def test_rejected_lines_and_optional_fields(spark):
         json.dumps({"name": "n", "article_body": {}}),
         json.dumps({"name": "n", "url": "u"}),
         document("d", date_modified="yesterday"),
+        document("e", date_modified="2024-01-02T03:04:05+02:00"),
     )
     reasons = {r.dump_idx: r.reason for r in ingest.rejected_lines(lines).collect()}
-    assert reasons == {1: "malformed", 2: "no name", 3: "no url", 4: "no body", 5: "bad date_modified"}
+    assert reasons == {1: "malformed", 2: "no name", 3: "no url", 4: "no body", 5: "bad date_modified", 6: "bad date_modified"}
     rows = ingest.article_rows(lines, NOW).orderBy("alias_ord").collect()
     assert [(r.title, r.redirect, r.url) for r in rows] == [("ok", None, "u/ok"), ("r", "ok", None)]
     assert len(rows[0].description) == 1000 and rows[0].description.endswith("...")
