@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,9 @@ from .common import fold, sample_ids, staged
 
 # Sample bound of the fit (rows per label, whole texts) and largest lexicon.
 TRAIN_ROWS, LEXICON = 4000, 20_000
-PRIOR_TOKENS = 500.0
-SIGNIFICANT_Z = 3.0
+# Dirichlet prior: background frequencies worth this many tokens, and a floor for every token.
+PRIOR_TOKENS, PRIOR_FLOOR = 500.0, 0.5
+SIGNIFICANT_Z = 2.5
 # Share of toxic words expected inside a toxic passage; sets the cost of other words.
 PASSAGE_SHARE = 0.2
 PREFIXES = (6, 5, 4)
@@ -141,7 +142,7 @@ def build(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> Toxicit
         return ToxicityModel({}, cost, 1.0, 1.0, (0.0, 0.0, 0.0))
     token = [c[0] for c in counts]
     t, c = (np.array([x[k] for x in counts], float) for k in (1, 2))
-    prior = PRIOR_TOKENS * (t + c) / (toxic + clean)
+    prior = PRIOR_TOKENS * (t + c) / (toxic + clean) + PRIOR_FLOOR
     odds_t = (t + prior) / (toxic + PRIOR_TOKENS - t - prior)
     odds_c = (c + prior) / (clean + PRIOR_TOKENS - c - prior)
     delta = np.log(odds_t) - np.log(odds_c)
@@ -179,11 +180,19 @@ def calibrate(evidence: np.ndarray, labels: np.ndarray, share: float) -> tuple[f
 
 
 def token_counts(sample: DataFrame) -> DataFrame:
-    """(token, toxic, clean): documents of ``sample(text, _label)`` that hold each word or marked prefix."""
+    """(half, token, toxic, clean): documents of ``sample(text, _label, half)`` with each word or marked prefix."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
     marked = [F.transform(F.filter(words, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*"))) for n in PREFIXES]
-    tokens = sample.select("_label", F.explode(F.array_distinct(F.concat(words, *marked))).alias("token"))
-    return tokens.groupBy("token").agg(F.sum("_label").alias("toxic"), F.sum(1 - F.col("_label")).alias("clean"))
+    tokens = sample.select("_label", "half", F.explode(F.array_distinct(F.concat(words, *marked))).alias("token"))
+    return tokens.groupBy("half", "token").agg(F.sum("_label").alias("toxic"), F.sum(1 - F.col("_label")).alias("clean"))
+
+
+def learn_tokens(counted: DataFrame) -> ToxicityModel:
+    """Uncalibrated model from ``counted(token, toxic, clean)``; at most four times LEXICON rows are collected."""
+    total = counted.agg(F.sum("toxic"), F.sum("clean")).first()
+    tokens = counted.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    kept = tokens.where("toxic >= 3 and toxic > clean").orderBy(F.desc("toxic"), "clean", "token").limit(4 * LEXICON)
+    return build([tuple(r) for r in kept.collect()], total[0] or 0, total[1] or 0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> ToxicityModel:
@@ -191,27 +200,29 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> To
 
     The sample's ids are broadcast (at most two times TRAIN_ROWS); its words are counted by Spark,
     and only tokens in at least three toxic documents, at most four times LEXICON of them, come
-    to the driver.
+    to the driver. The calibration looks at one half of the sample with tokens learned from the
+    other; the model's own tokens come from both.
     """
     ids, share = sample_ids(labels, "toxic", fold(F.col("doc_id"), folds) != held, TRAIN_ROWS)
     sample = staged(
-        docs.select("doc_id", "text").where("text is not null").join(F.broadcast(ids), "doc_id").select("text", "_label"),
+        docs.select("doc_id", "text")
+        .where("text is not null")
+        .join(F.broadcast(ids), "doc_id")
+        .select("text", "_label", (F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2)) == 0).alias("half")),
         "toxic-sample",
     )
     counted = staged(token_counts(sample), "toxic-tokens")
-    toxic, clean = counted.agg(F.sum("toxic"), F.sum("clean")).first()
-    kept = counted.where("toxic >= 3 and toxic > clean").orderBy(F.desc("toxic"), "clean", "token").limit(4 * LEXICON)
-    model = build([tuple(r) for r in kept.collect()], toxic or 0, clean or 0)
+    half, model = learn_tokens(counted.where("half")), learn_tokens(counted)
 
     @F.arrow_udf("struct<best:double,summed:double>")
     def evidence(array: pa.Array) -> pa.Array:
-        rows = [model.evidence(v.as_py()) for v in array]
+        rows = [half.evidence(v.as_py()) for v in array]
         return pa.array([{"best": a, "summed": b} for a, b in rows], pa.struct([("best", pa.float64()), ("summed", pa.float64())]))
 
-    seen = sample.select(evidence("text").alias("e"), "_label").select("e.best", "e.summed", "_label").collect()
-    points = np.array([[r.best, r.summed] for r in seen], float).reshape(-1, 2)
-    curve = calibrate(points, np.array([r._label for r in seen], float), share)
-    return ToxicityModel(model.words, model.cost, model.rate, model.constant, curve, model.heads)
+    seen = sample.where("not half").select(evidence("text").alias("e"), "_label")
+    rows = seen.select("e.best", "e.summed", "_label").orderBy("best", "summed", "_label").collect()
+    points = np.array([[r.best, r.summed] for r in rows], float).reshape(-1, 2)
+    return replace(model, curve=calibrate(points, np.array([r._label for r in rows], float), share))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
