@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, quality, toxicity
+from . import language, quality, simhash, toxicity
 from .common import fold, table
 
 
@@ -29,10 +29,16 @@ def op7_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op8_simhash(spark: SparkSession, d: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, d, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op5_quality": op5_quality,
     "op7_toxicity": op7_toxicity,
+    "op8_simhash": op8_simhash,
 }
 
 ORACLES: dict[str, str] = {}
