@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, quality, simhash, toxicity
+from . import language, packing, quality, simhash, toxicity
 from .common import fold, table
 
 
@@ -34,11 +34,16 @@ def op8_simhash(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op9_packing(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(packing.pieces(table(spark, d, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op5_quality": op5_quality,
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
+    "op9_packing": op9_packing,
 }
 
 ORACLES: dict[str, str] = {}
