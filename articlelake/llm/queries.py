@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, packing, quality, simhash, toxicity
+from . import language, license_scan, packing, quality, simhash, toxicity
 from .common import fold, table
 
 
+def op1_license(spark: SparkSession, d: str) -> DataFrame:
+    return license_scan.report(license_scan.scan(table(spark, d, "documents")))
+
+
 def op2_language(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     found = language.identify(docs, language.fit(docs))
@@ -39,6 +43,7 @@ def op9_packing(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license": op1_license,
     "op2_language": op2_language,
     "op5_quality": op5_quality,
     "op7_toxicity": op7_toxicity,
@@ -46,4 +51,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_license": license_scan.oracle_sql()}
