@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, license_scan, packing, quality, simhash, toxicity
+from . import fingerprints, language, license_scan, packing, quality, simhash, toxicity
 from .common import fold, table
 
 
@@ -21,6 +21,10 @@ def op2_language(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op4_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return fingerprints.edit_report(table(spark, d, "documents"))
+
+
 def op5_quality(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     scored = quality.score_quality(docs, quality.fit(docs, table(spark, d, "labels")))
@@ -45,6 +49,7 @@ def op9_packing(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license": op1_license,
     "op2_language": op2_language,
+    "op4_fingerprints": op4_fingerprints,
     "op5_quality": op5_quality,
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,

@@ -220,9 +220,9 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> To
         return pa.array([{"best": a, "summed": b} for a, b in rows], pa.struct([("best", pa.float64()), ("summed", pa.float64())]))
 
     seen = sample.where("not half").select(evidence("text").alias("e"), "_label")
-    rows = seen.select("e.best", "e.summed", "_label").orderBy("best", "summed", "_label").collect()
-    points = np.array([[r.best, r.summed] for r in rows], float).reshape(-1, 2)
-    return replace(model, curve=calibrate(points, np.array([r._label for r in rows], float), share))
+    rows = sorted(tuple(r) for r in seen.select("e.best", "e.summed", "_label").collect())
+    points = np.array(rows, float).reshape(-1, 3)
+    return replace(model, curve=calibrate(points[:, :2], points[:, 2], share))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5) -> DataFrame:
