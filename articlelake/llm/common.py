@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +77,36 @@ def encoded(array: pa.Array) -> Iterator[bytes | None]:
         yield value.as_py()
 
 
+class Forest:
+    """Union-find over the rows of one task; keeps only links that join two trees."""
+
+    def __init__(self, n: int):
+        self.parent = np.arange(n)
+        self.links: list[tuple[int, int]] = []
+
+    def roots(self, rows: np.ndarray) -> np.ndarray:
+        at = self.parent[rows]
+        while True:
+            up = self.parent[at]
+            if np.array_equal(up, at):
+                self.parent[rows] = at
+                return at
+            at = up
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Join a[k] with b[k] for all k: each round every tree hooks to its smallest neighbour."""
+        while len(a):
+            ra, rb = self.roots(a), self.roots(b)
+            open_ = ra != rb
+            a, b, ra, rb = a[open_], b[open_], ra[open_], rb[open_]
+            if not len(a):
+                return
+            high, low = np.maximum(ra, rb), np.minimum(ra, rb)
+            _, first = np.unique(high, return_index=True)
+            self.parent[high[first]] = low[first]
+            self.links += zip(a[first].tolist(), b[first].tolist(), strict=True)
+
+
 def connected_components(edges: DataFrame, label: str = "edges") -> DataFrame:
     """(node, component) for every node of ``edges(a, b)``; component is the smallest node reachable.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, language, license_scan, packing, quality, simhash, toxicity
+from . import embeddings, fingerprints, language, license_scan, packing, quality, simhash, toxicity
 from .common import fold, table
 
 
@@ -31,6 +31,10 @@ def op5_quality(spark: SparkSession, d: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op6_embeddings(spark: SparkSession, d: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, d, "embeddings"))
+
+
 def op7_toxicity(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     scored = toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, d, "labels")))
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op4_fingerprints": op4_fingerprints,
     "op5_quality": op5_quality,
+    "op6_embeddings": op6_embeddings,
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, encoded, staged
+from .common import Forest, connected_components, encoded, staged
 
 WORDS, RADIUS, BLOCKS = 4, 4, 3
 # Sample for the upper levels; rows a shard aims at; rows of one side of a comparison.
@@ -149,36 +149,6 @@ def near_pairs(left: np.ndarray, right: np.ndarray, radius: int) -> Iterator[tup
         yield i + low, j
 
 
-class Forest:
-    """Union-find over the rows of one task; keeps only links that join two trees."""
-
-    def __init__(self, n: int):
-        self.parent = np.arange(n)
-        self.links: list[tuple[int, int]] = []
-
-    def roots(self, rows: np.ndarray) -> np.ndarray:
-        at = self.parent[rows]
-        while True:
-            up = self.parent[at]
-            if np.array_equal(up, at):
-                self.parent[rows] = at
-                return at
-            at = up
-
-    def add(self, a: np.ndarray, b: np.ndarray) -> None:
-        """Join a[k] with b[k] for all k: each round every tree hooks to its smallest neighbour."""
-        while len(a):
-            ra, rb = self.roots(a), self.roots(b)
-            open_ = ra != rb
-            a, b, ra, rb = a[open_], b[open_], ra[open_], rb[open_]
-            if not len(a):
-                return
-            high, low = np.maximum(ra, rb), np.minimum(ra, rb)
-            _, first = np.unique(high, return_index=True)
-            self.parent[high[first]] = low[first]
-            self.links += zip(a[first].tolist(), b[first].tolist(), strict=True)
-
-
 def _shard_links(points: np.ndarray, side: np.ndarray, cell: tuple[int, int] | None, mask: int, radius: int, part: int) -> list[tuple[int, int]]:
     forest = Forest(len(points))
     if cell is None or cell[0] == cell[1]:
