@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, fingerprints, language, license_scan, packing, quality, simhash, toxicity
+from . import embeddings, fingerprints, language, license_scan, packing, quality, simhash, toxicity, warc
 from .common import fold, table
 
 
@@ -50,6 +50,11 @@ def op9_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, d, "documents")))
 
 
+def op10_warc(spark: SparkSession, d: str) -> DataFrame:
+    found = warc.archive_pages(table(spark, d, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license": op1_license,
     "op2_language": op2_language,
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
+    "op10_warc": op10_warc,
 }
 
-ORACLES: dict[str, str] = {"op1_license": license_scan.oracle_sql()}
+ORACLES: dict[str, str] = {"op1_license": license_scan.oracle_sql(), "op10_warc": warc.oracle_sql()}
