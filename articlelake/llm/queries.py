@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, fingerprints, language, license_scan, packing, quality, simhash, toxicity, warc
+from . import embeddings, fingerprints, language, license_scan, packing, quality, sentencepiece_fst, simhash, toxicity, warc
 from .common import fold, table
 
 
@@ -21,6 +21,10 @@ def op2_language(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op3_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+    return sentencepiece_fst.round_trip(table(spark, d, "documents"))
+
+
 def op4_fingerprints(spark: SparkSession, d: str) -> DataFrame:
     return fingerprints.edit_report(table(spark, d, "documents"))
 
@@ -58,6 +62,7 @@ def op10_warc(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license": op1_license,
     "op2_language": op2_language,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_fingerprints": op4_fingerprints,
     "op5_quality": op5_quality,
     "op6_embeddings": op6_embeddings,
