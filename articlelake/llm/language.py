@@ -92,7 +92,7 @@ class LanguageModel:
         for text in texts:
             sums.append(None if text is None else np.zeros(len(self.languages)))
             sizes.append(len(text or b""))
-            if text is None:
+            if text is None or not self.languages:
                 continue
             text = text.lower()
             for low in range(0, len(text), BATCH * WINDOW):

@@ -1,0 +1,89 @@
+import numpy as np
+import pytest
+
+from articlelake.llm import embeddings as em
+
+KIND = "vec_id long, embedding array<float>, label int, leaf long, component_id string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, v, y, -1, "x") for i, v, y in rows], KIND)
+
+
+def brute(rows, threshold=em.THRESHOLD):
+    """n_links and component of every row with an id, all pairs compared."""
+    unit = []
+    for i, v, y in rows:
+        ok = i is not None and y is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)
+        a = np.array(v, np.float32).astype(float) if ok else None
+        unit.append(a / np.linalg.norm(a) if ok else None)
+    links = [[] for _ in rows]
+    for a in range(len(rows)):
+        for b in range(len(rows)):
+            if a != b and unit[a] is not None and unit[b] is not None and rows[a][2] == rows[b][2] and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= threshold:
+                links[a].append(b)
+    out = []
+    for a in range(len(rows)):
+        seen, todo = {a}, [a]
+        while todo:
+            for b in links[todo.pop()]:
+                if b not in seen:
+                    seen.add(b)
+                    todo.append(b)
+        low = min((rows[b][0] for b in seen if rows[b][0] is not None), default=None)
+        out.append((rows[a][0], len(links[a]), low, rows[a][0] is not None and rows[a][0] == low))
+    return sorted(out, key=repr)
+
+
+def result(df):
+    return sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in df.collect()), key=repr)
+
+
+def clustered(n, dim, seed, spread):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(n // 6, dim))
+    points = np.concatenate([rng.normal(size=(n, dim)), centres[rng.integers(0, len(centres), n)] + rng.normal(size=(n, dim)) * spread])
+    return [(k, [float(x) for x in p], int(k % 3)) for k, p in enumerate(points.astype(np.float32))]
+
+
+def test_recall_against_brute_force(spark, monkeypatch):
+    """Forest with many levels; pairs right at the threshold are the hardest."""
+    monkeypatch.setattr(em, "LEAF_ROWS", 24)
+    rows = clustered(600, 32, 1, 0.27)
+    want = {r[0]: r[1] for r in brute(rows)}
+    got = {r.vec_id: r.n_links for r in em.near_duplicates(frame(spark, rows)).collect()}
+    assert sum(want.values()) > 200
+    assert all(got[k] <= want[k] for k in want)  # no false link, none counted twice
+    assert sum(got.values()) >= 0.95 * sum(want.values())
+
+
+def test_large_group_of_near_copies(spark, monkeypatch):
+    """More rows than a side: cells of one leaf, every link counted once."""
+    monkeypatch.setattr(em, "LEAF_ROWS", 16)
+    monkeypatch.setattr(em, "SIDE_ROWS", 20)
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=16)
+    rows = [(k, (centre + rng.normal(size=16) * 0.02).astype(np.float32).tolist(), 1) for k in range(150)]
+    rows += [(1000 + k, centre.astype(np.float32).tolist(), 1) for k in range(60)]
+    assert result(em.near_duplicates(frame(spark, rows))) == brute(rows)
+
+
+@pytest.mark.parametrize("size", [1, 2])
+def test_odd_rows(spark, size):
+    v = [1.0, 2.0] * size
+    rows = [
+        (1, v, 1), (2, v, 1), (2, v, 1), (3, v, 2), (4, v, None), (5, None, 1), (6, [0.0] * len(v), 1), (7, [float("nan"), *v[1:]], 1),
+        (8, [None, *v[1:]], 1), (9, [float("inf"), *v[1:]], 1), (None, v, 1), (10, [], 1), (11, [2 * x for x in v], 1),
+        (12, [-x for x in v], 1), (13, [*v, 0.0], 1), (14, [1e-30 * x for x in v], 1), (15, [1e30 * x for x in v], 1), (16, [-0.0] * len(v), 1),
+    ]
+    assert result(em.near_duplicates(frame(spark, rows))) == brute(rows)
+
+
+def test_empty_table(spark):
+    assert em.near_duplicates(frame(spark, [])).count() == 0
+
+
+def test_corpus(spark, sf):
+    table = spark.read.parquet(f"{sf}/embeddings.parquet")
+    rows = [(r.vec_id, list(r.embedding), r.label) for r in table.collect()]
+    assert result(em.near_duplicates(table)) == brute(rows)
