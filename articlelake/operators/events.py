@@ -27,7 +27,6 @@ def scan_mentions(sections: DataFrame, keys: tuple[str, ...] = ("article_id",))
 def parsed_events(mentions: DataFrame, keys: tuple[str, ...] = ("article_id",)) -> DataFrame:
     """Rows of ``parsed_event`` with open intervals."""
     return mentions.select(
-        F.xxhash64(*EVENT_KEY).alias("id"),
         *keys,
         "section_id",
         F.lit(None).cast("bigint").alias("start_date"),

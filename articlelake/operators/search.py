@@ -7,9 +7,6 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a limited search that are broadcast; each is one redirect title.
-MAX_BROADCAST_HITS = 100_000
-
 
 def like_pattern(search: str) -> str:
     """Prefix search unless the text has its own ``%``; a backslash before any other
@@ -50,8 +47,7 @@ def search_titles(articles: DataFrame, search: str, max_results: int | None = No
     """``sub_title`` matched, and the ``id, title, description`` it leads to, by title.
 
     Titles are unique, so a limited search is cut to its ``max_results`` hits before the
-    join. The few redirect targets are then found by one scan of the article table with a
-    broadcast of at most that many titles: the table is never shuffled.
+    join. The redirect targets of these hits are then found by a semi join with at most that many titles.
     """
     if search == "":
         return _resolved(articles.where(F.lit(False)), articles)
@@ -59,11 +55,9 @@ def search_titles(articles: DataFrame, search: str, max_results: int | None = No
     if max_results is None:
         return resolve_redirects(hits, articles)
     hits = hits.orderBy("title", "id").limit(max_results)
-    if max_results > MAX_BROADCAST_HITS:
-        return resolve_redirects(hits, articles).orderBy("sub_title", "id")
     wanted = hits.where("redirect is not null").select(F.col("redirect").alias("title")).distinct()
-    targets = articles.select("id", "title", "description").join(F.broadcast(wanted), "title", "left_semi")
-    return _resolved(hits, F.broadcast(targets)).orderBy("sub_title", "id")
+    targets = articles.select("id", "title", "description").join(wanted, "title", "left_semi")
+    return _resolved(hits, targets).orderBy("sub_title", "id")
 
 
 def title_matches_loosely(title, search: str):

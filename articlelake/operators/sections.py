@@ -27,6 +27,7 @@ BLOCKS = {
 }
 FORMATS = {"a": "a", "b": "b", "strong": "b", "i": "i", "em": "i", "blockquote": "blockquote"}
 TRANSPARENT = {"section", "span", "abbr", "u", "div", "thead", "tbody"}
+# Ids of headings whose section is dropped.
 BOILERPLATE = ("References", "External_links", "Bibliography", "Citations")
 # HTML void elements; elements whose text is not part of the page text.
 VOID = set("area base basefont bgsound br col command embed frame hr image img input isindex keygen "
@@ -45,6 +46,19 @@ _PLAIN = re.compile(
 _ATTRIBUTE = re.compile(r" ([a-z-]+)=\"([^\"]*)\"")
 
 
+def _character(name: str) -> str:
+    """The character of a numeric reference; U+FFFD where there is none."""
+    try:
+        code = int(name[1:], 16) if name[0] in "xX" else int(name)
+        if 0xD800 <= code < 0xE000:
+            return "\N{REPLACEMENT CHARACTER}"
+        return bytes([code]).decode("windows-1252") if code < 256 else chr(code)
+    except UnicodeDecodeError:
+        return chr(code)
+    except (ValueError, OverflowError):
+        return "\N{REPLACEMENT CHARACTER}"
+
+
 class _Soup(HTMLParser):
     """Flat list of nodes in document order: ``[tag, attrs, end, parent]`` for elements,
     where ``end`` is the index after the subtree, and ``[None, text, end, parent]`` for text."""
@@ -154,13 +168,7 @@ class _Soup(HTMLParser):
         self.text.append(known.get(name + ";") or known.get(name) or "&" + name)
 
     def handle_charref(self, name):
-        code = int(name[1:], 16) if name[0] in "xX" else int(name)
-        try:
-            self.text.append(bytes([code]).decode("windows-1252") if code < 256 else chr(code))
-        except UnicodeDecodeError:
-            self.text.append(chr(code))
-        except (ValueError, OverflowError):
-            self.text.append("\N{REPLACEMENT CHARACTER}")
+        self.text.append(_character(name))
 
     def handle_comment(self, data):
         self._flush()
@@ -202,8 +210,12 @@ def _subtree_text(nodes: list, i: int, emptied: set) -> str:
 
 
 def _span_count(attrs: dict, name: str) -> int:
+    """The numeric attribute; 1 where it is no number or none that a column can hold."""
     value = attrs.get(name, "")
-    return int(value) if value.isdecimal() else 1
+    if not value.isdecimal() or len(value) > 10:
+        return 1
+    number = int(value)
+    return number if number < 1 << 31 else 1
 
 
 def walk(nodes: list, title: str, extra_containers: frozenset = frozenset()) -> list:
@@ -218,16 +230,20 @@ def walk(nodes: list, title: str, extra_containers: frozenset = frozenset()) ->
         return sections
     emptied = _cleared(nodes)
     transparent = TRANSPARENT | extra_containers
-    buffer = ""
+    buffer, length = [], 0  # pieces, and characters of all of them
     closing = []  # (end, tag, section, attrs), innermost last
     parents = [0]
     counters = [[0, 0]]  # row, column per table depth
 
     def append(text):
-        nonlocal buffer
-        start = len(buffer) + 1 if buffer and text else len(buffer)
-        buffer = buffer + " " + text if start > len(buffer) else buffer + text
-        return start, len(buffer)
+        nonlocal length
+        if length and text:
+            buffer.append(" ")
+            length += 1
+        start = length
+        buffer.append(text)
+        length += len(text)
+        return start, length
 
     i, last = body + 1, nodes[body][2]
     if body in emptied:
@@ -240,7 +256,7 @@ def walk(nodes: list, title: str, extra_containers: frozenset = frozenset()) ->
                 continue
             if tag != "caption":
                 s = sections[section]
-                s[3] = buffer
+                s[3] = "".join(buffer)
                 parents.pop()
                 if tag in ("td", "th"):
                     s[4], s[5] = counters[-1]
@@ -248,7 +264,7 @@ def walk(nodes: list, title: str, extra_containers: frozenset = frozenset()) ->
                     counters[-1][1] += 1
                 elif tag == "table":
                     counters.pop()
-            buffer = ""
+            buffer, length = [], 0
         if i >= last:
             return sections
         tag, attrs, end, _ = nodes[i]
@@ -266,14 +282,14 @@ def walk(nodes: list, title: str, extra_containers: frozenset = frozenset()) ->
         elif tag in HEADINGS:
             text = _subtree_text(nodes, i, emptied)
             sections.append([parents[-1], HEADINGS[tag], None, text, None, None, None, None, []])
-            buffer = ""
+            buffer, length = [], 0
             i = end
             continue
         elif tag in BLOCKS:
             kind = BLOCKS[tag]
             label = tag if kind in ("LIST_ITEM", "TABLE_CELL") else None
             sections.append([parents[-1], kind, label, None, None, None, None, None, []])
-            buffer = ""
+            buffer, length = [], 0
             if tag == "table":
                 counters.append([0, 0])
             parents.append(len(sections) - 1)
@@ -304,7 +320,8 @@ def _walker(n_keys: int, names: list[str], extra_containers: frozenset, implied_
             for row, (title, page) in enumerate(zip(titles, pages)):
                 try:
                     sections, failed = walk(soup.read(page or ""), title, extra_containers), False
-                except AssertionError:  # markup declarations the tokenizer refuses
+                except Exception:  # any page that cannot be walked is marked; the job goes on
+                    soup = _Soup(implied_p_end)
                     sections, failed = walk([], title), True
                 for n, section in enumerate(sections):
                     picks.append(row)
@@ -390,10 +407,8 @@ def format_spans(parsed: DataFrame, keys: tuple[str, ...] = ("article_id",)) ->
 
 
 def article_section_format(parsed: DataFrame) -> DataFrame:
-    return format_spans(parsed).select(
-        F.xxhash64("article_id", "section_id", "ord").alias("id"),
-        "article_id", "section_id", "start_pos", "end_pos", "format", "link",
-    )
+    """Rows of ``article_section_format``; the key is the span's place: article, section, ordinal."""
+    return format_spans(parsed)
 
 
 def section_children(sections: DataFrame, keys: tuple[str, ...] = ("article_id",)) -> DataFrame:

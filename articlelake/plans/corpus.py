@@ -173,7 +173,6 @@ def chained_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.date_format(d, "d MMMM"))
     )
     return table(spark, sf_dir, "orders").select(
-        F.xxhash64("o_orderkey").alias("id"),
         F.col("o_custkey").alias("article_id"),
         (key % 3).cast("int").alias("section_id"),
         F.lit(None).cast("bigint").alias("start_date"),

@@ -8,10 +8,11 @@ INGEST_JSON = (
 )
 BODY_JSON = "name string, url string, article_body struct<html:string>, _corrupt string"
 
-LINES = "dump_file_id bigint, file_name string, dump_idx bigint, value string"
-
 DUMP_FILE = "id bigint, file_name string, size bigint, modified timestamp"
 
+# Lines of each part that the stream has ingested.
+DUMP_PART = "file_name string, file_path string, lines bigint"
+
 ARTICLE = (
     "id bigint, title string, title_srch string, description string, `update` timestamp, "
     "dump_file_id bigint, dump_idx bigint, url string, redirect string, no_dates boolean, "
@@ -27,17 +28,17 @@ ARTICLE_SECTION = (
 ARTICLE_SECTION_EXT_TEXT = "article_id bigint, section_id int, count_id int, text string"
 
 ARTICLE_SECTION_FORMAT = (
-    "id bigint, article_id bigint, section_id int, start_pos int, end_pos int, format string, "
-    "link string"
+    "article_id bigint, section_id int, ord int, start_pos int, end_pos int, format string, link string"
 )
 
 PARSED_EVENT = (
-    "id bigint, article_id bigint, section_id int, start_date bigint, end_date bigint, "
+    "article_id bigint, section_id int, start_date bigint, end_date bigint, "
     "parse_status int, date_text string, start_pos int, end_pos int, display_text string"
 )
 
 TABLES = {
     "dump_file": DUMP_FILE,
+    "dump_part": DUMP_PART,
     "article": ARTICLE,
     "article_section": ARTICLE_SECTION,
     "article_section_ext_text": ARTICLE_SECTION_EXT_TEXT,
@@ -54,11 +55,12 @@ CHILD_TABLES = (
 
 PRIMARY_KEYS = {
     "dump_file": ("id",),
+    "dump_part": ("file_path",),
     "article": ("id",),
     "article_section": ("article_id", "section_id"),
     "article_section_ext_text": ("article_id", "section_id", "count_id"),
-    "article_section_format": ("id",),
-    "parsed_event": ("id",),
+    "article_section_format": ("article_id", "section_id", "ord"),
+    "parsed_event": ("article_id", "section_id", "start_pos"),
 }
 
 # Stored column widths in characters.

@@ -1,17 +1,13 @@
-"""Session helpers: shared scratch folder, staged tables, checked broadcasts."""
+"""Session helpers: shared scratch folder and staged tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Largest row count that is ever broadcast on our own initiative. Sides handed to
-# `broadcast_if_small` are narrow (keys, offsets), well under 200 bytes a row.
-BROADCAST_ROWS = 500_000
-
 
 def build_session(app: str = "articlelake", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs expect; extra settings win."""
@@ -35,38 +31,76 @@ def build_session(app: str = "articlelake", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+def _one_machine(spark: SparkSession) -> bool:
+    """True where driver and executors are one process (``local``, ``local[8]``)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """Folder all executors share, as named by ``spark.checkpoint.dir``."""
+    """Folder all executors share, as named by ``spark.checkpoint.dir``.
+
+    Where the setting is missing, only a session of one process gets a folder of its own.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not _one_machine(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="articlelake-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/articlelake/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/articlelake/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to shared storage once and read it back.
 
     Used where an expensive result feeds several consumers: the copy outlives any
-    executor and gives the optimizer exact sizes.
+    executor and gives the optimizer exact sizes. :func:`discard` deletes a copy that nothing
+    reads any more, :func:`release_scratch` those of the whole application.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Bounded count: reads at most ``max_rows + 1`` rows."""
-    return df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after counting; otherwise the planner's own join choice."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def discard(staged: DataFrame) -> None:
+    """Delete the copy behind a DataFrame that :func:`stage` returned."""
+    _delete(staged.sparkSession, staged._staged_at)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete every staged copy of this application. Results read from them are gone: write them first."""
+    _delete(spark, _own_folder(spark))
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` with its rank from 0 in ``order``, without sending all rows through one task.
+
+    Rows are range partitioned and numbered inside each partition; only one count per
+    partition is accumulated.
+    """
+    placed = stage(
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_seq", F.monotonically_increasing_id()), name
+    )
+    part = F.shiftright("_seq", 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    at = F.col("_seq") - F.shiftleft("_part", 33)
+    return placed.withColumn("_part", part).join(starts, "_part").withColumn(name, F.col("_before") + at).drop("_seq", "_part", "_before")

@@ -8,8 +8,6 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import broadcast_if_small
-
 BATCH_BYTES = 16 << 20
 _SCHEMA = "archive string, file_name string, dump_idx bigint, value string"
 
@@ -58,14 +56,14 @@ def read_archives(spark: SparkSession, path) -> DataFrame:
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.tar.gz")
         .load(path).select("path")
     )
-    spread = archives.repartition(max(1, min(len(archives.inputFiles()), 10_000)))
+    spread = archives.repartition(max(1, len(archives.inputFiles())))
     return spread.mapInArrow(_members, _SCHEMA)
 
 
 def only_new_files(lines: DataFrame, known: DataFrame) -> DataFrame:
     """Drop members whose name is already present."""
     names = known.select("file_name").distinct()
-    return lines.join(broadcast_if_small(names), "file_name", "left_anti")
+    return lines.join(names, "file_name", "left_anti")
 
 
 def write_files(lines: DataFrame, path: str, compress: bool = False, mode: str = "append") -> None:

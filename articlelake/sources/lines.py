@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.article import article_id
 from ..schemas import DUMP_FILE
-from ..session import broadcast_if_small, stage
+from ..session import numbered, stage
 
-# Split descriptors are ~100 bytes; two million of them cover 250 TB of default splits.
-MAX_BROADCAST_SPLITS = 2_000_000
+# Split offsets broadcast at once: about 150 bytes each.
+SPLITS_A_SHARE = 200_000
+# Lines of a file that one row of wanted positions stands for.
+CHUNK_LINES = 1 << 15
 
 
 def list_files(spark: SparkSession, path, packed: bool = False) -> DataFrame:
@@ -34,11 +37,7 @@ def list_files(spark: SparkSession, path, packed: bool = False) -> DataFrame:
 
 
 def upsert_catalog(existing: DataFrame, listed: DataFrame) -> DataFrame:
-    """Refresh known files, number new ones after the highest known id in name order.
-
-    The catalog has one row per file, so the numbering window is no larger than the file
-    listing the scan itself needs.
-    """
+    """Refresh known files, number new ones after the highest known id in name order."""
     merged = existing.alias("e").join(listed.alias("n"), "file_name", "full_outer").select(
         "file_name",
         "id",
@@ -47,10 +46,14 @@ def upsert_catalog(existing: DataFrame, listed: DataFrame) -> DataFrame:
     )
     known = merged.where("id is not null")
     highest = F.coalesce(existing.agg(F.max("id")).scalar(), F.lit(0))
-    fresh = merged.where("id is null").withColumn(
-        "id", highest + F.row_number().over(Window.orderBy("file_name")).cast("bigint")
-    )
-    return known.unionByName(fresh).select("id", "file_name", "size", "modified")
+    fresh = numbered(merged.where("id is null").drop("id"), ["file_name"], "_rank").withColumn("id", highest + F.col("_rank") + 1)
+    columns = ["id", "file_name", "size", "modified"]
+    return known.select(*columns).unionByName(fresh.select(*columns))
+
+
+def uncatalogued(listed: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Listed files that :func:`read_lines` leaves out because the catalog does not know them."""
+    return listed.join(catalog.select("file_name"), "file_name", "left_anti")
 
 
 def empty_catalog(spark: SparkSession) -> DataFrame:
@@ -77,70 +80,96 @@ def mark_lines(text: DataFrame, packed: bool = False) -> DataFrame:
         name.alias("file_name"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
+        F.col("_metadata.file_modification_time").alias("written"),
         "value",
     )
 
 
-def number_lines(marked: DataFrame) -> DataFrame:
-    """0-based line number within each dump file, without moving any line.
+def number_lines(marked: DataFrame, catalog: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """``(dump_file_id, file_name, dump_idx, value)``: 0-based line number within each dump file.
 
     Pass one counts lines per scan split (the text column is pruned away); the counts are
-    accumulated per file, giving each split its first line number. Pass two adds the
-    position inside the split. A file of any size is numbered by all its splits in
-    parallel, where a window over the file would need one task for the whole file.
+    accumulated per file, giving each split its first line number and its file's id. Pass two
+    adds the position inside the split. A file of any size is numbered by all its splits in
+    parallel, where a window over the file would need one task for the whole file, and no line
+    is moved: split offsets are handled in shares of the files, each small enough to broadcast.
 
+    ``earlier(file_name, lines)`` says how many lines of a file came before (in parts that are not
+    scanned); its numbers go on from there. Files that the catalog does not name are left out.
     Both passes must see the same splits. Should the layout differ after all (see
     ``spark.sql.files.minPartitionNum``), the query fails instead of misnumbering.
     """
     seq = F.monotonically_increasing_id()
     splits = (
-        marked.select("file_name", "file_path", "block_start", seq.alias("seq"))
+        marked.select("file_name", "file_path", "block_start", "written", seq.alias("seq"))
         .groupBy("file_name", "file_path", "block_start")
-        .agg(F.min("seq").alias("first_seq"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min("seq").alias("first_seq"), F.count(F.lit(1)).alias("n"), F.min("written").alias("written"))
     )
-    # Parts of one packed file carry growing numbers, padded to five digits.
-    earlier = (
-        Window.partitionBy("file_name").orderBy(F.length("file_path"), "file_path", "block_start")
+    # Parts of one packed file carry the name of the job that wrote them and growing numbers, padded
+    # to five digits. Jobs come in the order of their first part's time.
+    job = F.regexp_extract("file_path", r"part-\d+-([0-9a-f-]{36})", 1)
+    splits = splits.withColumn("job", job).withColumn(
+        "job_time", F.min("written").over(Window.partitionBy("file_name", "job"))
+    )
+    before = (
+        Window.partitionBy("file_name").orderBy("job_time", "job", F.length("file_path"), "file_path", "block_start")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    if earlier is None:
+        known = splits.withColumn("lines", F.lit(0))
+    else:
+        known = splits.join(earlier.select("file_name", "lines"), "file_name", "left")
+    ids = catalog.select(F.col("id").alias("dump_file_id"), "file_name")
     offsets = stage(
-        splits.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("file_name"),
+        known.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)) + F.coalesce("lines", F.lit(0)))
+        .join(ids, "file_name", "left")
+        .drop("lines", "written", "job", "job_time"),
         "splits",
     )
     at = F.col("seq") - F.col("first_seq")
-    return (
-        marked.withColumn("seq", seq)
-        .join(broadcast_if_small(offsets, MAX_BROADCAST_SPLITS), ["file_path", "block_start"], "left")
-        .select(
+    counted = marked.withColumn("seq", seq)
+    misread = F.raise_error(F.lit("scan splits changed between passes; pin spark.sql.files.minPartitionNum"))
+    result = None
+    # One share of the files up to 25 TB of default splits; a file is opened for its share only.
+    shares = offsets.count() // SPLITS_A_SHARE + 1
+    for share in range(shares):
+        here = F.pmod(F.xxhash64("file_name"), F.lit(shares)) == share
+        own = F.broadcast(offsets.where(here).drop("file_name").withColumn("counted", F.lit(True)))
+        joined = counted.where(here).join(own, ["file_path", "block_start"], "left")
+        # A split that was not counted must fail, not pass for a file without an id.
+        lines = joined.where(F.when(F.col("counted").isNull(), True).otherwise(F.col("dump_file_id").isNotNull())).select(
+            "dump_file_id",
             "file_name",
-            F.when((at >= 0) & (at < F.col("n")), F.col("before") + at)
-            .otherwise(F.raise_error(F.lit("scan splits changed between passes; pin spark.sql.files.minPartitionNum")).cast("bigint"))
-            .alias("dump_idx"),
+            F.when((at >= 0) & (at < F.col("n")), F.col("before") + at).otherwise(misread.cast("bigint")).alias("dump_idx"),
             "value",
         )
-    )
+        result = lines if result is None else result.unionByName(lines)
+    return result
 
 
 def read_lines(
     spark: SparkSession, path, catalog: DataFrame, packed: bool = False, only: list[str] | None = None
 ) -> DataFrame:
     """``(dump_file_id, file_name, dump_idx, value)`` of the catalogued files."""
-    return with_file_id(number_lines(scan_lines(spark, path, packed, only)), catalog)
+    return number_lines(scan_lines(spark, path, packed, only), catalog)
 
 
 def read_pending_lines(
     spark: SparkSession, path, catalog: DataFrame, articles: DataFrame, packed: bool = False
 ) -> DataFrame:
-    """Lines not ingested yet. Files before the high-water mark are not opened; the driver
-    handles file names only, which it lists anyway."""
+    """Lines not ingested yet. Files before the high-water mark, and files that the catalog does
+    not name, are not opened. The names are no more than the file listing the scan itself holds."""
     names = [r.file_name for r in pending_files(catalog, articles).select("file_name").collect()]
-    only = names if len(names) < catalog.count() else None
-    return resume_lines(read_lines(spark, path, catalog, packed, only), articles)
+    return resume_lines(read_lines(spark, path, catalog, packed, names), articles)
 
 
-def with_file_id(lines: DataFrame, catalog: DataFrame) -> DataFrame:
-    ids = catalog.select(F.col("id").alias("dump_file_id"), "file_name")
-    return lines.join(broadcast_if_small(ids), "file_name").select("dump_file_id", "file_name", "dump_idx", "value")
+def read_lines_at(
+    spark: SparkSession, path, catalog: DataFrame, articles: DataFrame, packed: bool = False
+) -> DataFrame:
+    """The stored line of each given article; only the files that hold one are opened."""
+    held = articles.where("dump_file_id is not null").select(F.col("dump_file_id").alias("id")).distinct()
+    names = [r.file_name for r in catalog.join(held, "id", "left_semi").select("file_name").collect()]
+    return lines_at(read_lines(spark, path, catalog, packed, names), articles)
 
 
 def lines_per_file(lines: DataFrame) -> DataFrame:
@@ -171,15 +200,31 @@ def resume_lines(lines: DataFrame, articles: DataFrame) -> DataFrame:
     )
 
 
-def lines_at(lines: DataFrame, articles: DataFrame) -> DataFrame:
-    """The stored line of each given article, with its ``article_id``.
+def wanted_lines(lines: DataFrame, keys: DataFrame) -> DataFrame:
+    """Lines whose position is in ``keys(dump_file_id, dump_idx)``.
 
-    A key set of checked size is broadcast against the scan. A larger one leaves the join
-    to the planner; :func:`articlelake.operators.detail.refresh_articles` avoids it.
+    Positions are gathered into runs of neighbours, one row for each stretch of CHUNK_LINES lines
+    of a file. "All", "none" and "the rest of a file" are a few bytes a stretch, so the planner
+    can broadcast them against the scan and the text stays where it is.
     """
-    keys = articles.where("dump_file_id is not null").select(
-        F.col("id").alias("article_id"), "dump_file_id", "dump_idx"
+    chunk = F.call_function("div", "dump_idx", F.lit(CHUNK_LINES))
+    own = keys.select("dump_file_id", "dump_idx", chunk.alias("chunk")).distinct()
+    order = Window.partitionBy("dump_file_id", "chunk").orderBy("dump_idx")
+    island = own.withColumn("island", F.col("dump_idx") - F.row_number().over(order))
+    runs = island.groupBy("dump_file_id", "chunk", "island").agg(F.min("dump_idx").alias("low"), F.max("dump_idx").alias("high"))
+    stretches = runs.groupBy("dump_file_id", "chunk").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
+    stretches = stage(stretches, "wanted-lines")
+    return (
+        lines.withColumn("chunk", chunk)
+        .join(stretches, ["dump_file_id", "chunk"])
+        .where(F.exists("runs", lambda r: F.col("dump_idx").between(r["low"], r["high"])))
+        .select(*lines.columns)
     )
-    return lines.join(broadcast_if_small(stage(keys, "keys")), ["dump_file_id", "dump_idx"]).select(
-        "article_id", "dump_file_id", "file_name", "dump_idx", "value"
+
+
+def lines_at(lines: DataFrame, articles: DataFrame) -> DataFrame:
+    """The stored line of each given article, with its ``article_id``."""
+    found = wanted_lines(lines, articles.where("dump_file_id is not null").select("dump_file_id", "dump_idx"))
+    return found.select(
+        article_id(F.col("dump_file_id"), F.col("dump_idx")).alias("article_id"), "dump_file_id", "file_name", "dump_idx", "value"
     )

@@ -223,3 +223,49 @@ def test_long_section_overflows(spark):
     rows = article_section_ext_text(parse_articles(lines)).orderBy("count_id").collect()
     assert [(r.section_id, r.count_id, len(r.text)) for r in rows] == [(1, 0, 14000), (1, 1, 2000)]
     assert "html" in BODY_JSON
+
+
+@pytest.mark.parametrize(
+    "markup, text",
+    [("&#xD800;a", "\ufffda"), ("&#57343;", "\ufffd"), ("&#" + "9" * 5000 + ";b", "\ufffdb"), ("&#x110000;", "\ufffd"), ("&#0;c", "\x00c")],
+)
+def test_odd_references_become_replacement_characters(markup, text):
+    assert run(f"<p>{markup}</p>")[1][3] == text
+
+
+@pytest.mark.parametrize("value", ["99999999999", "9" * 6000, "2147483648", "-1", "x", ""])
+def test_span_numbers_that_do_not_fit_are_one(value):
+    cell = next(s for s in run(f'<table><tr><td colspan="{value}" rowspan="2147483647">a</td></tr></table>') if s[1] == "TABLE_CELL")
+    assert cell[6:8] == [2147483647, 1]
+
+
+def test_a_bad_page_does_not_fail_the_job(spark):
+    pages = ["<body><p>good</p></body>", "<body><![x[", "<body><p>&#xD800;</p></body>", '<body><table><tr><td colspan="99999999999">x</td></tr></table></body>', None]
+    frame = spark.createDataFrame(list(enumerate(pages)), "id long, html string").selectExpr("id", "html", "'t' as title")
+    rows = parse_sections(frame, ["id"]).collect()
+    assert {r.id for r in rows} == set(range(5)) and {r.id for r in rows if r.parse_error} == {1}
+
+
+def test_any_failure_is_marked_on_its_own_page(spark):
+    """The walk recurses nowhere and trusts nothing: even a failure it does not expect stays with its page."""
+    deep = "<body>" + "<div>" * 50_000 + "x" + "</div>" * 50_000 + "</body>"
+    frame = spark.createDataFrame([(1, deep), (2, "<body><p>b</p></body>")], "id long, html string").selectExpr("id", "html", "'t' as title")
+    assert {r.id: r.text for r in parse_sections(frame, ["id"]).where("tag <> 'HEADING'").collect()} == {2: "b"}
+
+
+def test_long_paragraphs_take_linear_time():
+    import time
+
+    page = "<p>" + "word <span>of</span> text " * 250_000 + "</p>"
+    assert len(page) > 5_000_000
+    start = time.process_time()
+    (_, p) = run(page)
+    assert time.process_time() - start < 10 and len(p[3]) > 3_000_000
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet='<>/&#xD8;"= \'ptdhra0129col!-[]', max_size=80))
+def test_odd_markup_gives_storable_rows(markup):
+    for s in run(markup):
+        s[3].encode()
+        assert all(x is None or x < 1 << 31 for x in s[4:8])
