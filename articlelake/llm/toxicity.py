@@ -179,10 +179,15 @@ def calibrate(evidence: np.ndarray, labels: np.ndarray, share: float) -> tuple[f
     return float(w[0]), float(w[1]), float(w[2])
 
 
+def _prefixes(words: Column, n: int) -> Column:
+    """Marked heads of ``n`` letters of the longer words."""
+    return F.transform(F.filter(words, lambda w: F.length(w) > n), lambda w: F.concat(F.substring(w, 1, n), F.lit("*")))
+
+
 def token_counts(sample: DataFrame) -> DataFrame:
     """(half, token, toxic, clean): documents of ``sample(text, _label, half)`` with each word or marked prefix."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
-    marked = [F.transform(F.filter(words, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*"))) for n in PREFIXES]
+    marked = [_prefixes(words, n) for n in PREFIXES]
     tokens = sample.select("_label", "half", F.explode(F.array_distinct(F.concat(words, *marked))).alias("token"))
     return tokens.groupBy("half", "token").agg(F.sum("_label").alias("toxic"), F.sum(1 - F.col("_label")).alias("clean"))
 

@@ -87,3 +87,10 @@ def test_nothing_to_learn(spark, sf):
 def test_passages_column(spark):
     row = odd(spark).where("doc_id = 5").select(small().passages_of("text").alias("p")).first()
     assert row.p == [] and LONG
+
+
+def test_token_counts(spark):
+    rows = [("Scum scum here", 1, True), ("Scummiest", 1, True), ("here", 0, True), (None, 0, True)]
+    counted = toxicity.token_counts(spark.createDataFrame(rows, "text string, _label int, half boolean"))
+    got = {r.token: (r.toxic, r.clean) for r in counted.collect()}
+    assert got == {"scum": (1, 0), "here": (1, 1), "scummiest": (1, 0), "scummi*": (1, 0), "scumm*": (1, 0), "scum*": (1, 0)}
