@@ -22,21 +22,29 @@ MONTHS = [
     "January", "February", "March", "April", "May", "June", "July", "August", "September",
     "October", "November", "December",
 ]
-_MONTH = "(" + "|".join(MONTHS) + ")"
+# Every spelling of a month stands at its number modulo twelve.
+_NAMES = MONTHS + [m[:3] for m in MONTHS] + ["Sept" if m == "September" else m[:3] for m in MONTHS]
+_MONTH = "(" + "|".join(dict.fromkeys(_NAMES)) + ")"
 
-# Longest form first: at one position the first alternative that fits is taken.
+# Longest form first: at one position the first alternative that fits is taken. Years below 1000
+# and above 2099 need an era; numbers too large for the calendar give failed mentions, not none.
 GRAMMAR = {
+    "day_month_year_era": rf"(\d{{1,2}}) {_MONTH} (\d+) (BC|AD)",
+    "month_day_year_era": rf"{_MONTH} (\d{{1,2}}), (\d+) (BC|AD)",
     "day_month_year": rf"(\d{{1,2}}) {_MONTH} (\d{{4}})",
     "month_day_year": rf"{_MONTH} (\d{{1,2}}), (\d{{4}})",
+    "month_year_era": rf"{_MONTH} (\d+) (BC|AD)",
     "month_year": rf"{_MONTH} (\d{{4}})",
     "iso": r"(\d{4})-(\d{2})-(\d{2})",
-    "bc": r"(\d{1,11}) BC",
-    "century": r"(\d{1,2})(?:st|nd|rd|th) century",
-    "decade": r"(\d{1,3}0)s",
+    "years": r"(1\d{3}|20\d{2})-(1\d{3}|20\d{2})",
+    "year_era": r"(\d+) (BC|AD)",
+    "era_year": r"AD (\d+)",
+    "century": r"(\d{1,2})(?:st|nd|rd|th) century( BC)?",
+    "decade": r"(\d+0)s",
     "day_month": rf"(\d{{1,2}}) {_MONTH}",
     "month_day": rf"{_MONTH} (\d{{1,2}})",
-    "offset": r"(\d{1,9}) (day|month|year)s? (later|earlier)",
-    "neighbour": r"[Tt]he (following|next|previous) (day|month|year)",
+    "offset": r"(\d+) (minute|hour|day|week|month|year)s? (later|earlier)",
+    "neighbour": r"[Tt]he (following|next|previous) (day|week|month|year)",
     "clock": r"(\d{1,2}):(\d{2})",
     "year": r"(1\d{3}|20\d{2})",
 }
@@ -51,52 +59,111 @@ SCAN = (
 HINT = r"\d|[Tt]he (?:following|next|previous) "
 
 
+# White space after the end of a sentence.
+SENTENCE_GAP = r"(?<=[.!?])\s+"
+# Lengths summed in one go; longer lists are summed in runs of this size.
+_RUN = 256
+
+
+def _starts(lengths: Column) -> Column:
+    """Sum of the lengths before each one. Lists grow in runs, so long ones are not copied for every item."""
+    zero = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("out"))
+
+    def step(acc, n):
+        return F.struct((acc["sum"] + n).alias("sum"), F.array_append(acc["out"], acc["sum"]).alias("out"))
+
+    def runs(own):
+        count = F.ceil(F.size(own) / _RUN).cast("int")
+        summed = F.transform(
+            F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
+            lambda i: F.aggregate(F.slice(own, (i - 1) * _RUN + 1, F.lit(_RUN)), zero, step),
+        )
+        return F.transform(F.array(summed), shifted)[0]
+
+    def shifted(parts):
+        begins = F.aggregate(F.transform(parts, lambda p: p["sum"]), zero, step, lambda acc: acc["out"])
+        moved = F.zip_with(parts, begins, lambda p, begin: F.transform(p["out"], lambda x: x + begin))
+        return F.flatten(moved)
+
+    # Bound to a variable each time: an inner function would compute the list again for every call.
+    return F.transform(F.array(lengths), runs)[0]
+
+
+def _cut(text: Column, pattern: str) -> Column:
+    """``array<struct<gap, hit>>``: the hits of a pattern and the text before each; last the text after all."""
+    # Hits are replaced by a control character and split there: a pattern given to split() would
+    # be compiled per row. One more gap than hits: the text after the last hit pairs with NULL.
+    marked = F.regexp_replace(F.translate(text, "\x01", "\x02"), pattern, "\x01")
+    return F.arrays_zip(
+        F.split(marked, "\x01", -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit")
+    )
+
+
+def _placed(pairs: Column) -> Column:
+    """The pairs with the position of each gap."""
+    widths = F.transform(pairs, lambda p: F.length(p["gap"]) + F.coalesce(F.length(p["hit"]), F.lit(0)))
+    return F.arrays_zip(pairs.alias("pair"), _starts(widths).alias("pos"))
+
+
 def find_mentions(text: Column) -> Column:
     """``array<struct<date_text, start_pos, end_pos>>`` in reading order, character positions."""
-    # Only the lengths of the gaps between hits matter, so hits are replaced by a control
-    # character and split there: a pattern given to split() would be compiled per row. One
-    # more gap than hits: the text after the last hit pairs with NULL.
-    marked = F.regexp_replace(F.translate(text, "\x01", "\x02"), SCAN, "\x01")
-    pairs = F.arrays_zip(
-        F.split(marked, "\x01", -1).alias("gap"), F.regexp_extract_all(text, F.lit(SCAN), F.lit(0)).alias("hit")
-    )
-    start = F.struct(
-        F.lit(0).alias("pos"),
-        F.array().cast("array<struct<date_text:string,start_pos:int,end_pos:int>>").alias("out"),
-    )
 
-    def step(acc, pair):
-        begin = acc["pos"] + F.length(pair["gap"])
-        end = begin + F.length(pair["hit"])
-        hit = F.struct(pair["hit"].alias("date_text"), begin.alias("start_pos"), end.alias("end_pos"))
-        longer = F.struct(end.alias("pos"), F.array_append(acc["out"], hit).alias("out"))
-        return F.when(pair["hit"].isNull(), acc).otherwise(longer)
+    def mentions(pairs):
+        hits = F.filter(_placed(pairs), lambda p: p["pair"]["hit"].isNotNull())
+        begin = lambda p: p["pos"] + F.length(p["pair"]["gap"])
+        return F.transform(
+            hits,
+            lambda p: F.struct(
+                p["pair"]["hit"].alias("date_text"),
+                begin(p).alias("start_pos"),
+                (begin(p) + F.length(p["pair"]["hit"])).alias("end_pos"),
+            ),
+        )
+
+    return F.transform(F.array(_cut(text, SCAN)), mentions)[0]
 
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+
+def sentences(text: Column) -> Column:
+    """``array<struct<text, pos>>``: the sentences of a text and where each starts. No mention spans two."""
+
+    def listed(sentence):
+        return lambda pairs: F.transform(_placed(pairs), lambda p: F.struct(sentence(p).alias("text"), p["pos"].alias("pos")))
+
+    cut = F.array(_cut(text, SENTENCE_GAP))
+    as_cut = F.transform(cut, listed(lambda p: p["pair"]["gap"]))[0]
+    # Gaps have the marker replaced; a text that holds it is cut out of the original, which takes longer.
+    original = F.transform(cut, listed(lambda p: F.substring(text, p["pos"] + 1, F.length(p["pair"]["gap"]))))[0]
+    return F.when(text.contains("\x01"), original).otherwise(as_cut)
 
 
 _RULES = (
-    "map<string,struct<op:string,grain:string,sign:int,y:int,scale:int,shift:int,years:int,m:int,d:int,low:bigint,high:bigint,step:int>>"
+    "map<string,struct<op:string,grain:string,sign:int,y:int,scale:int,shift:int,years:int,upto:int,least:bigint,"
+    "m:int,d:int,low:bigint,high:bigint,step:int>>"
 )
 _BY_NAME = -1
+# Years that the calendar can place in 64-bit seconds, and units that a shift may count.
+_YEARS, _SHIFTS = 2 * 10**11, 10**9
 
 
-def _rule(op, grain=None, sign=1, y=None, scale=1, shift=0, years=1, m=None, d=None, low=0, high=10**12, step=1):
-    """How the numbers of one form are read. ``y, m, d`` are indexes into them; the year is
-    ``number * scale + shift``; the first number must be a multiple of ``step`` in
-    ``[low, high]``."""
-    return dict(op=op, grain=grain, sign=sign, y=y, scale=scale, shift=shift, years=years, m=m, d=d, low=low, high=high, step=step)
+def _rule(op, grain=None, sign=1, y=None, scale=1, shift=0, years=1, upto=None, least=0, m=None, d=None, low=0, high=_YEARS, step=1):
+    """How the numbers of one form are read. ``y, upto, m, d`` are indexes into them; the year is
+    ``number * scale + shift`` of a number of at least ``least``; a form of two years ends with that
+    at ``upto``; the first number must be a multiple of ``step`` in ``[low, high]``."""
+    return dict(op=op, grain=grain, sign=sign, y=y, scale=scale, shift=shift, years=years, upto=upto, least=least, m=m, d=d, low=low, high=high, step=step)
 
 
 def _rules() -> dict[str, dict]:
-    """Reading rule by shape: the mention with every digit as 9 and every month name as M."""
-    nines = ["9" * n for n in range(12)]
-    units = ("day", "month", "year")
+    """Reading rule by shape: the mention with every digit as 9, five or more as 9+, and every month name as M."""
+    nines = ["", "9", "99", "999", "9999", "9+"]
+    # Unit of a shift: what it is counted in, and how many of those.
+    units = {"minute": ("minute", 1), "hour": ("minute", 60), "day": ("day", 1), "week": ("day", 7), "month": ("month", 1), "year": ("year", 1)}
     rules = {
         "M 9999": _rule("set", "month", y=0, m=_BY_NAME),
         "9999-99-99": _rule("set", "day", y=0, m=1, d=2),
+        "9999-9999": _rule("set", "year", y=0, upto=1, low=1000, high=2099),
         "9999": _rule("set", "year", y=0, low=1000, high=2099),
     }
+    eras = {"BC": dict(scale=-1, shift=1, least=1), "AD": dict(least=1)}
     for n in nines[1:3]:
         rules[f"{n} M 9999"] = _rule("set", "day", y=1, m=_BY_NAME, d=0)
         rules[f"M {n}, 9999"] = rules[f"{n} M 9999"]
@@ -105,16 +172,23 @@ def _rules() -> dict[str, dict]:
         rules[f"{n}:99"] = _rule("clock", high=23)
         for ordinal in ("st", "nd", "rd", "th"):
             rules[f"{n}{ordinal} century"] = _rule("set", "century", y=0, scale=100, shift=-99, years=100, low=1)
-    for n in nines[2:5]:
+            rules[f"{n}{ordinal} century BC"] = _rule("set", "century", y=0, scale=-100, shift=1, years=100, low=1)
+        for year in nines[1:]:
+            for era, reading in eras.items():
+                rules[f"{n} M {year} {era}"] = rules[f"M {n}, {year} {era}"] = _rule("set", "day", y=1, m=_BY_NAME, d=0, **reading)
+    for n in nines[2:]:
         rules[f"{n}s"] = _rule("set", "decade", y=0, years=10, step=10)
-    for n in nines[1:12]:
-        rules[f"{n} BC"] = _rule("set", "year", y=0, scale=-1, shift=1, low=1)
-    for unit in units:
+    for n in nines[1:]:
+        rules[f"AD {n}"] = _rule("set", "year", y=0, **eras["AD"])
+        for era, reading in eras.items():
+            rules[f"{n} {era}"] = _rule("set", "year", y=0, **reading)
+            rules[f"M {n} {era}"] = _rule("set", "month", y=0, m=_BY_NAME, **reading)
+    for unit, (counted, times) in units.items():
         for word, sign in (("later", 1), ("earlier", -1)):
-            for n in nines[1:10]:
-                rules[f"{n} {unit} {word}"] = rules[f"{n} {unit}s {word}"] = _rule("shift", unit, sign)
+            for n in nines[1:]:
+                rules[f"{n} {unit} {word}"] = rules[f"{n} {unit}s {word}"] = _rule("shift", counted, sign * times, high=_SHIFTS)
         for word, sign in (("following", 1), ("next", 1), ("previous", -1)):
-            rules[f"the {word} {unit}"] = rules[f"The {word} {unit}"] = _rule("shift", unit, sign)
+            rules[f"the {word} {unit}"] = rules[f"The {word} {unit}"] = _rule("shift", counted, sign * times)
     return rules
 
 
@@ -132,8 +206,10 @@ def with_mention_op(df: DataFrame, text: str = "date_text", out: str = "_op") ->
     first = F.coalesce(F.get(n, F.lit(0)), F.lit(1))
     y, m, d = F.col("_ymd.y"), F.col("_ymd.m"), F.col("_ymd.d")
     op, begin = F.col("_name"), F.col("_begin")
-    read = first.between(rule["low"], rule["high"]) & (first % rule["step"] == 0)
-    exists = m.between(1, 12) & (d >= 1) & (d <= F.col("_days"))
+    whole = ~F.exists(n, lambda x: x.isNull()) & (F.coalesce(F.get(n, rule["y"]), rule["least"]) >= rule["least"])
+    read = whole & first.between(rule["low"], rule["high"]) & (first % rule["step"] == 0)
+    exists = y.isNotNull() & m.between(1, 12) & (d >= 1) & (d <= F.col("_days")) & (F.coalesce(F.col("_last"), y) >= y)
+    year = F.get(n, rule["y"])
     end = (
         F.when(rule["grain"] == "day", begin + DAY)
         .when(rule["grain"] == "month", begin + F.col("_days") * DAY)
@@ -142,23 +218,24 @@ def with_mention_op(df: DataFrame, text: str = "date_text", out: str = "_op") ->
     steps = {
         "_n": F.transform(F.regexp_extract_all(t, F.lit(r"\d+"), F.lit(0)), lambda digits: digits.try_cast("bigint")),
         "_rule": F.try_element_at(
-            table, F.regexp_replace(F.regexp_replace(t, r"\d", "9"), rf"\b{_MONTH}\b", "M")
+            table, F.regexp_replace(F.regexp_replace(F.regexp_replace(t, r"\d", "9"), "9{5,}", "9+"), rf"\b{_MONTH}\b", "M")
         ),
         "_ymd": F.struct(
-            (F.get(n, rule["y"]) * rule["scale"] + rule["shift"]).alias("y"),
+            F.when(year.between(0, _YEARS), year * rule["scale"] + rule["shift"]).alias("y"),
             F.when(rule["m"].isNull(), F.lit(1))
-            .when(rule["m"] == _BY_NAME, F.array_position(F.array(*[F.lit(x) for x in MONTHS]), month_name))
+            .when(rule["m"] == _BY_NAME, (F.array_position(F.array(*[F.lit(x) for x in _NAMES]), month_name) - 1) % 12 + 1)
             .otherwise(F.get(n, rule["m"]))
             .alias("m"),
             F.when(rule["d"].isNull(), F.lit(1)).otherwise(F.get(n, rule["d"])).alias("d"),
         ),
         "_days": days_in_month(y, m),
+        "_last": F.get(n, rule["upto"]),
         "_name": F.when(F.coalesce(~read, F.lit(True)), "fail")
         .when(rule["op"].isin("set", "fix") & ~exists, "fail")
         .when((rule["op"] == "clock") & (F.get(n, F.lit(1)) > 59), "fail")
         .otherwise(rule["op"]),
         "_begin": epoch(y, m, d),
-        "_next": epoch(y + rule["years"], F.lit(1), F.lit(1)),
+        "_next": epoch(F.coalesce(F.col("_last"), y) + rule["years"], F.lit(1), F.lit(1)),
         "_r": F.struct(
             op.alias("op"),
             F.when(op == "set", begin)
@@ -175,11 +252,3 @@ def with_mention_op(df: DataFrame, text: str = "date_text", out: str = "_op") ->
     # The generator keeps later filters from being pushed into the steps, where each filter
     # would carry a copy of all of them for every field it reads.
     return df.select("*", F.explode(F.array("_r")).alias(out)).drop(*steps)
-
-
-def sentence_around(text: Column, start_pos: Column, end_pos: Column, limit: int = 500) -> Column:
-    """The sentence that holds ``[start_pos, end_pos)``, cut to the stored width."""
-    before = F.regexp_extract(F.substring(text, F.lit(1), start_pos), r"(?s)^(?:.*[.!?]\s+)?(.*)\z", 1)
-    mention = F.substring(text, start_pos + 1, end_pos - start_pos)
-    after = F.regexp_extract(F.substring(text, end_pos + 1, F.length(text)), r"(?s)^.*?(?=(?<=[.!?])\s|\z)", 0)
-    return F.substring(F.trim(F.concat(before, mention, after)), 1, limit)

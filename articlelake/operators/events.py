@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.chunks import full_text
-from ..functions.mentions import HINT, find_mentions, sentence_around
+from ..functions.mentions import HINT, find_mentions, sentences
 from ..schemas import FAILED
+from ..session import stage
+from ..sources.store import Store
 from .dates import resolve_dates
 
 EVENT_KEY = ["article_id", "section_id", "start_pos"]
@@ -18,14 +20,27 @@ NO_CONTEXT = "No context available"
 
 
 def scan_mentions(sections: DataFrame, keys: tuple[str, ...] = ("article_id",)) -> DataFrame:
-    """Mentions of sections with complete ``text``, in reading order; native, no shuffle."""
+    """Mentions of sections with complete ``text``, in reading order, with their sentence; native, no shuffle.
+
+    A section is cut into sentences once and each is scanned by itself, so time grows with the
+    text, however many mentions it has.
+    """
     long_enough = sections.where((F.length("text") > 2) & F.col("text").rlike(HINT))
-    found = long_enough.select(*keys, "section_id", "text", F.explode(find_mentions(F.col("text"))).alias("m"))
-    return found.select(*keys, "section_id", "m.date_text", "m.start_pos", "m.end_pos", "text")
+    cut = long_enough.select(*keys, "section_id", F.explode(sentences(F.col("text"))).alias("s")).where(F.col("s.text").rlike(HINT))
+    found = cut.select(*keys, "section_id", "s", F.explode(find_mentions(F.col("s.text"))).alias("m"))
+    return found.select(
+        *keys,
+        "section_id",
+        "m.date_text",
+        (F.col("s.pos") + F.col("m.start_pos")).alias("start_pos"),
+        (F.col("s.pos") + F.col("m.end_pos")).alias("end_pos"),
+        F.trim("s.text").alias("sentence"),
+    )
 
 
 def parsed_events(mentions: DataFrame, keys: tuple[str, ...] = ("article_id",)) -> DataFrame:
-    """Rows of ``parsed_event`` with open intervals."""
+    """Rows of ``parsed_event`` with open intervals. The description is the whole sentence; one wider than
+    the stored column is reported by :func:`articlelake.operators.checks.stored_length_violations`."""
     return mentions.select(
         *keys,
         "section_id",
@@ -35,7 +50,7 @@ def parsed_events(mentions: DataFrame, keys: tuple[str, ...] = ("article_id",))
         "date_text",
         "start_pos",
         "end_pos",
-        sentence_around(F.col("text"), F.col("start_pos"), F.col("end_pos")).alias("display_text"),
+        F.col("sentence").alias("display_text"),
     )
 
 
@@ -91,6 +106,21 @@ def write_back(events: DataFrame, resolved: DataFrame) -> DataFrame:
     )
 
 
+def event_flow(store: Store, as_of: datetime) -> None:
+    """Scan the sections not scanned yet, store their events, resolve what is open, mark the sections.
+
+    Events come first and the marks last. Events of a section that is not marked are left from a run
+    that broke off; they are dropped before the new ones are stored, so the flow can be run again at
+    any point. The flag is set on the rows as they are copied: no text is joined.
+    """
+    sections = store.read("article_section")
+    pending = sections.where("is_parsed is null").select("article_id", "section_id")
+    found = stage(parsed_events(scan_mentions(unparsed_sections(sections, store.read("article_section_ext_text")))), "events")
+    kept = store.read("parsed_event").join(pending, ["article_id", "section_id"], "left_anti")
+    store.replace("parsed_event", resolve_events(kept.unionByName(found.select(*kept.columns)), as_of))
+    store.replace("article_section", sections.withColumn("is_parsed", F.coalesce("is_parsed", F.lit("Y"))))
+
+
 def failure_context(resolved: DataFrame, sections: DataFrame) -> DataFrame:
     """Failed mentions with the text of the section or cell they stand in."""
     failed = resolved.where(f"parse_status = {FAILED}")

@@ -6,7 +6,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from articlelake.functions import calendar as cal
-from articlelake.functions.mentions import find_mentions, sentence_around, with_mention_op
+from articlelake.functions.mentions import find_mentions, with_mention_op
+from articlelake.operators.events import scan_mentions
 from articlelake.operators.dates import apply_op, resolve_dates
 
 DAY = 86400
@@ -199,10 +200,62 @@ def test_hint_is_a_superset_of_the_grammar(spark):
         ("Began in 1999\nand went on! End", "1999", "Began in 1999\nand went on!"),
         ("Really? 5 BC", "5 BC", "5 BC"),
         ("v1.5 of 1999 shipped", "1999", "v1.5 of 1999 shipped"),
-        ("x" * 600 + " 1999", "1999", "x" * 500),
+        ("\U0001d11e one.  \x01 two in 1999.", "1999", "\x01 two in 1999."),
+        ("x" * 600 + " 1999", "1999", "x" * 600 + " 1999"),
     ],
 )
 def test_sentences(spark, text, mention, expected):
-    start = text.index(mention)
-    df = spark.createDataFrame([(text, start, start + len(mention))], "t string, s int, e int")
-    assert df.select(sentence_around(F.col("t"), F.col("s"), F.col("e"))).first()[0] == expected
+    df = spark.createDataFrame([(1, 0, text)], "article_id int, section_id int, text string")
+    row = scan_mentions(df).where(F.col("date_text") == mention).first()
+    assert row.sentence == expected and text[row.start_pos : row.end_pos] == mention
+
+
+def test_positions_of_many_sentences_and_mentions(spark):
+    text = " ".join(f"Item x{i} was in {1000 + i % 900}, or {i} BC." for i in range(1500))
+    df = spark.createDataFrame([(1, 0, text)], "article_id int, section_id int, text string")
+    rows = scan_mentions(df).collect()
+    assert len(rows) == 3000 and all(text[r.start_pos : r.end_pos] == r.date_text for r in rows)
+    # All in one sentence, more than one run of sums.
+    text = ", ".join(f"{1000 + i}" for i in range(1000))
+    assert [text[s:e] for _, s, e in found(spark, text)] == text.split(", ")
+
+
+def test_many_mentions_take_linear_time(spark):
+    import time
+
+    text = " ".join(f"In {1000 + i % 1000} it rained." for i in range(8_000))
+    df = spark.createDataFrame([(1, 0, text)], "article_id int, section_id int, text string")
+    scan_mentions(df).count()
+    start = time.perf_counter()
+    assert scan_mentions(df).selectExpr("count(start_pos)", "max(length(sentence))").first()[0] == 8_000
+    assert time.perf_counter() - start < 5
+
+
+def test_forms_with_eras_weeks_hours_and_ranges(spark):
+    def day(*a):
+        return ("set", cal.civil_to_days(*a) * DAY, cal.civil_to_days(*a) * DAY + DAY - 1, "day")
+
+    def years(low, high, grain="year"):
+        return ("set", cal.civil_to_days(low, 1, 1) * DAY, cal.civil_to_days(high + 1, 1, 1) * DAY - 1, grain)
+
+    forms = {
+        "15 March 44 BC": day(-43, 3, 15), "March 15, 44 BC": day(-43, 3, 15), "5 Mar 2001": day(2001, 3, 5), "Sept 5, 2001": day(2001, 9, 5),
+        "79 AD": years(79, 79), "AD 79": years(79, 79), "24 August 79 AD": day(79, 8, 24), "1914-1918": years(1914, 1918),
+        "5th century BC": years(-499, -400, "century"), "12000 BC": years(-11999, -11999), "120s": years(120, 129, "decade"),
+        "March 44 BC": ("set", cal.civil_to_days(-43, 3, 1) * DAY, cal.civil_to_days(-43, 4, 1) * DAY - 1, "month"),
+        "2 weeks later": ("shift", 14, None, "day"), "3 hours earlier": ("shift", -180, None, "minute"), "90 minutes later": ("shift", 90, None, "minute"),
+        "the previous week": ("shift", -7, None, "day"), "1000000 years later": ("shift", 10**6, None, "year"),
+    }
+    assert dict(zip(forms, ops(spark, *forms))) == forms
+    assert found(spark, "; ".join(forms)) and [h[0] for h in found(spark, "; ".join(forms))] == list(forms)
+
+
+@pytest.mark.parametrize("text", ["9" * 30 + " BC", "99999999999999 BC", "9999999999 years later", "0 AD", "1918-1914", "31 June 5 BC", "9" * 40 + "0s"])
+def test_numbers_that_do_not_fit_are_found_and_fail(spark, text):
+    assert [h[0] for h in found(spark, text)] == [text]
+    assert ops(spark, text) == [("fail", None, None, None)]
+
+
+def test_hours_move_the_clock():
+    noon = seconds(2001, 3, 5) + 12 * 3600
+    assert apply_op((noon, "minute"), "shift", 780, None, "minute") == (noon + 46_800, noon + 46_859, "minute")

@@ -365,6 +365,25 @@ def test_refresh_of_a_few_opens_their_files_only(spark, dumps):
     assert changed.count() == 2
 
 
+def test_event_flow_can_break_off_anywhere(spark, tmp_path):
+    lines = lines_of(spark, document("A"), document("B"))
+    store = Store(spark, str(tmp_path / "lake"))
+    store.append("article", ingest.ingest(lines, None, NOW))
+    for name, df in detail.refresh_articles(store.read_all(), lines, NOW).items():
+        store.replace(name, df)
+    before = store.read("article_section")
+    events.event_flow(store, NOW)
+    want = sorted(map(tuple, store.read("parsed_event").collect()))
+    assert len(want) == 2 and all(r[2] is not None for r in want)
+    assert store.read("article_section").where("is_parsed is null").count() == 0
+    # Events were stored, marks were not: the next run must not store them twice.
+    store.replace("article_section", before)
+    events.event_flow(store, NOW)
+    assert sorted(map(tuple, store.read("parsed_event").collect())) == want
+    events.event_flow(store, NOW)
+    assert sorted(map(tuple, store.read("parsed_event").collect())) == want
+
+
 def test_parse_error_is_recorded(spark):
     lines = lines_of(spark, json.dumps({"name": "A", "url": "u", "article_body": {"html": "<body><![x["}}))
     tables = {name: spark.createDataFrame([], TABLES[name]) for name in TABLES}
