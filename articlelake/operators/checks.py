@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import MAX_LENGTHS
+from ..schemas import FOREIGN_KEYS, MAX_LENGTHS, PRIMARY_KEYS
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -36,6 +36,23 @@ def stored_length_violations(table: str, df: DataFrame, keys: list[str]) -> Data
     return length_violations(df, MAX_LENGTHS[table], keys)
 
 
+def stored_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per stored table and constraint: how many keys repeat, rows have no parent, values are too long."""
+    counts = []
+
+    def count(found: DataFrame, table: str, kind: str) -> None:
+        counts.append(found.agg(F.count(F.lit(1)).alias("n")).select(F.lit(table).alias("table_name"), F.lit(kind).alias("kind"), "n"))
+
+    for name, df in tables.items():
+        keys = list(PRIMARY_KEYS[name])
+        count(duplicate_keys(df, keys), name, "repeated key")
+        for columns, parent, parent_columns in FOREIGN_KEYS.get(name, ()):
+            count(orphan_rows(df, tables[parent], list(zip(columns, parent_columns))), name, "no parent")
+        if name in MAX_LENGTHS:
+            count(stored_length_violations(name, df, keys), name, "too long")
+    return reduce(DataFrame.unionByName, counts)
+
+
 def section_gaps(sections: DataFrame, keys: tuple[str, ...] = ("article_id",)) -> DataFrame:
     """Section count per article and whether the ids run without gaps."""
     return sections.groupBy(*keys).agg(

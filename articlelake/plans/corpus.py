@@ -161,6 +161,50 @@ def dump_folder(spark: SparkSession, sf_dir: str) -> str:
     return _written[key]
 
 
+def rich_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page per supplier with the shapes that dump articles lack: nested lists and tables, definition and
+    ordered lists, every heading and format, captions, row spans, loose text, dropped tags, a paragraph
+    longer than one stored piece, and the three other boilerplate ids."""
+    supplier = table(spark, sf_dir, "supplier")
+    name, key = F.col("s_name"), F.col("s_suppkey").cast("string")
+    pieces = [
+        "<body>loose<section><h2>Head <i>of</i> ", key, "</h2><p>One <em>two</em> <strong>three</strong> ", name, "</p>",
+        "<blockquote>said ", name, "</blockquote></section>",
+        "<section><h3>Sub</h3><h4>Deep</h4><ol><li>lost<ul><li>in ", key, "</li></ul>after</li></ol>",
+        "<dl><dt>term</dt><dd>about ", name, "</dd></dl></section>",
+        "<section><table><caption>cap</caption><tr><th rowspan=\"2\">h</th><td colspan=\"3\">a<table><tr><td>in ", key,
+        "</td></tr></table>b</td></tr><tr><td>c</td></tr></table></section>",
+        "<section><p>&lt;span gone</p><p>kept<script>var x;</script><sup>9</sup><abbr>ab</abbr></p><p>", F.repeat(F.lit("long "), 3000), key, "</p></section>",
+        "<section><h2 id=\"External_links\">E</h2><p>gone</p></section><section><div><h3 id=\"Bibliography\">B</h3></div><p>gone</p></section>",
+        "<section><h2 id=\"Citations\">C</h2><p>gone</p></section><section><h2>Last</h2></section></body>",
+    ]
+    html = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in pieces])
+    return supplier.select("s_suppkey", name.alias("title"), html.alias("html"))
+
+
+def dated_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One section per order whose middle sentence holds a date in one of the rarer forms."""
+    d, key = F.col("o_orderdate"), F.col("o_orderkey")
+    year = F.year(d).cast("string")
+    day = F.least(F.dayofmonth(d), F.lit(28)).cast("string")
+    month, small = F.date_format(d, "MMMM"), (key % 900 + 1).cast("string")
+    forms = [
+        F.concat(day, F.lit(" "), month, F.lit(" "), year, F.lit(" BC")),
+        F.concat(F.substring(month, 1, 3), F.lit(" "), day, F.lit(", "), year),
+        F.concat(F.lit("AD "), small),
+        F.concat(small, F.lit(" AD")),
+        F.concat(year, F.lit("-"), (F.year(d) + 3).cast("string")),
+        F.concat((key % 30 + 1).cast("string"), F.lit("th century BC")),
+        F.concat(month, F.lit(" "), year, F.lit(" BC")),
+        F.concat(year, F.lit("000 BC")),
+    ]
+    chosen = forms[-1]
+    for i in range(len(forms) - 2, -1, -1):
+        chosen = F.when(key % 8 == i, forms[i]).otherwise(chosen)
+    text = F.concat(F.lit("A first sentence. Order K"), key.cast("string"), F.lit(" is of "), chosen, F.lit(", it says! And an end."))
+    return table(spark, sf_dir, "orders").select(key.alias("article_id"), F.lit(0).alias("section_id"), text.alias("text"))
+
+
 def chained_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mentions that lean on each other: one per order, three sections per customer."""
     d, key = F.col("o_orderdate"), F.col("o_orderkey")

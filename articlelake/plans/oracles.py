@@ -297,7 +297,8 @@ ORACLES = {
     "article_parse_stats": f"""{_A} SELECT article_id, 8 + 4 * n AS sections, 2::BIGINT AS formats, 2 * n AS events FROM a""",
     "table_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS n FROM {name}"
-        for name in ("customer", "orders", "documents", "labels", "pages", "conversations")
+        for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+                     "pages", "benchmark", "labels", "conversations")
     ),
     "duplicate_keys": """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
       GROUP BY ALL HAVING count(*) > 1""",
@@ -306,3 +307,98 @@ ORACLES = {
     "flagship": f"""{_M} SELECT title, count(*) AS events, min(start_date) AS first_date, max(end_date) AS last_date
       FROM m GROUP BY title""",
 }
+
+_RANKS = """x AS (SELECT dense_rank() OVER (ORDER BY file_name) AS f,
+  row_number() OVER (PARTITION BY file_name ORDER BY dump_idx) - 1 AS i, title FROM a)"""
+
+# Section, parent, tag, format, text, row, column, row span, column span of a rich page.
+_RICH = """
+  (0, NULL, 'HEADING', NULL, '@name', NULL, NULL, NULL, NULL), (1, 0, 'TITLE', NULL, 'Head of @key', NULL, NULL, NULL, NULL),
+  (2, 0, 'PARAGRAPH', NULL, 'One two three @name', NULL, NULL, NULL, NULL), (3, 0, 'SUBTITLE', NULL, 'Sub', NULL, NULL, NULL, NULL),
+  (4, 0, 'SUB_SUBTITLE', NULL, 'Deep', NULL, NULL, NULL, NULL), (5, 0, 'LIST', NULL, '', NULL, NULL, NULL, NULL),
+  (6, 5, 'LIST_ITEM', 'li', 'after', NULL, NULL, NULL, NULL), (7, 6, 'LIST', NULL, '', NULL, NULL, NULL, NULL),
+  (8, 7, 'LIST_ITEM', 'li', 'in @key', NULL, NULL, NULL, NULL), (9, 0, 'LIST', NULL, '', NULL, NULL, NULL, NULL),
+  (10, 9, 'LIST_ITEM', 'dt', 'term', NULL, NULL, NULL, NULL), (11, 9, 'LIST_ITEM', 'dd', 'about @name', NULL, NULL, NULL, NULL),
+  (12, 0, 'TABLE', NULL, '', NULL, NULL, NULL, NULL), (13, 12, 'TABLE_CELL', 'th', 'h', 0, 0, 2, 1),
+  (14, 12, 'TABLE_CELL', 'td', 'b', 0, 1, 1, 3), (15, 14, 'TABLE', NULL, '', NULL, NULL, NULL, NULL),
+  (16, 15, 'TABLE_CELL', 'td', 'in @key', 0, 0, 1, 1), (17, 12, 'TABLE_CELL', 'td', 'c', 1, 0, 1, 1),
+  (18, 0, 'PARAGRAPH', NULL, '', NULL, NULL, NULL, NULL), (19, 0, 'PARAGRAPH', NULL, 'kept ab', NULL, NULL, NULL, NULL),
+  (20, 0, 'PARAGRAPH', NULL, '@long', NULL, NULL, NULL, NULL), (21, 0, 'TITLE', NULL, 'Last', NULL, NULL, NULL, NULL)"""
+
+_VIOLATIONS = {
+    ("article", "repeated key"): "0",
+    ("article", "too long"): "0",
+    ("article_section", "repeated key"): "SELECT count(*) FROM a WHERE article_id % 5 = 0",
+    # Sections of lines whose title an earlier line had taken.
+    ("article_section", "no parent"): """SELECT sum(8 + 4 * n + (article_id % 5 = 0)::INT) FROM a
+      WHERE article_id NOT IN (SELECT id FROM art WHERE id IS NOT NULL)""",
+    ("article_section", "too long"): "0",
+    ("article_section_ext_text", "repeated key"): "0",
+    ("article_section_ext_text", "no parent"): "0",
+    ("article_section_ext_text", "too long"): "0",
+    ("article_section_format", "repeated key"): "0",
+    ("article_section_format", "no parent"): "SELECT count(*) FROM a",
+    ("article_section_format", "too long"): "0",
+    ("parsed_event", "repeated key"): "0",
+    ("parsed_event", "no parent"): "0",
+    ("parsed_event", "too long"): "0",
+}
+
+ORACLES |= {
+    "stream_ingest_parts": f"{_R}, {_RANKS} SELECT f * 4294967296 + i AS id, title FROM art JOIN x USING (title) WHERE id IS NOT NULL",
+    "rich_sections": f"""WITH shape(section_id, parent, tag, format, text, ri, ci, rs, cs) AS (VALUES {_RICH})
+      SELECT s_suppkey, section_id::BIGINT AS section_id, (section_id = 20)::BIGINT AS ext_text_count,
+        parent::BIGINT AS parent_section_id, ri::BIGINT AS row_idx, ci::BIGINT AS column_idx, rs::BIGINT AS row_span,
+        cs::BIGINT AS column_span, tag, format,
+        CASE text WHEN '@long' THEN left(repeat('long ', 3000) || s_suppkey, 14000)
+          ELSE replace(replace(text, '@name', s_name), '@key', s_suppkey::VARCHAR) END AS text
+      FROM supplier, shape""",
+    "rich_spans": """SELECT s_suppkey, 2::BIGINT AS section_id, ord::BIGINT AS ord, low::BIGINT AS start_pos,
+        coalesce(high, 5 + length(s_name))::BIGINT AS end_pos, format
+      FROM supplier, (VALUES (0, 4, 7, 'i'), (1, 8, 13, 'b'), (2, 0, NULL, 'blockquote')) t(ord, low, high, format)""",
+    "rich_overflow": """SELECT s_suppkey, 20::BIGINT AS section_id, 1::BIGINT AS pieces,
+      (1000 + length(s_suppkey::VARCHAR))::BIGINT AS longest, repeat('long ', 3000) || s_suppkey AS text FROM supplier""",
+    "page_paragraphs": r"""WITH piece AS (
+        SELECT page_id, unnest(range(1, len(p))) - 1 AS n, unnest(p[2:]) AS piece
+        FROM (SELECT page_id, string_split_regex(regexp_replace(html, '(?s)<(script|style)>.*?</(script|style)>', '', 'g'), '<p(?: [^>]*)?>') AS p FROM pages)),
+      cut AS (SELECT page_id, n, string_split_regex(piece, '</p>|</?(?:article|footer|div|h1|body|ul|nav)[ >]')[1] AS body FROM piece)
+      SELECT page_id, n, replace(replace(replace(replace(replace(array_to_string(list_filter(list_transform(string_split_regex(body, '<[^>]*>'),
+        lambda x: trim(x, E' \n\t\r\f')), lambda x: x <> ''), ' '), '–', '-'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&') AS text FROM cut""",
+    "date_forms": """WITH q AS (
+        SELECT o_orderkey AS article_id, o_orderkey % 8 AS kind, o_orderdate AS d, year(o_orderdate) AS y, month(o_orderdate) AS m,
+          least(day(o_orderdate), 28) AS dd, o_orderkey % 900 + 1 AS small, o_orderkey % 30 + 1 AS cent FROM orders),
+      f AS (SELECT *,
+        CASE kind WHEN 0 THEN dd || strftime(d, ' %B ') || y || ' BC' WHEN 1 THEN strftime(d, '%b ') || dd || ', ' || y
+          WHEN 2 THEN 'AD ' || small WHEN 3 THEN small || ' AD' WHEN 4 THEN y || '-' || (y + 3) WHEN 5 THEN cent || 'th century BC'
+          WHEN 6 THEN strftime(d, '%B ') || y || ' BC' ELSE y || '000 BC' END AS date_text,
+        CASE kind WHEN 0 THEN make_date(1 - y, m, dd) WHEN 1 THEN make_date(y, m, dd) WHEN 2 THEN make_date(small, 1, 1)
+          WHEN 3 THEN make_date(small, 1, 1) WHEN 4 THEN make_date(y, 1, 1) WHEN 5 THEN make_date(1 - 100 * cent, 1, 1)
+          WHEN 6 THEN make_date(1 - y, m, 1) ELSE make_date(1 - 1000 * y, 1, 1) END AS low,
+        CASE kind WHEN 0 THEN make_date(1 - y, m, dd) + 1 WHEN 1 THEN make_date(y, m, dd) + 1
+          WHEN 4 THEN make_date(y + 4, 1, 1) WHEN 5 THEN make_date(101 - 100 * cent, 1, 1)
+          WHEN 6 THEN make_date(1 - y + m // 12, m % 12 + 1, 1) WHEN 7 THEN make_date(2 - 1000 * y, 1, 1)
+          ELSE make_date(small + 1, 1, 1) END AS high,
+        CASE kind WHEN 0 THEN 'day' WHEN 1 THEN 'day' WHEN 5 THEN 'century' WHEN 6 THEN 'month' ELSE 'year' END AS grain FROM q)
+      SELECT article_id, (18 + 6 + 1 + length(article_id::VARCHAR) + 7)::BIGINT AS start_pos, date_text,
+        'Order K' || article_id || ' is of ' || date_text || ', it says!' AS sentence,
+        (datediff('day', DATE '1970-01-01', low::DATE) * 86400)::BIGINT AS start_date,
+        (datediff('day', DATE '1970-01-01', high::DATE) * 86400 - 1)::BIGINT AS end_date, grain FROM f""",
+    "event_flow": f"""{_M} SELECT title, section_id, start_pos, date_text, start_date, end_date, 1::BIGINT AS parse_status,
+      'Y' AS is_parsed FROM m""",
+    "refresh_unparseable": f"""{_R} SELECT art.title, CASE WHEN art.dump_idx % 3 = 0 THEN 'UP_TO_DATE' ELSE 'PARSE_ERROR' END AS err,
+        CASE WHEN art.dump_idx % 3 = 0 THEN 8 + 4 * n ELSE 1 END::BIGINT AS sections,
+        CASE WHEN art.dump_idx % 3 = 0 THEN 0 ELSE 1 END::BIGINT AS old_sections
+      FROM art JOIN a ON a.article_id = art.id""",
+    "refresh_wanted": f"""{_R} SELECT art.title, CASE WHEN redirect IS NULL THEN 'NEW_DUMP' ELSE 'UP_TO_DATE' END AS err,
+        CASE WHEN redirect IS NULL THEN 1 ELSE 8 + 4 * n END::BIGINT AS sections,
+        CASE WHEN redirect IS NULL THEN 1 ELSE 0 END::BIGINT AS old_sections
+      FROM art JOIN a ON a.article_id = art.id""",
+    "article_detail_on_demand": f"""{_R} SELECT art.title, 'UP_TO_DATE' AS err,
+        CASE WHEN redirect IS NULL THEN 1 ELSE 8 + 4 * n END::BIGINT AS sections,
+        CASE WHEN redirect IS NULL THEN 'old' ELSE art.title END AS first_text
+      FROM art JOIN a ON a.article_id = art.id WHERE description IS NOT NULL""",
+    "stored_violations": f"{_R} " + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{kind}' AS kind, coalesce(({sql if sql.startswith('SELECT') else 'SELECT ' + sql}), 0)::BIGINT AS n"
+        for (t, kind), sql in _VIOLATIONS.items()
+    ),
+}

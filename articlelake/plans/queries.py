@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import article as fa
@@ -12,7 +12,7 @@ from ..session import scratch_path, stage
 from ..sources import archive, lines as src
 from ..sources.store import Store
 from ..streaming.ingest import ingest_stream
-from . import corpus
+from . import corpus, flows
 from .corpus import AS_OF, table
 
 KEYS = ["article_id", "title"]
@@ -305,10 +305,11 @@ def section_id_contiguity(spark, d):
 
 
 def page_links(spark, d):
-    hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
-    return table(spark, d, "pages").select("page_id", F.posexplode(hrefs).alias("n", "link")).where(
-        fa.kept_link(F.col("link"))
-    ).select("page_id", *_long("n"), "link")
+    """Links among the spans of the section job, which reads the navigation like an article here."""
+    pages = sections.parse_sections(table(spark, d, "pages"), ["page_id"], title="url", extra_containers=("article", "main", "nav"), implied_p_end=True)
+    links = sections.format_spans(pages, ("page_id",)).where("format = 'a'")
+    order = Window.partitionBy("page_id").orderBy("section_id", "ord")
+    return links.select("page_id", (F.row_number().over(order) - 1).cast("bigint").alias("n"), "link")
 
 
 def page_tag_counts(spark, d):
@@ -469,21 +470,7 @@ def refresh_articles(spark, d):
     """Old results are one outdated section per article; only up-to-date articles keep it."""
     lines = corpus.lines(spark, d)
     articles = stage(_with_states(ingest.ingest(lines, None, AS_OF)), "article")
-    old = articles.where("dump_file_id is not null").select(
-        F.col("id").alias("article_id"), F.lit(0).alias("section_id"), F.lit(0).alias("ext_text_count"),
-        *[F.lit(None).cast("int").alias(c) for c in ("parent_section_id", "row_idx", "column_idx", "row_span", "column_span")],
-        F.lit("HEADING").alias("tag"), F.lit(None).cast("string").alias("format"), F.lit("old").alias("text"),
-        F.lit("Y").alias("is_parsed"),
-    )
-    tables = {name: Store(spark, scratch_path(spark, "none")).read(name) for name in detail.CHILD_TABLES}
-    tables.update(article=articles, article_section=old)
-    fresh = detail.refresh_articles(tables, lines, AS_OF)
-    counts = fresh["article_section"].groupBy("article_id").agg(
-        F.count(F.lit(1)).alias("sections"), F.count_if(F.col("text") == "old").alias("old_sections")
-    )
-    return fresh["article"].join(counts, F.col("id") == F.col("article_id")).select(
-        "id", "title", "err", "sections", "old_sections"
-    )
+    return flows.refresh_view(detail.refresh_articles(flows.before_refresh(spark, articles), lines, AS_OF))
 
 
 def article_detail(spark, d):
@@ -508,7 +495,10 @@ def article_parse_stats(spark, d):
 
 
 def table_counts(spark, d):
-    names = ("customer", "orders", "documents", "labels", "pages", "conversations")
+    names = (
+        "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+        "benchmark", "labels", "conversations",
+    )
     return checks.table_counts({name: table(spark, d, name) for name in names})
 
 
@@ -545,3 +535,4 @@ QUERIES = {
         articles_to_parse, refresh_articles, article_detail, article_parse_stats, table_counts, duplicate_keys, orphan_rows, flagship,
     )
 }
+QUERIES.update(flows.FLOWS)

@@ -63,6 +63,14 @@ PRIMARY_KEYS = {
     "parsed_event": ("article_id", "section_id", "start_pos"),
 }
 
+# Columns that must name a row of another table, and that table's columns.
+FOREIGN_KEYS = {
+    "article_section": [(("article_id",), "article", ("id",))],
+    "article_section_ext_text": [(("article_id", "section_id"), "article_section", ("article_id", "section_id"))],
+    "article_section_format": [(("article_id", "section_id"), "article_section", ("article_id", "section_id"))],
+    "parsed_event": [(("article_id", "section_id"), "article_section", ("article_id", "section_id"))],
+}
+
 # Stored column widths in characters.
 MAX_LENGTHS = {
     "dump_file": {"file_name": 400},
