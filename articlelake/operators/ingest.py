@@ -61,7 +61,7 @@ def article_rows(lines: DataFrame, as_of: datetime) -> DataFrame:
     article = row(
         id=fa.article_id(F.col("dump_file_id"), F.col("dump_idx")),
         title=j["name"],
-        title_srch=j["name"],
+        title_srch=fa.fold_title(j["name"]),
         description=fa.description(j["abstract"]),
         update=now,
         dump_file_id=F.col("dump_file_id"),
@@ -77,7 +77,7 @@ def article_rows(lines: DataFrame, as_of: datetime) -> DataFrame:
         return row(
             id=fa.alias_id(entry["name"]),
             title=entry["name"],
-            title_srch=entry["name"],
+            title_srch=fa.fold_title(entry["name"]),
             update=now,
             url=entry["url"],
             redirect=j["name"],

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.article import fold_title
+
 
 def like_pattern(search: str) -> str:
     """Prefix search unless the text has its own ``%``; a backslash before any other
@@ -15,10 +17,10 @@ def like_pattern(search: str) -> str:
     return re.sub(r"\\(.)", lambda m: m.group(0) if m.group(1) in "%_\\" else m.group(1), pattern, flags=re.S)
 
 
-def by_title(articles: DataFrame) -> DataFrame:
-    """The table laid out by title, for writing: a prefix search then reads only the row
-    groups whose title range it meets."""
-    return articles.repartitionByRange("title").sortWithinPartitions("title")
+def by_title(articles: DataFrame, column: str = "title_srch") -> DataFrame:
+    """The table laid out by its folded title, to be stored as ``article_title``: a prefix search then reads
+    only the row groups whose title range it meets."""
+    return articles.repartitionByRange(column).sortWithinPartitions(column)
 
 
 def _resolved(hits: DataFrame, targets: DataFrame) -> DataFrame:
@@ -65,10 +67,11 @@ def title_matches_loosely(title, search: str):
     return F.startswith(F.collate(title, "UNICODE_CI_AI"), F.collate(F.lit(search), "UNICODE_CI_AI"))
 
 
-def search_titles_loosely(articles: DataFrame, search: str, title: str = "title_srch") -> DataFrame:
+def search_titles_loosely(articles: DataFrame, search: str) -> DataFrame:
+    """Accent- and case-insensitive prefix search: a plain prefix of the stored folded title, which prunes."""
     if search == "":
         return articles.where(F.lit(False))
-    return articles.where(title_matches_loosely(F.col(title), search))
+    return articles.where(F.startswith(F.col("title_srch"), fold_title(F.lit(search))))
 
 
 def search_title_words(articles: DataFrame, search: str, title: str = "title") -> DataFrame:

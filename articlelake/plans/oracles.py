@@ -278,6 +278,9 @@ ORACLES = {
     "title_search_wildcards": f"{_R} SELECT * FROM ({_RESOLVED}) WHERE sub_title LIKE '%stomer#%_7%'",
     "redirect_resolve": f"{_R} {_RESOLVED}",
     "title_search_ai_ci": "SELECT doc_id, lang FROM documents WHERE starts_with(strip_accents(lower(text)), 'el')",
+    "title_search_folded": """SELECT prefix, doc_id, strip_accents(lower(left(text, 400))) AS title_srch
+      FROM documents, (VALUES ('Éa', 'ea'), ('th', 'th'), ('ÑA', 'na')) t(prefix, folded)
+      WHERE starts_with(strip_accents(lower(left(text, 400))), folded)""",
     "title_token_search": r"""SELECT p_partkey, p_name, 2::BIGINT AS matched FROM part
       WHERE list_has_all(regexp_split_to_array(lower(p_name), '\W+'), ['ring', 'small'])""",
     "article_with_dump": f"""{_R} SELECT id, art.title, file_name FROM art JOIN a ON a.article_id = art.id""",

@@ -431,7 +431,16 @@ def redirect_resolve(spark, d):
 
 
 def title_search_ai_ci(spark, d):
-    return search.search_titles_loosely(table(spark, d, "documents"), "el", title="text").select("doc_id", "lang")
+    docs = table(spark, d, "documents")
+    return docs.where(search.title_matches_loosely(F.col("text"), "el")).select("doc_id", "lang")
+
+
+def title_search_folded(spark, d):
+    """Prefix search with accent and capitals over document texts as titles, laid out by the folded title."""
+    titles = table(spark, d, "documents").withColumn("title_srch", fa.fold_title(F.substring("text", 1, 400)))
+    laid_out = stage(search.by_title(titles), "titles")
+    found = [search.search_titles_loosely(laid_out, prefix).withColumn("prefix", F.lit(prefix)) for prefix in ("Éa", "th", "ÑA")]
+    return found[0].unionByName(found[1]).unionByName(found[2]).select("prefix", "doc_id", "title_srch")
 
 
 def title_token_search(spark, d):
@@ -531,7 +540,7 @@ QUERIES = {
         link_filter, boilerplate_removed, section_children, section_id_contiguity, page_links, page_tag_counts,
         page_sections, page_section_counts, date_mentions, event_sentences, date_intervals, resolve_dates_article, resolve_dates_section,
         unresolved_events, events_writeback, date_failure_context, articles_without_dates, title_search,
-        title_search_wildcards, redirect_resolve, title_search_ai_ci, title_token_search, article_with_dump,
+        title_search_wildcards, title_search_folded, redirect_resolve, title_search_ai_ci, title_token_search, article_with_dump,
         articles_to_parse, refresh_articles, article_detail, article_parse_stats, table_counts, duplicate_keys, orphan_rows, flagship,
     )
 }

@@ -36,10 +36,14 @@ PARSED_EVENT = (
     "parse_status int, date_text string, start_pos int, end_pos int, display_text string"
 )
 
+# The article table again, in order of the folded title.
+ARTICLE_TITLE = ARTICLE
+
 TABLES = {
     "dump_file": DUMP_FILE,
     "dump_part": DUMP_PART,
     "article": ARTICLE,
+    "article_title": ARTICLE_TITLE,
     "article_section": ARTICLE_SECTION,
     "article_section_ext_text": ARTICLE_SECTION_EXT_TEXT,
     "article_section_format": ARTICLE_SECTION_FORMAT,
@@ -53,10 +57,20 @@ CHILD_TABLES = (
     "parsed_event",
 )
 
+# Tables kept in one folder per dump file, and the id that holds the file's number.
+BUCKETED = {
+    "article": "id",
+    "article_section": "article_id",
+    "article_section_ext_text": "article_id",
+    "article_section_format": "article_id",
+    "parsed_event": "article_id",
+}
+
 PRIMARY_KEYS = {
     "dump_file": ("id",),
     "dump_part": ("file_path",),
     "article": ("id",),
+    "article_title": ("id",),
     "article_section": ("article_id", "section_id"),
     "article_section_ext_text": ("article_id", "section_id", "count_id"),
     "article_section_format": ("article_id", "section_id", "ord"),

@@ -74,19 +74,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return staged
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_path(spark: SparkSession, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def discard(staged: DataFrame) -> None:
     """Delete the copy behind a DataFrame that :func:`stage` returned."""
-    _delete(staged.sparkSession, staged._staged_at)
+    delete_path(staged.sparkSession, staged._staged_at)
 
 
 def release_scratch(spark: SparkSession) -> None:
     """Delete every staged copy of this application. Results read from them are gone: write them first."""
-    _delete(spark, _own_folder(spark))
+    delete_path(spark, _own_folder(spark))
 
 
 def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:

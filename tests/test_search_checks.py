@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from articlelake.functions.chunks import full_text, overflow_rows, split_overflow, text_chunks
 from articlelake.operators import checks
+from articlelake.functions.article import fold_title
 from articlelake.operators.search import by_title, like_pattern, search_title_words, search_titles, search_titles_loosely
 
 ARTICLES = [
@@ -23,7 +24,7 @@ ARTICLES = [
 def articles(spark):
     return spark.createDataFrame(
         [(*a, a[1]) for a in ARTICLES], "id bigint, title string, redirect string, description string, title_srch string"
-    ).cache()
+    ).withColumn("title_srch", fold_title(F.col("title"))).cache()
 
 
 def rows(df):
@@ -69,6 +70,19 @@ def test_prefix_reaches_the_scan(spark, articles, tmp_path):
     assert "Exchange hashpartitioning(title" not in plan
 
 
+def test_folded_titles(spark):
+    titles = ["Élan", "ELAN", "Ñandú", "Straße", "e\u0301lan", "Ω mega", "", None]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in titles], "t string").select(fold_title(F.col("t"))).collect()]
+    assert got == ["elan", "elan", "nandu", "straße", "elan", "ω mega", "", None]
+
+
+def test_loose_prefix_reaches_the_scan(spark, articles, tmp_path):
+    path = str(tmp_path / "b")
+    by_title(articles).write.parquet(path)
+    plan = search_titles_loosely(spark.read.parquet(path), "ÉLa")._jdf.queryExecution().toString()
+    assert "StringStartsWith(title_srch,ela)" in plan
+
+
 def test_loose_and_word_search(articles):
     assert [r.id for r in search_titles_loosely(articles, "elA").collect()] == [8]
     assert search_titles_loosely(articles, "").count() == 0

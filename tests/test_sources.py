@@ -365,6 +365,42 @@ def test_refresh_of_a_few_opens_their_files_only(spark, dumps):
     assert changed.count() == 2
 
 
+def test_refresh_in_place_touches_its_files_only(spark, dumps, tmp_path):
+    import os
+
+    catalog = src.upsert_catalog(src.empty_catalog(spark), src.list_files(spark, dumps))
+    store = Store(spark, str(tmp_path / "lake"))
+    store.append("article", ingest.ingest(src.read_lines(spark, dumps, catalog), None, NOW))
+    detail.refresh_store(store, dumps, catalog, NOW)
+    assert store.read("article").where("err = 'UP_TO_DATE'").count() == 1597
+    assert store.read("article_section").count() == 2 * 1597
+
+    def files():
+        top = f"{tmp_path}/lake/article_section/v1"
+        return {b: sorted(os.listdir(f"{top}/{b}")) for b in os.listdir(top) if b.startswith("bucket=")}
+
+    before = files()
+    assert set(before) == {"bucket=1", "bucket=2", "bucket=3"}
+    wanted = spark.createDataFrame([((2 << 32) + 5,)], "id long")
+    detail.refresh_store(store, dumps, catalog, NOW, wanted, force=True)
+    after = files()
+    assert after["bucket=1"] == before["bucket=1"] and after["bucket=3"] == before["bucket=3"] and after["bucket=2"] != before["bucket=2"]
+    assert store.read("article_section").count() == 2 * 1597 and store.read("article").count() == 1597
+    tables = store.read_articles([(2 << 32) + 5])
+    assert tables["article_section"].count() == 2 * 1199
+    plan = tables["article_section"]._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    assert detail.article_detail(tables, [(2 << 32) + 5]).count() == 1
+    # Events of refreshed articles go, even if a folder has no others.
+    events.event_flow(store, NOW)
+    assert store.read("parsed_event").where("article_id >> 32 = 1").count() > 0
+    whole_file = store.read("article").where("dump_file_id = 1").select("id")
+    others = store.read("parsed_event").where("article_id >> 32 > 1").count()
+    detail.refresh_store(store, dumps, catalog, NOW, whole_file, force=True)
+    assert store.read("parsed_event").where("article_id >> 32 = 1").count() == 0
+    assert store.read("parsed_event").count() == others
+
+
 def test_event_flow_can_break_off_anywhere(spark, tmp_path):
     lines = lines_of(spark, document("A"), document("B"))
     store = Store(spark, str(tmp_path / "lake"))
