@@ -31,17 +31,17 @@ def paragraphs(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a + x)
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` bound to a variable: an inner lambda would compute it on every call."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def equal_lanes(lines: Column) -> Column:
     """Sums modulo 2^32 of EQUAL_LANES hashes of each paragraph."""
     digests = F.transform(lines, lambda p: F.sha2(p.cast("binary"), 256))
-    return F.transform(
-        F.sequence(F.lit(1), F.lit(EQUAL_LANES)),
-        lambda i: F.pmod(_total(F.transform(digests, lambda d: _and(F.xxhash64(d, i), EQUAL_MOD - 1))), F.lit(EQUAL_MOD)),
-    )
+    total = lambda ds, i: F.aggregate(ds, F.lit(0).cast("long"), lambda a, d: a + _and(F.xxhash64(d, i), EQUAL_MOD - 1))
+    lanes = F.sequence(F.lit(1), F.lit(EQUAL_LANES))
+    return _once(digests, lambda ds: F.transform(lanes, lambda i: F.pmod(total(ds, i), F.lit(EQUAL_MOD))))
 
 
 def _and(value: Column, mask: int) -> Column:
@@ -49,18 +49,18 @@ def _and(value: Column, mask: int) -> Column:
 
 
 def clauses(text: Column) -> Column:
-    """Runs between punctuation marks or line ends, trimmed; empty ones are left out."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"[\n.!?,;:|]+ *", -1), lambda c: c != "")
+    """Runs between line ends, full stops and commas; empty ones are left out. Plain signs split faster than patterns."""
+    sentences = F.flatten(F.transform(paragraphs(text), lambda p: F.split(p, r"\.", -1)))
+    return F.filter(F.flatten(F.transform(sentences, lambda s: F.split(s, ",", -1))), lambda c: c != "")
 
 
 def like_lanes(parts: Column) -> Column:
     """Number of clauses, then LIKE_BITS longs that each hold two bit counts (low and high 32 bits)."""
     hashes = F.transform(parts, lambda c: F.xxhash64(c))
-    counts = F.transform(
-        F.sequence(F.lit(0), F.lit(LIKE_BITS - 1)),
-        lambda g: F.aggregate(hashes, F.lit(0).cast("long"), lambda a, h: a + _and(F.call_function("shiftrightunsigned", h, g), _PAIR)),
-    )
-    return F.concat(F.array(F.size(parts).cast("long")), counts)
+    bits = F.sequence(F.lit(0), F.lit(LIKE_BITS - 1))
+    total = lambda hs, g: F.aggregate(hs, F.lit(0).cast("long"), lambda a, h: a + _and(F.call_function("shiftrightunsigned", h, g), _PAIR))
+    counted = lambda hs: F.concat(F.array(F.size(hs).cast("long")), F.transform(bits, lambda g: total(hs, g)))
+    return _once(hashes, counted)
 
 
 def lanes(text: Column) -> Column:
@@ -111,14 +111,14 @@ def likeness(vector: Column, other: Column, signs: Column, other_signs: Column)
 
 
 def with_next(docs: DataFrame, rows: int = RANGE_ROWS) -> DataFrame:
-    """doc_id, text, next_text: each document with the one after it in descending doc_id, the last with the first.
+    """doc_id, text, vector, next_text, next_vector: each document with the one after it in descending doc_id, the last with the first.
 
     Equal ids are ordered by text, null ids come last. Boundaries are ids from the table at equal
     ranks, so ranges hold about ``rows`` documents however ids are spread; texts are shuffled once,
     by range. The first document of a range (its id is the boundary) is also sent to the range
     before it, so that no range needs to know its neighbour.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), lanes(F.col("text")).alias("vector"))
     n = docs.count()
     ranges = min(MAX_RANGES, max(1, n // rows))
     found = docs.agg(
@@ -146,9 +146,10 @@ def with_next(docs: DataFrame, rows: int = RANGE_ROWS) -> DataFrame:
     homes = F.when(F.coalesce(is_first, F.lit(False)), F.array(F.struct(F.col("home").alias("range"), F.lit(0).alias("guest")), F.struct(ahead.alias("range"), F.lit(1).alias("guest")))).otherwise(
         F.array(F.struct(F.col("home").alias("range"), F.lit(0).alias("guest")))
     )
-    sent = placed.select("doc_id", "text", F.explode(homes).alias("h")).select("doc_id", "text", "h.range", "h.guest")
+    sent = placed.select("doc_id", "text", "vector", F.explode(homes).alias("h")).select("doc_id", "text", "vector", "h.*")
     order = Window.partitionBy("range").orderBy("guest", F.col("doc_id").desc_nulls_last(), "text")
-    return sent.withColumn("next_text", F.lead("text").over(order)).where("guest = 0").select("doc_id", "text", "next_text")
+    after = sent.withColumns({"next_text": F.lead("text").over(order), "next_vector": F.lead("vector").over(order)})
+    return after.where("guest = 0").select("doc_id", "text", "vector", "next_text", "next_vector")
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
@@ -173,9 +174,9 @@ def edit_report(docs: DataFrame) -> DataFrame:
         "doc_id",
         "n_chars",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        lanes(F.col("text")).alias("v"),
+        F.col("vector").alias("v"),
         lanes(F.col("edited")).alias("e"),
-        lanes(F.col("next_text")).alias("x"),
+        F.col("next_vector").alias("x"),
     )
     signed = summed.withColumns({"vs": centred(F.col("v")), "es": centred(F.col("e")), "xs": centred(F.col("x"))})
     return signed.select(
