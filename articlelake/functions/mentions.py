@@ -74,19 +74,22 @@ def _starts(lengths: Column) -> Column:
 
     def runs(own):
         count = F.ceil(F.size(own) / _RUN).cast("int")
-        summed = F.transform(
+        parts = F.transform(
             F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
             lambda i: F.aggregate(F.slice(own, (i - 1) * _RUN + 1, F.lit(_RUN)), zero, step),
         )
-        return F.transform(F.array(summed), shifted)[0]
+        return F.transform(F.array(parts), shifted)[0]
 
     def shifted(parts):
         begins = F.aggregate(F.transform(parts, lambda p: p["sum"]), zero, step, lambda acc: acc["out"])
         moved = F.zip_with(parts, begins, lambda p, begin: F.transform(p["out"], lambda x: x + begin))
         return F.flatten(moved)
 
+    def summed(own):
+        return F.when(F.size(own) <= _RUN, F.aggregate(own, zero, step, lambda acc: acc["out"])).otherwise(runs(own))
+
     # Bound to a variable each time: an inner function would compute the list again for every call.
-    return F.transform(F.array(lengths), runs)[0]
+    return F.transform(F.array(lengths), summed)[0]
 
 
 def _cut(text: Column, pattern: str) -> Column:
@@ -120,7 +123,23 @@ def find_mentions(text: Column) -> Column:
             ),
         )
 
-    return F.transform(F.array(_cut(text, SCAN)), mentions)[0]
+    start = F.struct(
+        F.lit(0).alias("pos"),
+        F.array().cast("array<struct<date_text:string,start_pos:int,end_pos:int>>").alias("out"),
+    )
+
+    def step(acc, pair):
+        begin = acc["pos"] + F.length(pair["gap"])
+        end = begin + F.length(pair["hit"])
+        hit = F.struct(pair["hit"].alias("date_text"), begin.alias("start_pos"), end.alias("end_pos"))
+        longer = F.struct(end.alias("pos"), F.array_append(acc["out"], hit).alias("out"))
+        return F.when(pair["hit"].isNull(), acc).otherwise(longer)
+
+    def few_or_many(pairs):
+        few = F.aggregate(pairs, start, step, lambda acc: acc["out"])
+        return F.when(F.size(pairs) <= _RUN, few).otherwise(mentions(pairs))
+
+    return F.transform(F.array(_cut(text, SCAN)), few_or_many)[0]
 
 
 def sentences(text: Column) -> Column:
@@ -133,7 +152,8 @@ def sentences(text: Column) -> Column:
     as_cut = F.transform(cut, listed(lambda p: p["pair"]["gap"]))[0]
     # Gaps have the marker replaced; a text that holds it is cut out of the original, which takes longer.
     original = F.transform(cut, listed(lambda p: F.substring(text, p["pos"] + 1, F.length(p["pair"]["gap"]))))[0]
-    return F.when(text.contains("\x01"), original).otherwise(as_cut)
+    single = F.array(F.struct(text.alias("text"), F.lit(0).alias("pos")))
+    return F.when(~text.rlike(SENTENCE_GAP), single).when(text.contains("\x01"), original).otherwise(as_cut)
 
 
 _RULES = (
