@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Redirect marker, description limit, dash replacement.
-REDIRECT_PATTERN = r"#REDIRECT\[\[(.*)\]\]"
+REDIRECT_PATTERN = r"#REDIRECT\[\[([^\n]*)\]\]"
 DESCRIPTION_LIMIT = 1000
 DESCRIPTION_KEPT = 997
 # Links that are not stored, by prefix and by content.

@@ -100,6 +100,12 @@ def event_flow(spark, d):
     )
 
 
+def unresolved_batch(spark, d):
+    """The first 1,000 open events in reading order: the batch of one resolution run."""
+    some = dates.date_intervals(corpus.chained_mentions(spark, d))
+    return events.unresolved_events(some, limit=1000).select("article_id", *_long("section_id", "start_pos"), "date_text")
+
+
 # Refresh and detail ------------------------------------------------------------------------
 
 
@@ -137,6 +143,13 @@ def refresh_unparseable(spark, d):
     return refresh_view(detail.refresh_articles(before_refresh(spark, articles), damaged, AS_OF)).drop("id")
 
 
+def articles_of_older_rules(spark, d):
+    """Articles that are up to date, but were parsed before the rules changed."""
+    articles = ingest.ingest(corpus.lines(spark, d), None, AS_OF).withColumn("err", F.lit("UP_TO_DATE"))
+    newer = F.when(F.col("dump_idx") % 2 == 0, F.lit("2025-06-01 00:00:00").cast("timestamp")).otherwise(F.col("update"))
+    return detail.needs_parse(articles.withColumn("update", newer), algorithm_date=detail.ALGORITHM_DATE).select("id", "title")
+
+
 def _from_files(spark, d) -> tuple[str, DataFrame, DataFrame]:
     """Dump folder, its catalog, and the articles that its lines give."""
     folder = corpus.dump_folder(spark, d)
@@ -188,6 +201,7 @@ FLOWS = {
     f.__name__: f
     for f in (
         stream_ingest_parts, rich_sections, rich_spans, rich_overflow, page_paragraphs, date_forms, event_flow,
+        unresolved_batch, articles_of_older_rules,
         refresh_unparseable, refresh_wanted, article_detail_on_demand, stored_violations,
     )
 }

@@ -404,4 +404,7 @@ ORACLES |= {
         f"SELECT '{t}' AS table_name, '{kind}' AS kind, coalesce(({sql if sql.startswith('SELECT') else 'SELECT ' + sql}), 0)::BIGINT AS n"
         for (t, kind), sql in _VIOLATIONS.items()
     ),
+    "unresolved_batch": f"""{_chain('o_custkey')} SELECT article_id, section_id::BIGINT AS section_id, start_pos, date_text
+      FROM q WHERE kind > 1 ORDER BY article_id, section_id, start_pos LIMIT 1000""",
+    "articles_of_older_rules": f"{_R} SELECT id, title FROM art WHERE id IS NOT NULL AND dump_idx % 2 = 1",
 }

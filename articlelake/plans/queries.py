@@ -282,8 +282,7 @@ def format_spans(spark, d):
 
 
 def link_filter(spark, d):
-    hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
-    return corpus.articles(spark, d).select("title", F.explode(hrefs).alias("link")).where(fa.kept_link(F.col("link")))
+    return sections.format_spans(_parsed(spark, d), tuple(KEYS)).where("format = 'a'").select("title", "link")
 
 
 def boilerplate_removed(spark, d):

@@ -7,6 +7,9 @@ import tarfile
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .lines import read_lines
 
 BATCH_BYTES = 16 << 20
 _SCHEMA = "archive string, file_name string, dump_idx bigint, value string"
@@ -60,6 +63,17 @@ def read_archives(spark: SparkSession, path) -> DataFrame:
     return spread.mapInArrow(_members, _SCHEMA)
 
 
+def read_dump(spark: SparkSession, path, catalog: DataFrame, kind: str = "files") -> DataFrame:
+    """``(dump_file_id, file_name, dump_idx, value)`` of catalogued dump files in any of the three layouts:
+    plain ``files``, ``packed`` folders, or tar ``archives`` whose members are the files."""
+    if kind in ("files", "packed"):
+        return read_lines(spark, path, catalog, packed=kind == "packed")
+    if kind != "archives":
+        raise ValueError(f"no such layout: {kind}")
+    ids = catalog.select(F.col("id").alias("dump_file_id"), "file_name")
+    return read_archives(spark, path).join(ids, "file_name").select("dump_file_id", "file_name", "dump_idx", "value")
+
+
 def only_new_files(lines: DataFrame, known: DataFrame) -> DataFrame:
     """Drop members whose name is already present."""
     names = known.select("file_name").distinct()

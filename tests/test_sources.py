@@ -184,6 +184,23 @@ def test_read_archives(spark, archives, monkeypatch):
     assert all(json.loads(r.value)["name"] == f"{r.file_name[1:3]}/{r.dump_idx}" for r in rows)
 
 
+def test_every_layout_gives_the_same_lines(spark, archives, tmp_path):
+    """Archives, the packed folders they unpack to, and plain files."""
+    packed, plain = str(tmp_path / "packed"), tmp_path / "plain"
+    archive.unpack(spark, archives, packed)
+    catalog = src.upsert_catalog(src.empty_catalog(spark), src.list_files(spark, packed, packed=True))
+    from_archives = archive.read_dump(spark, archives, catalog, "archives")
+    plain.mkdir()
+    for row in from_archives.groupBy("file_name").agg(F.sort_array(F.collect_list(F.struct("dump_idx", "value"))).alias("v")).collect():
+        (plain / row.file_name).write_text("".join(x.value + "\n" for x in row.v))
+    want = sorted(map(tuple, from_archives.collect()))
+    assert len(want) == 120
+    assert sorted(map(tuple, archive.read_dump(spark, packed, catalog, "packed").collect())) == want
+    assert sorted(map(tuple, archive.read_dump(spark, str(plain), catalog).collect())) == want
+    with pytest.raises(ValueError):
+        archive.read_dump(spark, packed, catalog, "zip")
+
+
 def test_unpack_skips_present_members_then_pack(spark, archives, tmp_path):
     target = str(tmp_path / "unpacked")
     known = spark.createDataFrame([("m00.ndjson",)], "file_name string")
@@ -241,7 +258,7 @@ def test_rejected_lines_and_optional_fields(spark):
 @pytest.mark.parametrize(
     "wikitext,target",
     [("#REDIRECT[[A]] [[B]]", "A]] [[B"), ("#REDIRECT [[A]]", None), ("x\n#REDIRECT[[A\nB]]", None), ("#redirect[[A]]", None),
-     ("a #REDIRECT[[A]]\n#REDIRECT[[B]]", "A"), (None, None)],
+     ("a #REDIRECT[[A]]\n#REDIRECT[[B]]", "A"), ("#REDIRECT[[A\rB\x85C\u2028D]]", "A\rB\x85C\u2028D"), (None, None)],
 )
 def test_redirect_target(spark, wikitext, target):
     from articlelake.functions.article import redirect_target
