@@ -408,3 +408,11 @@ ORACLES |= {
       FROM q WHERE kind > 1 ORDER BY article_id, section_id, start_pos LIMIT 1000""",
     "articles_of_older_rules": f"{_R} SELECT id, title FROM art WHERE id IS NOT NULL AND dump_idx % 2 = 1",
 }
+
+# Pages hold paragraphs only: after the heading, one section each.
+ORACLES["page_sections"] = f"""
+  SELECT page_id, section_id::INT AS section_id, (greatest((length(text) + 13999) // 14000, 1) - 1)::INT AS ext_text_count,
+    parent::INT AS parent_section_id, NULL::INT AS row_idx, NULL::INT AS column_idx, NULL::INT AS row_span, NULL::INT AS column_span,
+    tag, NULL::VARCHAR AS format, left(text, 14000) AS text, NULL::VARCHAR AS is_parsed
+  FROM (SELECT page_id, 0 AS section_id, NULL AS parent, 'HEADING' AS tag, url AS text FROM pages
+    UNION ALL SELECT page_id, n + 1, 0, 'PARAGRAPH', text FROM ({ORACLES["page_paragraphs"]}))"""
