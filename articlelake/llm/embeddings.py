@@ -204,13 +204,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, trees: int
     links = staged(similar_links(numbered, threshold, trees), "vector-links")
     others = links.where("b is null").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("others"))
     parts = connected_components(links.where("b is not null"), "vector-edges").select(F.col("node").alias("class"), F.col("component").alias("root"))
-    placed = (
+    placed = staged(
         numbered.join(parts, "class", "left")
         .join(others, "class", "left")
         .withColumn("root", F.coalesce("root", "class"))
-        .withColumn("n_links", F.col("copies") - 1 + F.coalesce("others", F.lit(0)))
+        .withColumn("n_links", F.col("copies") - 1 + F.coalesce("others", F.lit(0))),
+        "vector-placed",
     )
-    lows = placed.groupBy("root").agg(F.min("vec_id").alias("component_id"))
+    # Stored by itself: joined in the same stage, the rows of a large group could not be split.
+    lows = staged(placed.groupBy("root").agg(F.min("vec_id").alias("component_id")), "vector-lows")
     member = staged(placed.join(lows, "root").select("label", "embedding", "n_links", "component_id"), "vector-members")
     linked = fit.join(member, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
     alone = rows.where("not able").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

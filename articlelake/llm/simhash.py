@@ -227,8 +227,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, b
     prints = staged(printed.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
     links = similar_links(prints.select("fp"), radius, blocks)
     parts = connected_components(links, "simhash-links").select(F.col("node").alias("fp"), F.col("component").alias("root"))
-    rooted = prints.join(parts, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
+    rooted = staged(prints.join(parts, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "simhash-rooted")
+    # Stored by itself: joined in the same stage, the rows of a large group could not be split.
+    lows = staged(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "simhash-lows")
     member = staged(rooted.select("fp", "root").join(lows, "root").select("fp", "component_id"), "simhash-member")
     return printed.join(member, "fp").select("doc_id", "fp", "component_id")
 
