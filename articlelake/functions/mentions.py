@@ -24,37 +24,33 @@ MONTHS = [
 ]
 # Every spelling of a month stands at its number modulo twelve.
 _NAMES = MONTHS + [m[:3] for m in MONTHS] + ["Sept" if m == "September" else m[:3] for m in MONTHS]
-_MONTH = "(" + "|".join(dict.fromkeys(_NAMES)) + ")"
-
-# Longest form first: at one position the first alternative that fits is taken. Years below 1000
-# and above 2099 need an era; numbers too large for the calendar give failed mentions, not none.
-GRAMMAR = {
-    "day_month_year_era": rf"(\d{{1,2}}) {_MONTH} (\d+) (BC|AD)",
-    "month_day_year_era": rf"{_MONTH} (\d{{1,2}}), (\d+) (BC|AD)",
-    "day_month_year": rf"(\d{{1,2}}) {_MONTH} (\d{{4}})",
-    "month_day_year": rf"{_MONTH} (\d{{1,2}}), (\d{{4}})",
-    "month_year_era": rf"{_MONTH} (\d+) (BC|AD)",
-    "month_year": rf"{_MONTH} (\d{{4}})",
-    "iso": r"(\d{4})-(\d{2})-(\d{2})",
-    "years": r"(1\d{3}|20\d{2})-(1\d{3}|20\d{2})",
-    "year_era": r"(\d+) (BC|AD)",
-    "era_year": r"AD (\d+)",
-    "century": r"(\d{1,2})(?:st|nd|rd|th) century( BC)?",
-    "decade": r"(\d+0)s",
-    "day_month": rf"(\d{{1,2}}) {_MONTH}",
-    "month_day": rf"{_MONTH} (\d{{1,2}})",
-    "offset": r"(\d+) (minute|hour|day|week|month|year)s? (later|earlier)",
-    "neighbour": r"[Tt]he (following|next|previous) (day|week|month|year)",
-    "clock": r"(\d{1,2}):(\d{2})",
-    "year": r"(1\d{3}|20\d{2})",
-}
+_MONTH = (
+    "(Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:t(?:ember)?)?|Oct(?:ober)?"
+    "|Nov(?:ember)?|Dec(?:ember)?)"
+)
+_UNIT = "(?:minute|hour|day|week|month|year)"
+_ERA = "(?:BC|AD)"
+_YEAR = r"(?:1\d{3}|20\d{2})"
+
+# At one position the first alternative that fits is taken, so longer forms come first. Years below
+# 1000 and above 2099 need an era; numbers too large for the calendar give failed mentions, not none.
+GRAMMAR = [
+    rf"\d{{1,2}} {_MONTH}(?: \d+ {_ERA}| \d{{4}})?",
+    rf"{_MONTH}(?: \d{{1,2}}, (?:\d+ {_ERA}|\d{{4}})| \d+ {_ERA}| \d{{4}}| \d{{1,2}})",
+    r"\d{4}-\d{2}-\d{2}",
+    rf"{_YEAR}-{_YEAR}",
+    rf"\d+ {_ERA}",
+    r"AD \d+",
+    r"\d{1,2}(?:st|nd|rd|th) century(?: BC)?",
+    r"\d+0s",
+    rf"\d+ {_UNIT}s? (?:later|earlier)",
+    r"[Tt]he (?:following|next|previous) (?:day|week|month|year)",
+    r"\d{1,2}:\d{2}",
+    _YEAR,
+]
 
 # The lookahead names every first character, so most positions are dismissed at once.
-SCAN = (
-    r"\b(?=[\dJFMASONDTt])(?:"
-    + "|".join(p.replace("(?:", "(").replace("(", "(?:") for p in GRAMMAR.values())
-    + r")\b"
-)
+SCAN = r"\b(?=[\dJFMASONDTt])(?:" + "|".join(GRAMMAR).replace(_MONTH, "(?:" + _MONTH[1:]) + r")\b"
 # Every form holds a digit, but for one that starts with these words.
 HINT = r"\d|[Tt]he (?:following|next|previous) "
 
@@ -63,6 +59,8 @@ HINT = r"\d|[Tt]he (?:following|next|previous) "
 SENTENCE_GAP = r"(?<=[.!?])\s+"
 # Lengths summed in one go; longer lists are summed in runs of this size.
 _RUN = 256
+# Characters of texts with few enough hits to fold them into one list and to look around each.
+_SHORT = 2000
 
 
 def _starts(lengths: Column) -> Column:
@@ -108,38 +106,35 @@ def _placed(pairs: Column) -> Column:
     return F.arrays_zip(pairs.alias("pair"), _starts(widths).alias("pos"))
 
 
-def find_mentions(text: Column) -> Column:
-    """``array<struct<date_text, start_pos, end_pos>>`` in reading order, character positions."""
+_HITS = "array<struct<date_text:string,start_pos:int,end_pos:int,sentence:string>>"
 
-    def mentions(pairs):
-        hits = F.filter(_placed(pairs), lambda p: p["pair"]["hit"].isNotNull())
-        begin = lambda p: p["pos"] + F.length(p["pair"]["gap"])
-        return F.transform(
-            hits,
-            lambda p: F.struct(
-                p["pair"]["hit"].alias("date_text"),
-                begin(p).alias("start_pos"),
-                (begin(p) + F.length(p["pair"]["hit"])).alias("end_pos"),
-            ),
-        )
 
-    start = F.struct(
-        F.lit(0).alias("pos"),
-        F.array().cast("array<struct<date_text:string,start_pos:int,end_pos:int>>").alias("out"),
-    )
+def _hit(text: Column, begin: Column, sentence: Column) -> Column:
+    end = begin + F.length(text)
+    return F.struct(text.alias("date_text"), begin.alias("start_pos"), end.alias("end_pos"), sentence.cast("string").alias("sentence"))
+
+
+def find_mentions(text: Column) -> Column:
+    """``array<struct<date_text, start_pos, end_pos, sentence>>`` in reading order, character positions; no
+    sentence. The list is copied for each hit: for texts with few of them."""
+    start = F.struct(F.lit(0).alias("pos"), F.array().cast(_HITS).alias("out"))
 
     def step(acc, pair):
-        begin = acc["pos"] + F.length(pair["gap"])
-        end = begin + F.length(pair["hit"])
-        hit = F.struct(pair["hit"].alias("date_text"), begin.alias("start_pos"), end.alias("end_pos"))
-        longer = F.struct(end.alias("pos"), F.array_append(acc["out"], hit).alias("out"))
+        hit = _hit(pair["hit"], acc["pos"] + F.length(pair["gap"]), F.lit(None))
+        longer = F.struct(hit["end_pos"].alias("pos"), F.array_append(acc["out"], hit).alias("out"))
         return F.when(pair["hit"].isNull(), acc).otherwise(longer)
 
-    def few_or_many(pairs):
-        few = F.aggregate(pairs, start, step, lambda acc: acc["out"])
-        return F.when(F.size(pairs) <= _RUN, few).otherwise(mentions(pairs))
+    return F.aggregate(_cut(text, SCAN), start, step, lambda acc: acc["out"])
+
 
-    return F.transform(F.array(_cut(text, SCAN)), few_or_many)[0]
+def _find_many(sentence: Column, shift: Column) -> Column:
+    """The same for a sentence that starts at ``shift``, in time that grows with its length however many hits it has."""
+
+    def mentions(pairs):
+        hits = F.filter(_placed(pairs), lambda p: p["pair"]["hit"].isNotNull())
+        return F.transform(hits, lambda p: _hit(p["pair"]["hit"], shift + p["pos"] + F.length(p["pair"]["gap"]), F.trim(sentence)))
+
+    return F.transform(F.array(_cut(sentence, SCAN)), mentions)[0]
 
 
 def sentences(text: Column) -> Column:
@@ -152,8 +147,28 @@ def sentences(text: Column) -> Column:
     as_cut = F.transform(cut, listed(lambda p: p["pair"]["gap"]))[0]
     # Gaps have the marker replaced; a text that holds it is cut out of the original, which takes longer.
     original = F.transform(cut, listed(lambda p: F.substring(text, p["pos"] + 1, F.length(p["pair"]["gap"]))))[0]
-    single = F.array(F.struct(text.alias("text"), F.lit(0).alias("pos")))
-    return F.when(~text.rlike(SENTENCE_GAP), single).when(text.contains("\x01"), original).otherwise(as_cut)
+    return F.when(text.contains("\x01"), original).otherwise(as_cut)
+
+
+def sentence_around(text: Column, start_pos: Column, end_pos: Column) -> Column:
+    """The sentence that holds ``[start_pos, end_pos)``; looks at the whole text."""
+    before = F.regexp_extract(F.substring(text, F.lit(1), start_pos), r"(?s)^(?:.*[.!?]\s+)?(.*)\z", 1)
+    mention = F.substring(text, start_pos + 1, end_pos - start_pos)
+    after = F.regexp_extract(F.substring(text, end_pos + 1, F.length(text)), r"(?s)^.*?(?=(?<=[.!?])\s|\z)", 0)
+    return F.trim(F.concat(before, mention, after))
+
+
+def find_in_sentences(text: Column) -> Column:
+    """``array<struct<date_text, start_pos, end_pos, sentence>>`` in reading order.
+
+    A short text is searched as a whole, and ``sentence`` is NULL: it is looked up around each hit
+    (:func:`sentence_around`). A long one is cut into sentences first and each is searched by itself,
+    so time grows with the text, however many hits it has.
+    """
+
+    dated = F.filter(sentences(text), lambda s: s["text"].rlike(HINT))
+    many = F.flatten(F.transform(dated, lambda s: _find_many(s["text"], s["pos"])))
+    return F.when(F.length(text) <= _SHORT, find_mentions(text)).otherwise(many)
 
 
 _RULES = (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.chunks import full_text
-from ..functions.mentions import HINT, find_mentions, sentences
+from ..functions.mentions import HINT, find_in_sentences, sentence_around
 from ..schemas import FAILED
 from ..session import stage
 from ..sources.store import Store
@@ -20,21 +20,12 @@ NO_CONTEXT = "No context available"
 
 
 def scan_mentions(sections: DataFrame, keys: tuple[str, ...] = ("article_id",)) -> DataFrame:
-    """Mentions of sections with complete ``text``, in reading order, with their sentence; native, no shuffle.
-
-    A section is cut into sentences once and each is scanned by itself, so time grows with the
-    text, however many mentions it has.
-    """
-    long_enough = sections.where((F.length("text") > 2) & F.col("text").rlike(HINT))
-    cut = long_enough.select(*keys, "section_id", F.explode(sentences(F.col("text"))).alias("s")).where(F.col("s.text").rlike(HINT))
-    found = cut.select(*keys, "section_id", "s", F.explode(find_mentions(F.col("s.text"))).alias("m"))
+    """Mentions of sections with complete ``text``, in reading order, with their sentence; native, no shuffle."""
+    dated = sections.where((F.length("text") > 2) & F.col("text").rlike(HINT))
+    found = dated.select(*keys, "section_id", "text", F.explode(find_in_sentences(F.col("text"))).alias("m"))
+    around = sentence_around(F.col("text"), F.col("m.start_pos"), F.col("m.end_pos"))
     return found.select(
-        *keys,
-        "section_id",
-        "m.date_text",
-        (F.col("s.pos") + F.col("m.start_pos")).alias("start_pos"),
-        (F.col("s.pos") + F.col("m.end_pos")).alias("end_pos"),
-        F.trim("s.text").alias("sentence"),
+        *keys, "section_id", "m.date_text", "m.start_pos", "m.end_pos", F.coalesce("m.sentence", around).alias("sentence")
     )
 
 

@@ -160,7 +160,7 @@ def test_one_chain_over_many_partitions(spark):
 
 def found(spark, text):
     df = spark.createDataFrame([(text,)], "t string")
-    return [tuple(m) for m in df.select(find_mentions(F.col("t"))).first()[0]]
+    return [tuple(m)[:3] for m in df.select(find_mentions(F.col("t"))).first()[0]]
 
 
 def test_mention_positions_are_code_points(spark):
@@ -217,7 +217,9 @@ def test_positions_of_many_sentences_and_mentions(spark):
     assert len(rows) == 3000 and all(text[r.start_pos : r.end_pos] == r.date_text for r in rows)
     # All in one sentence, more than one run of sums.
     text = ", ".join(f"{1000 + i}" for i in range(1000))
-    assert [text[s:e] for _, s, e in found(spark, text)] == text.split(", ")
+    df = spark.createDataFrame([(1, 0, text)], "article_id int, section_id int, text string")
+    assert [text[r.start_pos : r.end_pos] for r in scan_mentions(df).collect()] == text.split(", ")
+    assert {r.sentence for r in scan_mentions(df).collect()} == {text}
 
 
 def test_many_mentions_take_linear_time(spark):
