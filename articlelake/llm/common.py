@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import discard
+from ..session import stage as staged
 
 # Bytes of text that a Python task works on at once.
 CHUNK_BYTES = 1 << 20
@@ -19,13 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the shared folder and read back: survives lost executors, cuts lineage."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id has no fold."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
@@ -126,7 +120,9 @@ def connected_components(edges: DataFrame, label: str = "edges") -> DataFrame:
         large = both.join(lows, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         lows = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lows, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        current = staged(small.unionByName(lows.select("u", F.col("m").alias("v"))).distinct(), label)
+        after = staged(small.unionByName(lows.select("u", F.col("m").alias("v"))).distinct(), label)
+        discard(current)
+        current = after
         state = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if state == before:
             break

@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .common import staged
 
-# Bytes after which a task begins its next archive; bytes of one task's share of an archive when
-# reading; largest gap that a coalesced read bridges, and its largest size.
-ARCHIVE_BYTES, SPLIT_BYTES, GAP_BYTES, READ_BYTES = 1 << 30, 8 << 20, 64 << 10, 8 << 20
+# Bytes after which a task begins its next archive; bytes of an archive that are read by one task,
+# and of all that a task reads; largest gap that a coalesced read bridges, and its largest size.
+ARCHIVE_BYTES, SPLIT_BYTES, TASK_BYTES, GAP_BYTES, READ_BYTES = 1 << 30, 8 << 20, 128 << 20, 64 << 10, 8 << 20
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -165,9 +165,12 @@ def read_records(index: DataFrame, folder: str, with_payload: bool = False) -> D
     not match its digest or its index row raises.
     """
     share = F.floor(F.col("offset") / SPLIT_BYTES)
+    # Tasks by the bytes to read, not by the size of the index.
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // TASK_BYTES)
     ranges = (
         index.select("archive", "offset", "length", "payload_digest", share.alias("share"))
-        .repartition("archive", "share")
+        .repartition(tasks, "archive", "share")
         .sortWithinPartitions("archive", "offset")
         .drop("share")
     )
