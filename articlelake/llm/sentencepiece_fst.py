@@ -111,7 +111,9 @@ class Transducer:
         ]
         self.packed = {p: np.array([i], "<i4").tobytes() for p, i in self.ids.items()}
         self.worst = min(self.scores.values(), default=0.0) - 10.0
+        # Two generations: when the newer is full it becomes the older, so that frequent parts stay.
         self.paths: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], float] = {}
 
     def _cuts(self) -> re.Pattern:
@@ -188,6 +190,8 @@ class Transducer:
     def ids_of(self, part: str) -> bytes:
         """Ids of one part as packed 32-bit integers; cut again where two characters meet in no piece."""
         found = self.paths.get(part)
+        if found is None and (found := self.older.get(part)) is not None:
+            self._keep(part, found)
         if found is None:
             inner = self.inner
             cuts = [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in inner]
@@ -196,11 +200,14 @@ class Transducer:
             else:
                 found = self._written(part)
             if len(part) <= KEPT_CHARS:
-                if len(self.paths) >= KEPT:
-                    self.paths.clear()
-                self.paths[part] = found
+                self._keep(part, found)
         return found
 
+    def _keep(self, part: str, found: bytes) -> None:
+        if len(self.paths) >= KEPT // 2:
+            self.older, self.paths = self.paths, {}
+        self.paths[part] = found
+
     def _written(self, part: str) -> bytes:
         packed = self.packed
         return b"".join([packed.get(p) or self._fallback(p) for p in self.path(part)])
