@@ -40,22 +40,26 @@ def segments(hits: list[tuple[int, float]], cost: float) -> list[tuple[int, int,
     ``hits`` are (position, positive score) in order; every other position costs ``cost``.
     """
     out: list[tuple[int, int, float, float]] = []  # first, last, sum before it, sum up to it
+    lower: list[int] = []  # of each: the latest earlier segment with a smaller sum before it, or -1
     total, last = 0.0, -1
     for at, score in hits:
         total -= cost * (at - last - 1)
         new = (at, at, total, total + score)
         total, last = total + score, at
+        j = len(out) - 1
         while True:
-            # The latest earlier segment with a smaller sum before it; segments above it on the list
-            # are skipped for good, being below the new one's start.
-            j = len(out) - 1
+            # Segments between one and its ``lower`` start no lower than it does, so they are skipped
+            # for good.
             while j >= 0 and out[j][2] >= new[2]:
-                j -= 1
+                j = lower[j]
             if j < 0 or out[j][3] >= new[3]:
                 out.append(new)
+                lower.append(j)
                 break
             new = (out[j][0], new[1], out[j][2], new[3])
-            del out[j:]
+            up = lower[j]
+            del out[j:], lower[j:]
+            j = up
     return [(first, end, high - low) for first, end, low, high in out]
 
 

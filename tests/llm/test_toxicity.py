@@ -39,6 +39,32 @@ def test_segments_equal_recursive_maxima():
         assert all(math.isclose(sum(scores[a : b + 1]), s) for a, b, s in got)
 
 
+class Counted(float):
+    """A sum that counts its comparisons."""
+
+    seen = 0
+
+    def __ge__(self, other):
+        Counted.seen += 1
+        return float(self) >= float(other)
+
+
+for _name in ("__add__", "__radd__", "__sub__", "__rsub__", "__mul__", "__rmul__"):
+    setattr(Counted, _name, lambda self, other, f=getattr(float, _name): Counted(f(self, float(other))))
+
+
+def test_segments_take_linear_time():
+    """Texts that drift down, or down and up again, need a few comparisons a hit."""
+    n = 3000
+    falling = [(10 * i, 1.0) for i in range(n)]
+    waves = [(10 * i if i < n // 2 else 5 * n + 2 * i, 1.5) for i in range(n)]
+    valley = [(3 * i - i * (i % 7 == 0), 2.5) for i in range(n)]
+    for hits in (falling, waves, sorted(dict(valley).items())):
+        Counted.seen = 0
+        found = toxicity.segments(hits, Counted(1.0))
+        assert found and Counted.seen <= 5 * n
+
+
 def test_background_rate_solves_its_equation():
     scores, shares = np.array([3.0, 1.0, -0.2]), np.array([0.001, 0.01, 0.989])
     rate = toxicity.background_rate(scores, shares)
