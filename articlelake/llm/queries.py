@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, fingerprints, language, license_scan, packing, quality, sentencepiece_fst, simhash, toxicity, warc
+from . import embeddings, fingerprints, graph_search, hard_negatives, language, lexical_search, license_scan, packing, quality
+from . import sentencepiece_fst, simhash, toxicity, warc
 from .common import fold, table
 
 
@@ -59,6 +60,18 @@ def op10_warc(spark: SparkSession, d: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_lexical(spark: SparkSession, d: str) -> DataFrame:
+    return lexical_search.search(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+def op12_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    return graph_search.nearest(table(spark, d, "embeddings"))
+
+
+def op13_negatives(spark: SparkSession, d: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, d, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license": op1_license,
     "op2_language": op2_language,
@@ -70,6 +83,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
     "op10_warc": op10_warc,
+    "op11_lexical": op11_lexical,
+    "op12_neighbours": op12_neighbours,
+    "op13_negatives": op13_negatives,
 }
 
-ORACLES: dict[str, str] = {"op1_license": license_scan.oracle_sql(), "op10_warc": warc.oracle_sql()}
+ORACLES: dict[str, str] = {
+    "op1_license": license_scan.oracle_sql(),
+    "op10_warc": warc.oracle_sql(),
+    "op11_lexical": lexical_search.oracle_sql(),
+    "op13_negatives": hard_negatives.oracle_sql(),
+}
