@@ -6,10 +6,11 @@ learned from the labelled rows of ``sf_dir``. All but the last return the column
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from articlelake.llm import packing, quality, shingles, toxicity
+from articlelake.llm import packing, quality, simhash, toxicity
 from articlelake.llm.common import staged, table
 
 
@@ -25,17 +26,29 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.where(model.score(F.col("text")) < 0.5)
 
 
+def _placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key for each row: its id (those without one last) and its place in the files, which is the
+    same however a scan is split. Rows that come from no file are written first."""
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        docs = staged(docs, "pipeline-rows")
+    place = [F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
+    id_ = [F.col("doc_id").isNull().alias("nameless"), F.coalesce("doc_id", F.lit(0)).alias("id")]
+    return docs.withColumn("_row_key", F.struct(*id_, *place))
+
+
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five-word shingles, Jaccard similarity of at
-    least 0.8): that with the smallest doc_id.
+    """One document of each group of near-duplicates, as the SimHash operator finds them with its own shingles
+    and radius: that with the smallest doc_id.
 
-    Rows that share that id stay or go together; rows without an id form no group and stay. The
-    ids that go are few and narrow, so the texts meet them in an anti join that the planner may
-    broadcast.
+    Rows are told apart by their place, so of rows that repeat that id, or have none, one stays as well. The
+    keys that go are few and narrow; texts meet them in an anti join that the planner may broadcast.
     """
-    found = shingles.near_duplicates(docs)
-    losers = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(losers, "doc_id", "left_anti")
+    placed = _placed(docs)
+    found = simhash.near_duplicates(placed.select(F.col("_row_key").alias("doc_id"), "text"))
+    losers = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_row_key"))
+    return placed.join(losers, "_row_key", "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
