@@ -11,8 +11,8 @@ from ..functions.chunks import full_text
 from ..functions.mentions import HINT, find_in_sentences, sentence_around
 from ..schemas import FAILED
 from ..session import stage
-from ..sources.store import Store
-from .dates import resolve_dates
+from ..sources.store import Store, bucket_of
+from .dates import as_anchors, resolve_dates
 
 EVENT_KEY = ["article_id", "section_id", "start_pos"]
 # Fixed value: shown for a failed mention whose section is unknown.
@@ -73,11 +73,31 @@ def unresolved_events(events: DataFrame, limit: int | None = None) -> DataFrame:
     return ordered if limit is None else ordered.limit(limit)
 
 
-def resolve_events(events: DataFrame, as_of: datetime) -> DataFrame:
-    """The event table after one resolution run. Open events are replaced, others pass
-    through, so nothing is joined."""
-    resolved = resolve_dates(events.where(_is_open()), as_of)
-    return events.where(~_is_open()).unionByName(resolved.select(*events.columns))
+def resolve_events(events: DataFrame, as_of: datetime, limit: int | None = None) -> DataFrame:
+    """The event table after one resolution run over its open events, or the first ``limit`` of them.
+
+    Chains go on from what earlier runs resolved. In each article that has an event of this run, everything
+    from its first one on is resolved again, against the last event resolved before it: a mention
+    that leans on a section which came later changes with it. So runs over sections in any order, or over
+    batches, end with what one run over all gives. Other events pass through; open ones beyond the limit stay open.
+    """
+    place = F.struct("section_id", "start_pos")
+    batch = events.where(_is_open()).select(*EVENT_KEY)
+    if limit is not None:
+        batch = stage(batch.orderBy(*EVENT_KEY).limit(limit), "event-batch")
+        last = batch.agg(F.max(F.struct(*EVENT_KEY))).first()[0]
+        beyond = F.lit(False) if last is None else F.struct(*EVENT_KEY) > F.struct(*[F.lit(x).cast(events.schema[k].dataType) for k, x in zip(EVENT_KEY, last)])
+        later = _is_open() & beyond
+    else:
+        later = F.lit(False)
+    first = batch.groupBy("article_id").agg(F.min(place).alias("_first"))
+    reached = events.join(first, "article_id", "left").withColumn("_here", F.coalesce(place >= F.col("_first"), F.lit(False)) & ~later)
+    # The last resolved event before the first of this run: one for each article, reduced before the shuffle.
+    before = reached.where(F.col("_first").isNotNull() & (place < F.col("_first")) & F.col("start_date").isNotNull())
+    context = ["section_id", "start_pos", "date_text", "start_date", "end_date"]
+    earlier = before.groupBy("article_id").agg(F.max_by(F.struct(*context), place).alias("_e")).select("article_id", "_e.*")
+    resolved = resolve_dates(reached.where("_here").select(*events.columns), as_of, earlier=as_anchors(earlier))
+    return reached.where("not _here").select(*events.columns).unionByName(resolved.select(*events.columns))
 
 
 def write_back(events: DataFrame, resolved: DataFrame) -> DataFrame:
@@ -97,19 +117,55 @@ def write_back(events: DataFrame, resolved: DataFrame) -> DataFrame:
     )
 
 
-def event_flow(store: Store, as_of: datetime) -> None:
-    """Scan the sections not scanned yet, store their events, resolve what is open, mark the sections.
+def with_scans(sections: DataFrame, scans: DataFrame) -> DataFrame:
+    """Sections as readers see them: ``is_parsed`` is set where the log of scans says so.
+
+    The log is narrow and holds only what was scanned since the sections were written (see
+    :func:`compact_scans`). For a few articles, filter both first."""
+    return mark_parsed(sections, scans)
+
+
+def pending_sections(store: Store) -> DataFrame:
+    """Keys of the sections not scanned yet. No text is read."""
+    keys = store.read("article_section").where("is_parsed is null").select("article_id", "section_id")
+    return keys.join(store.read("section_scan"), ["article_id", "section_id"], "left_anti")
+
+
+def _buckets(*keyed: DataFrame) -> list[int]:
+    """Dump files of the given rows: a number for each file, not for each row."""
+    found = [rows.select(bucket_of("parsed_event").alias("b")).distinct() for rows in keyed]
+    return sorted({r.b for rows in found for r in rows.collect()})
+
+
+def event_flow(store: Store, as_of: datetime, limit: int | None = None) -> None:
+    """Scan the sections not scanned yet, store their events, resolve what is open (or the first ``limit``
+    open events of those files), log the scans.
 
-    Events come first and the marks last. Events of a section that is not marked are left from a run
-    that broke off; they are dropped before the new ones are stored, so the flow can be run again at
-    any point. The flag is set on the rows as they are copied: no text is joined.
+    Only the folders of dump files with pending sections or open events are read and rewritten, and of
+    sections only their keys are written, to the log: no text is copied. Events come first and the log last.
+    Events of a section that is not logged are left from a run that broke off; they are dropped before the new
+    ones are stored, so the flow can be run again at any point.
     """
-    sections = store.read("article_section")
-    pending = sections.where("is_parsed is null").select("article_id", "section_id")
-    found = stage(parsed_events(scan_mentions(unparsed_sections(sections, store.read("article_section_ext_text")))), "events")
-    kept = store.read("parsed_event").join(pending, ["article_id", "section_id"], "left_anti")
-    store.replace("parsed_event", resolve_events(kept.unionByName(found.select(*kept.columns)), as_of))
-    store.replace("article_section", sections.withColumn("is_parsed", F.coalesce("is_parsed", F.lit("Y"))))
+    pending = stage(pending_sections(store), "pending")
+    fresh_buckets = _buckets(pending)
+    buckets = sorted({*fresh_buckets, *_buckets(store.read("parsed_event").where(_is_open()))})
+    if not buckets:
+        return
+    sections = store.read("article_section", fresh_buckets).where("is_parsed is null")
+    todo = sections.join(store.read("section_scan", fresh_buckets), ["article_id", "section_id"], "left_anti")
+    todo = full_text(todo, store.read("article_section_ext_text", fresh_buckets))
+    found = stage(parsed_events(scan_mentions(todo)), "events")
+    kept = store.read("parsed_event", buckets).join(pending, ["article_id", "section_id"], "left_anti")
+    store.rewrite("parsed_event", resolve_events(kept.unionByName(found.select(*kept.columns)), as_of, limit), buckets)
+    if fresh_buckets:
+        store.append("section_scan", pending)
+
+
+def compact_scans(store: Store, buckets: list[int]) -> None:
+    """Write the logged scans of these dump files into their sections and empty their log."""
+    merged = with_scans(store.read("article_section", buckets), store.read("section_scan", buckets))
+    store.rewrite("article_section", merged, buckets)
+    store.rewrite("section_scan", store.read("section_scan", buckets).limit(0), buckets)
 
 
 def failure_context(resolved: DataFrame, sections: DataFrame) -> DataFrame:

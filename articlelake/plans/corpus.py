@@ -227,3 +227,19 @@ def chained_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (key + F.length(text)).cast("int").alias("end_pos"),
         F.lit(None).cast("string").alias("display_text"),
     )
+
+
+def chained_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Those mentions as sections: a sentence for each order, an article for each customer and 100,000 order
+    keys, so that none grows without bound."""
+    key = F.col("start_pos")
+    page = F.call_function("div", key, F.lit(ORDERS_PER_PAGE))
+    article = F.shiftleft(F.col("article_id").cast("bigint"), 20) + page
+    sentence = F.concat(F.lit("Order K"), key.cast("string"), F.lit(" came on "), F.col("date_text"), F.lit("."))
+    said = F.transform(F.sort_array(F.collect_list(F.struct(key, sentence.alias("sentence")))), lambda s: s["sentence"])
+    texts = chained_mentions(spark, sf_dir).groupBy(article.alias("article_id"), "section_id").agg(F.array_join(said, " ").alias("text"))
+    none = [F.lit(None).cast("int").alias(c) for c in ("parent_section_id", "row_idx", "column_idx", "row_span", "column_span")]
+    return texts.select(
+        "article_id", "section_id", F.lit(0).alias("ext_text_count"), *none, F.lit("PARAGRAPH").alias("tag"),
+        F.lit(None).cast("string").alias("format"), "text", F.lit(None).cast("string").alias("is_parsed"),
+    )

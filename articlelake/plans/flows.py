@@ -82,17 +82,17 @@ def date_forms(spark, d):
 
 
 def event_flow(spark, d):
-    """The flow over stored tables, run again after a run whose marks were lost."""
+    """The flow over stored tables, run again after a run whose log of scans was lost."""
     store = Store(spark, scratch_path(spark, "lake"))
     lines = corpus.lines(spark, d)
     fresh = detail.parse_into_tables(lines)
     for name in ("article_section", "article_section_ext_text", "article_section_format"):
         store.replace(name, fresh[name])
-    unmarked = store.read("article_section")
     events.event_flow(store, AS_OF)
-    store.replace("article_section", unmarked)
+    store.replace("section_scan", store.read("section_scan").limit(0))
     events.event_flow(store, AS_OF)
-    marks = store.read("article_section").select("article_id", "section_id", "is_parsed")
+    keys = store.read("article_section").select("article_id", "section_id", "is_parsed")
+    marks = events.with_scans(keys, store.read("section_scan"))
     titles = fresh["parsed"].where("section_id = 0").select("article_id", "title")
     found = store.read("parsed_event").join(marks, ["article_id", "section_id"]).join(titles, "article_id")
     return found.select(
@@ -100,6 +100,30 @@ def event_flow(spark, d):
     )
 
 
+def resolve_dates_in_two_runs(spark, d):
+    """Mentions that lean on each other, whose sections arrive in two batches, each resolved in two runs of which
+    the first is limited to 1,000 events. The middle sections come last: what follows them is resolved again."""
+    arriving = corpus.chained_mentions(spark, d)
+    stored = arriving.limit(0)
+    for batch in ("section_id <> 1", "section_id = 1"):
+        stored = stored.unionByName(arriving.where(batch))
+        for limit in (1000, None):
+            stored = stage(events.resolve_events(stored, AS_OF, limit), "resolved")
+    return stored.select("article_id", *_long("section_id", "start_pos"), "date_text", "start_date", "end_date", *_long("parse_status"))
+
+
+def event_flow_of_late_sections(spark, d):
+    """The flow over stored sections whose dates lean on each other; the middle section of each article comes last."""
+    store = Store(spark, scratch_path(spark, "late"))
+    arriving = stage(corpus.chained_sections(spark, d), "late-sections")
+    for batch in ("section_id <> 1", "section_id = 1"):
+        store.append("article_section", arriving.where(batch))
+        events.event_flow(store, AS_OF)
+    order = Window.partitionBy("article_id", "section_id").orderBy("start_pos")
+    found = store.read("parsed_event").withColumn("n", F.row_number().over(order))
+    return found.select("article_id", *_long("section_id", "n"), "date_text", "start_date", "end_date", *_long("parse_status"))
+
+
 def unresolved_batch(spark, d):
     """The first 1,000 open events in reading order: the batch of one resolution run."""
     some = dates.date_intervals(corpus.chained_mentions(spark, d))
@@ -201,7 +225,7 @@ FLOWS = {
     f.__name__: f
     for f in (
         stream_ingest_parts, rich_sections, rich_spans, rich_overflow, page_paragraphs, date_forms, event_flow,
-        unresolved_batch, articles_of_older_rules,
+        resolve_dates_in_two_runs, event_flow_of_late_sections, unresolved_batch, articles_of_older_rules,
         refresh_unparseable, refresh_wanted, article_detail_on_demand, stored_violations,
     )
 }

@@ -119,18 +119,18 @@ def _long(*names: str) -> str:
     return ", ".join(f"{n}::BIGINT AS {n}" for n in names)
 
 
-def _chain(partition: str) -> str:
+def _chain(partition: str, article: str = "o_custkey") -> str:
     """The chained mentions resolved one by one with a recursive query."""
     return f"""
 WITH RECURSIVE q AS (
-  SELECT o_custkey AS article_id, o_orderkey % 3 AS section_id, o_orderkey AS start_pos, o_orderkey % 7 AS kind,
+  SELECT {article} AS article_id, o_orderkey % 3 AS section_id, o_orderkey AS start_pos, o_orderkey % 7 AS kind,
     o_orderdate::DATE AS d,
     CASE WHEN o_orderkey % 7 <= 1 THEN strftime(o_orderdate, '%-d %B %Y')
       ELSE CASE o_orderkey % 7 WHEN 2 THEN '2 years later' WHEN 3 THEN '3 days earlier' WHEN 4 THEN 'bad date'
         WHEN 5 THEN 'the following month' ELSE strftime(o_orderdate, '%-d %B') END END AS date_text,
     row_number() OVER (PARTITION BY {partition} ORDER BY o_orderkey % 3, o_orderkey) AS i
   FROM orders),
-q1 AS (SELECT *, {"article_id::VARCHAR" if partition == "o_custkey" else "article_id || '/' || section_id"} AS chain FROM q),
+q1 AS (SELECT *, {"article_id::VARCHAR" if partition == article else "article_id || '/' || section_id"} AS chain FROM q),
 f AS (
   SELECT chain, 0::BIGINT AS i, DATE '2024-01-01' AS ref, NULL::DATE AS val FROM (SELECT DISTINCT chain FROM q1)
   UNION ALL
@@ -148,6 +148,10 @@ z AS (
 """
 
 
+# Articles of a customer's orders, cut by order keys.
+_PAGES = "o_custkey * 1048576 + o_orderkey // 100000"
+
+
 def _lines(where: str = "TRUE") -> str:
     return f"{_A} SELECT dump_file_id, file_name, dump_idx, title FROM a WHERE {where}"
 
@@ -263,6 +267,11 @@ ORACLES = {
     "event_sentences": f"{_M} SELECT title, section_id, start_pos, sentence AS display_text FROM m",
     "date_intervals": f"{_M} SELECT title, section_id, date_text, start_date, end_date, grain FROM m",
     "resolve_dates_article": f"{_chain('o_custkey')} SELECT * FROM z",
+    "resolve_dates_in_two_runs": f"""{_chain('o_custkey')} SELECT article_id, section_id, start_pos, date_text, start_date, end_date, parse_status
+      FROM z""",
+    "event_flow_of_late_sections": f"""{_chain(_PAGES, _PAGES)} SELECT article_id, section_id,
+        row_number() OVER (PARTITION BY article_id, section_id ORDER BY start_pos) AS n, date_text, start_date, end_date, parse_status
+      FROM z WHERE date_text <> 'bad date'""",
     "resolve_dates_section": f"{_chain('o_custkey, o_orderkey % 3')} SELECT * FROM z",
     "unresolved_events": f"""{_chain('o_custkey')} SELECT article_id, section_id::BIGINT AS section_id, start_pos, date_text
       FROM q WHERE kind > 1""",

@@ -36,6 +36,9 @@ PARSED_EVENT = (
     "parse_status int, date_text string, start_pos int, end_pos int, display_text string"
 )
 
+# Sections that were scanned for mentions since their rows were written: merged into ``is_parsed`` on reading.
+SECTION_SCAN = "article_id bigint, section_id int"
+
 # The article table again, in order of the folded title.
 ARTICLE_TITLE = ARTICLE
 
@@ -48,6 +51,7 @@ TABLES = {
     "article_section_ext_text": ARTICLE_SECTION_EXT_TEXT,
     "article_section_format": ARTICLE_SECTION_FORMAT,
     "parsed_event": PARSED_EVENT,
+    "section_scan": SECTION_SCAN,
 }
 
 CHILD_TABLES = (
@@ -64,6 +68,7 @@ BUCKETED = {
     "article_section_ext_text": "article_id",
     "article_section_format": "article_id",
     "parsed_event": "article_id",
+    "section_scan": "article_id",
 }
 
 PRIMARY_KEYS = {
@@ -75,6 +80,7 @@ PRIMARY_KEYS = {
     "article_section_ext_text": ("article_id", "section_id", "count_id"),
     "article_section_format": ("article_id", "section_id", "ord"),
     "parsed_event": ("article_id", "section_id", "start_pos"),
+    "section_scan": ("article_id", "section_id"),
 }
 
 # Columns that must name a row of another table, and that table's columns.
@@ -83,6 +89,7 @@ FOREIGN_KEYS = {
     "article_section_ext_text": [(("article_id", "section_id"), "article_section", ("article_id", "section_id"))],
     "article_section_format": [(("article_id", "section_id"), "article_section", ("article_id", "section_id"))],
     "parsed_event": [(("article_id", "section_id"), "article_section", ("article_id", "section_id"))],
+    "section_scan": [(("article_id", "section_id"), "article_section", ("article_id", "section_id"))],
 }
 
 # Stored column widths in characters.

@@ -261,3 +261,52 @@ def test_numbers_that_do_not_fit_are_found_and_fail(spark, text):
 def test_hours_move_the_clock():
     noon = seconds(2001, 3, 5) + 12 * 3600
     assert apply_op((noon, "minute"), "shift", 780, None, "minute") == (noon + 46_800, noon + 46_859, "minute")
+
+
+def stored(spark, rows):
+    """Rows of the stored event table that are open, in any order."""
+    from articlelake.schemas import PARSED_EVENT
+
+    return spark.createDataFrame([(a, s, None, None, None, t, p, p + len(t), None) for a, s, p, t in rows], PARSED_EVENT)
+
+
+def intervals(events):
+    return {(r.article_id, r.section_id, r.start_pos): (r.start_date, r.end_date, r.parse_status) for r in events.collect()}
+
+
+def test_a_later_run_leans_on_what_was_resolved(spark):
+    from articlelake.operators.events import resolve_events
+
+    as_of = datetime(2024, 1, 1)
+    known = resolve_events(stored(spark, [(1, 0, 0, "5 May 1990"), (2, 0, 0, "1914-1918")]), as_of)
+    late = stored(spark, [(1, 1, 0, "2 days later"), (2, 3, 0, "the following month"), (3, 0, 0, "1 day later")])
+    got = intervals(resolve_events(known.unionByName(late), as_of))
+    assert got[1, 1, 0][0] == seconds(1990, 5, 7) and got[3, 0, 0][0] == seconds(2024, 1, 2)
+    # The range keeps the grain of its form, not that of its length.
+    assert got[2, 3, 0] == (seconds(1914, 2, 1), seconds(1914, 3, 1) - 1, 1)
+
+
+def test_runs_in_any_order_end_alike(spark):
+    """Sections in random batches, runs with random limits: the same events as one run over all."""
+    import random
+
+    from articlelake.operators.events import resolve_events, unresolved_events
+    from articlelake.session import stage
+
+    rng = random.Random(4)
+    texts = ["1 day later", "the following month", "bad date", "3 years earlier", "29 February", "14:30", "90 minutes later", "1990s", "1914-1918", "19th century"]
+    rows = [(a, s, p, rng.choice(texts) if rng.random() < 0.8 else f"{rng.randint(1, 28)} May {1900 + rng.randint(0, 99)}") for a in range(6) for s in range(5) for p in range(0, 60, 20)]
+    as_of = datetime(2024, 1, 1)
+    want = intervals(resolve_events(stored(spark, rows), as_of))
+    places = [(a, s) for a in range(6) for s in range(5)]
+    rng.shuffle(places)
+    table = stored(spark, [])
+    for batch in (places[:11], places[11:13], places[13:]):
+        table = stage(table.unionByName(stored(spark, [r for r in rows if r[:2] in batch])), "t")
+        for limit in (7, None):
+            before = unresolved_events(table).count()
+            table = stage(resolve_events(table, as_of, limit), "t")
+            assert unresolved_events(table).count() == (0 if limit is None else max(0, before - limit))
+    assert intervals(table) == want and len(want) == len(rows)
+    again = stage(resolve_events(table, as_of), "t")
+    assert intervals(again) == want

@@ -418,23 +418,70 @@ def test_refresh_in_place_touches_its_files_only(spark, dumps, tmp_path):
     assert store.read("parsed_event").count() == others
 
 
-def test_event_flow_can_break_off_anywhere(spark, tmp_path):
-    lines = lines_of(spark, document("A"), document("B"))
+def flow_store(spark, tmp_path, *titles):
+    lines = lines_of(spark, *[document(t) for t in titles])
     store = Store(spark, str(tmp_path / "lake"))
     store.append("article", ingest.ingest(lines, None, NOW))
     for name, df in detail.refresh_articles(store.read_all(), lines, NOW).items():
         store.replace(name, df)
-    before = store.read("article_section")
+    return store, lines
+
+
+def unscanned(store):
+    return events.with_scans(store.read("article_section"), store.read("section_scan")).where("is_parsed is null").count()
+
+
+def test_event_flow_can_break_off_anywhere(spark, tmp_path):
+    store, _ = flow_store(spark, tmp_path, "A", "B")
     events.event_flow(store, NOW)
     want = sorted(map(tuple, store.read("parsed_event").collect()))
-    assert len(want) == 2 and all(r[2] is not None for r in want)
-    assert store.read("article_section").where("is_parsed is null").count() == 0
-    # Events were stored, marks were not: the next run must not store them twice.
-    store.replace("article_section", before)
+    assert len(want) == 2 and all(r[2] is not None for r in want) and unscanned(store) == 0
+    # Events were stored, the log was not: the next run must not store them twice.
+    store.replace("section_scan", store.read("section_scan").limit(0))
+    assert unscanned(store) == 4
+    for _ in range(2):
+        events.event_flow(store, NOW)
+        assert sorted(map(tuple, store.read("parsed_event").collect())) == want and unscanned(store) == 0
+
+
+def files_of(path):
+    import os
+
+    return {(top, f): os.stat(f"{top}/{f}").st_mtime_ns for top, _, names in os.walk(path) for f in names}
+
+
+def test_event_flow_writes_no_text(spark, tmp_path):
+    """Files of sections stay as they are; the log grows by keys; a run with nothing to do writes nothing."""
+    store, lines = flow_store(spark, tmp_path, "A", "B")
+    before = files_of(tmp_path / "lake/article_section")
     events.event_flow(store, NOW)
-    assert sorted(map(tuple, store.read("parsed_event").collect())) == want
+    assert files_of(tmp_path / "lake/article_section") == before
+    everything = files_of(tmp_path / "lake")
     events.event_flow(store, NOW)
-    assert sorted(map(tuple, store.read("parsed_event").collect())) == want
+    assert files_of(tmp_path / "lake") == everything
+    # A refreshed article is scanned again, and only it.
+    wanted = store.read("article").where("title = 'B'")
+    for name, df in detail.refresh_articles(store.read_all(), lines, NOW, wanted=wanted, force=True).items():
+        store.replace(name, df)
+    assert {r.article_id for r in events.pending_sections(store).collect()} == {(1 << 32) + 1}
+    events.event_flow(store, NOW)
+    assert unscanned(store) == 0 and store.read("parsed_event").count() == 2
+    # Compaction moves the log into the sections and empties it.
+    events.compact_scans(store, [1])
+    assert store.read("section_scan").count() == 0 and store.read("article_section").where("is_parsed = 'Y'").count() == 4
+    assert unscanned(store) == 0 and events.pending_sections(store).count() == 0
+
+
+def test_store_keeps_its_newest_versions(spark, tmp_path):
+    import os
+
+    store = Store(spark, str(tmp_path / "s"), kept=3)
+    for k in range(6):
+        rows = spark.createDataFrame([(k, "a", 1, NOW)], TABLES["dump_file"])
+        store.replace("dump_file", store.read("dump_file").unionByName(rows))
+    assert sorted(os.listdir(tmp_path / "s/dump_file")) == ["v4", "v5", "v6"] and store.read("dump_file").count() == 6
+    with pytest.raises(ValueError):
+        Store(spark, str(tmp_path / "s"), kept=1)
 
 
 def test_parse_error_is_recorded(spark):
