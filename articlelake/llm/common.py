@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fold(doc_id: Column, folds: int) -> Column:
-    """crc32 of the id as text, modulo ``folds``; a null id has no fold."""
+    """crc32 of the id as text, modulo ``folds``; a null id has no fold: it is neither learned from nor held out."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
@@ -40,28 +40,17 @@ def sample_ids(labels: DataFrame, label: str, learn: Column, per_class: int) ->
     return picked[0].unionByName(picked[1]), 0.5 if share is None else share
 
 
-def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int, chars: int
-) -> tuple[list[tuple[str, int]], float]:
-    """Bounded sample of (text, label) for fitting a classifier, brought to the driver, and the
-    share of label 1 among all labelled rows to learn from (0.5 where there are none).
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int) -> tuple[DataFrame, float]:
+    """(doc_id, text, _label), a bounded number of rows for fitting a classifier, and the share of label 1
+    among all labelled rows to learn from (0.5 where there are none).
 
     Takes the ``per_class`` rows of smallest id hash for label 0 and for label 1 among the rows
-    that ``learn`` admits, and of each text a window of at most ``chars`` code points at a hashed
-    place. Ids labelled twice count as 1 if any label is 1. The ids (at most ``2 * per_class``)
-    are broadcast, so no text is shuffled.
+    that ``learn`` admits, with their whole texts. Ids labelled twice count as 1 if any label is 1; of rows that
+    share an id, one is taken. The ids (at most ``2 * per_class``) are broadcast, so no other text is shuffled.
     """
     ids, share = sample_ids(labels, label, learn, per_class)
-    start = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.greatest(F.length("text") - chars + 1, F.lit(1))).cast("int") + 1
-    rows = (
-        docs.select("doc_id", "text")
-        .where(F.col("text").isNotNull())
-        .join(F.broadcast(ids), "doc_id")
-        .select("doc_id", F.substring("text", start, F.lit(chars)).alias("t"), "_label")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "t")
-        .limit(2 * per_class)
-    )
-    return [(r.t, r._label) for r in rows.collect()], share
+    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id")
+    return rows.groupBy("doc_id", "_label").agg(F.min("text").alias("text")), share
 
 
 def encoded(array: pa.Array) -> Iterator[bytes | None]:

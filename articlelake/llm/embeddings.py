@@ -8,7 +8,8 @@ verified links, so no false link is returned. Trees differ by seed; their links
 
 The trees are fitted on a bounded sample; every row is indexed. A leaf that is still too large is
 compared block against block, so nothing is capped. What can be missed is a pair that every tree
-parts at some split by more than the spill; the tests measure recall against brute force.
+parts at some split by more than the spill; the tests measure recall against brute force. Trees are
+grown at every size; a larger table has more levels.
 
 Pairs are not emitted. A task counts the links of each of its rows, leaving out pairs that already
 meet in an earlier leaf (each row carries the numbers of all its leaves), and returns a spanning
@@ -32,7 +33,9 @@ TREES = 4
 # the threshold has on average.
 SPILL = 0.75
 # Sample bound of the fit; classes a leaf aims at; classes of one side of a comparison.
-SAMPLE_ROWS, LEAF_ROWS, SIDE_ROWS = 20_000, 768, 4096
+SAMPLE_ROWS, LEAF_ROWS, SIDE_ROWS = 20_000, 256, 4096
+# Products computed at once, and pairs summed by themselves at once: a few tens of megabytes each.
+PRODUCTS, SLICE = 1 << 21, 1 << 16
 
 
 def margin(dim: int, threshold: float) -> float:
@@ -77,10 +80,14 @@ def route(tree: tuple | None, points: np.ndarray, width: float) -> Iterator[tupl
 
 def near(left: np.ndarray, right: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs with cosine of at least ``threshold``; rows are unit vectors in double precision."""
-    i, j = np.nonzero(left @ right.T >= threshold - 1e-9)
-    # The product may round otherwise than a sum over one pair.
-    exact = np.einsum("ij,ij->i", left[i], right[j]) >= threshold
-    return i[exact], j[exact]
+    product = left @ right.T
+    hit = product >= threshold
+    # The product may round otherwise than a sum over one pair: pairs at the threshold are summed by themselves.
+    i, j = np.nonzero(np.abs(product - threshold) < 1e-9)
+    for begin in range(0, len(i), SLICE):
+        a, b = i[begin : begin + SLICE], j[begin : begin + SLICE]
+        hit[a, b] = np.einsum("ij,ij->i", left[a], right[b]) >= threshold
+    return np.nonzero(hit)
 
 
 def unit(values: pa.Array) -> np.ndarray:
@@ -101,21 +108,19 @@ def similar_links(classes: DataFrame, threshold: float = THRESHOLD, trees: int =
     """
     sizes = classes.groupBy("label", F.size("embedding").alias("dim")).agg(F.count("*").alias("n"))
     largest = sizes.agg(F.max("n")).first()[0]
-    levels = 0
+    levels = 1
     while (largest or 0) * 0.6**levels > LEAF_ROWS:
         levels += 1
     forests: dict[int, list] = {}
-    trees = trees if levels else 1
-    if levels:
-        total = classes.count()
-        share = min(1 << 20, int((1 << 20) * SAMPLE_ROWS / total) + 1)
-        picked = classes.where(F.pmod(F.xxhash64("class", F.lit(5)), F.lit(1 << 20)) < share).limit(SAMPLE_ROWS)
-        by_dim: dict[int, list] = {}
-        for row in picked.select("class", "embedding").collect():
-            by_dim.setdefault(len(row.embedding), []).append((row[0], list(row.embedding)))
-        for dim, found in by_dim.items():
-            points = unit(pa.array([v for _, v in sorted(found)], pa.list_(pa.float64())))
-            forests[dim] = [grow(points, margin(dim, threshold), levels, np.random.default_rng(k)) for k in range(trees)]
+    # Half the bound is aimed at, so that the limit does not cut.
+    share = min(1 << 20, int((1 << 19) * SAMPLE_ROWS / max(1, classes.count())) + 1)
+    picked = classes.where(F.pmod(F.xxhash64("class", F.lit(5)), F.lit(1 << 20)) < share).limit(SAMPLE_ROWS)
+    by_dim: dict[int, list] = {}
+    for row in picked.select("class", "embedding").collect():
+        by_dim.setdefault(len(row.embedding), []).append((row[0], list(row.embedding)))
+    for dim, found in by_dim.items():
+        points = unit(pa.array([v for _, v in sorted(found)], pa.list_(pa.float64())))
+        forests[dim] = [grow(points, margin(dim, threshold), levels, np.random.default_rng(k)) for k in range(trees)]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,12 +162,14 @@ def similar_links(classes: DataFrame, threshold: float = THRESHOLD, trees: int =
         # Which earlier leaves each row is in: a pair that shares one was counted there.
         lists = frame["leaves"].combine_chunks()
         flat, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
-        owner, (_, place) = owner[flat < leaf], np.unique(flat[flat < leaf], return_inverse=True)
+        owner, (_, place, size) = owner[flat < leaf], np.unique(flat[flat < leaf], return_inverse=True, return_counts=True)
+        # A leaf that only one of these rows is in is shared by no pair.
+        owner, (_, place) = owner[size[place] > 1], np.unique(place[size[place] > 1], return_inverse=True)
         earlier = np.zeros((len(ids), int(place.max()) + 1 if len(place) else 1), np.float32)
         earlier[owner, place] = 1
         left, right = np.flatnonzero(side == low), np.flatnonzero(side == high)
         forest, linked = Forest(len(ids)), np.zeros(len(ids), np.int64)
-        step = max(1, (1 << 21) // len(right))
+        step = max(1, PRODUCTS // len(right))
         for begin in range(0, len(left), step):
             part = left[begin : begin + step]
             i, j = near(points[part], points[right], threshold)

@@ -18,14 +18,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import encoded, fold
+from .common import encoded, fold, staged
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 BATCH = 512
-# Sample bound of the fit: languages, rows per language, code points per text.
-MAX_LANGUAGES, TRAIN_ROWS, TRAIN_CHARS = 256, 600, 400
+# Sample bound of the fit: rows per language. Windows of each that an epoch draws.
+TRAIN_ROWS, DRAWS = 600, 2
 UNKNOWN = "und"
 
 
@@ -126,7 +126,7 @@ class LanguageModel:
 
 
 def train(rows: list[tuple[str, str]], epochs: int = 8, batch: int = 64, rate: float = 0.01, seed: int = 11) -> LanguageModel:
-    """Fit on (text, language) with Adam; every window of each text is an example."""
+    """Fit on (text, language) with Adam. Every epoch draws ``DRAWS`` windows of each whole text, or all if it has fewer."""
     rng = np.random.default_rng(seed)
     languages = sorted({y for _, y in rows})
     place = {y: i for i, y in enumerate(languages)}
@@ -142,7 +142,11 @@ def train(rows: list[tuple[str, str]], epochs: int = 8, batch: int = 64, rate: f
     second = {k: np.zeros_like(v) for k, v in p.items()}
     step = 0
     for _ in range(epochs):
-        order = rng.permutation(len(data))
+        # Windows in random order within their text; the first few of each, in random order.
+        mixed = np.lexsort((rng.random(len(data)), home))
+        begin = np.searchsorted(home, home[mixed])
+        drawn = mixed[np.arange(len(data)) - begin < DRAWS]
+        order = rng.permutation(drawn)
         for low in range(0, len(order), batch):
             part = order[low : low + batch]
             x, rows_at = data[part], np.arange(len(part))
@@ -175,21 +179,21 @@ def train(rows: list[tuple[str, str]], epochs: int = 8, batch: int = 64, rate: f
 
 
 def sample(docs: DataFrame, folds: int = 5, held: int = 0) -> list[tuple[str, str]]:
-    """Bounded sample (text window, lang) outside the held-out fold, of the most frequent languages.
+    """Bounded sample (text, lang) outside the held-out fold: whole texts of ``TRAIN_ROWS`` rows of every language.
 
-    Per language the rows of smallest id hash; ranks are cut inside each task before any shuffle.
+    Per language the rows of smallest id hash; ranks are cut inside each task before any shuffle. Of
+    rows that share an id and a language, one is taken.
     """
     known = docs.select("doc_id", "text", "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id"), folds) != held)
     )
-    common = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    start = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.greatest(F.length("text") - TRAIN_CHARS + 1, F.lit(1))).cast("int") + 1
-    narrow = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).join(F.broadcast(common.select("lang")), "lang")
-    ids = narrow.withColumn("r", F.row_number().over(order)).where(F.col("r") <= TRAIN_ROWS).select("doc_id", "lang").distinct()
-    rows = known.join(F.broadcast(ids), ["doc_id", "lang"]).select(F.substring("text", start, F.lit(TRAIN_CHARS)).alias("t"), "lang")
-    limit = MAX_LANGUAGES * TRAIN_ROWS
-    return [(r.t, r.lang) for r in rows.orderBy("lang", F.xxhash64("t"), "t").limit(limit).collect()]
+    narrow = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+    # Repeated rows share a rank, so that no id crowds out another.
+    ranked = narrow.withColumn("r", F.dense_rank().over(order)).where(F.col("r") <= TRAIN_ROWS)
+    ids = staged(ranked.select("doc_id", "lang").distinct(), "language-ids")
+    rows = known.join(ids, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("t"))
+    return [(r.t, r.lang) for r in sorted(rows.collect(), key=lambda r: (r.lang, r.doc_id))]
 
 
 def fit(docs: DataFrame, folds: int = 5, held: int = 0) -> LanguageModel:

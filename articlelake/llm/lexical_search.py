@@ -227,7 +227,7 @@ def _search_block(docs: DataFrame, items: DataFrame, top: int) -> DataFrame:
 
     # The tenth score in any part of the corpus is a lower bound of the tenth in all of it.
     share = min(1 << 20, int((1 << 20) * SEED_DOCS / max(1, count)) + 1)
-    sample = vecs.where(F.pmod(F.xxhash64("doc_id", "n", "terms"), F.lit(1 << 20)) < share).coalesce(1)
+    sample = vecs.where(F.pmod(F.xxhash64("doc_id", "n", "terms"), F.lit(1 << 20)) < share).repartition(1)
     for item, score in ranked(sample).where(F.col("rank") == top).select("item", "score").collect():
         low[item] = max(1, score)
     keys = items.sparkSession.createDataFrame([(k, key) for k, (key, _) in enumerate(wanted)], "item int, key long")

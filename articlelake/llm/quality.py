@@ -18,14 +18,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, encoded, fold, labelled_sample
+from .common import CHUNK_BYTES, encoded, fold, labelled_rows
 
 BUCKETS = 1 << 16
 REPEAT, FRESH = BUCKETS, BUCKETS + 1
 DIM = 8
 WORD_WEIGHT = 4.0
-# Sample bound of the fit: rows per label, code points per text.
-TRAIN_ROWS, TRAIN_CHARS = 2500, 3000
+# Sample bound of the fit: rows per label.
+TRAIN_ROWS = 2500
 
 _SPREAD = {2: np.uint32(2654435761), 3: np.uint32(2246822519), 4: np.uint32(3266489917)}
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -154,23 +154,32 @@ class QualityModel:
         return quality(text)
 
 
+def vector(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of a whole text and their shares of its weight: at most one entry a bucket, however long the text."""
+    mass = np.zeros(BUCKETS + 2)
+    for piece in _blocks(text):
+        _, bucket, weight = features(np.frombuffer(b" " + piece + b" ", np.uint8), np.zeros(1, int))
+        mass += np.bincount(bucket, weight, BUCKETS + 2)
+    kinds = np.flatnonzero(mass)
+    return kinds, (mass[kinds] / max(mass.sum(), 1.0)).astype(np.float32)
+
+
 def train(rows: list[tuple[str, int]], share: float = 0.5, epochs: int = 12, batch: int = 32, rate: float = 0.3, seed: int = 7) -> QualityModel:
-    """Fit on (text, label); the bias is moved from the sample's to the corpus' ``share`` of label 1.
+    """:func:`train_vectors` on (text, label)."""
+    return train_vectors([vector(t.encode()) for t, _ in rows], np.array([y for _, y in rows], int), share, epochs, batch, rate, seed)
+
+
+def train_vectors(
+    docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, share: float = 0.5, epochs: int = 12, batch: int = 32, rate: float = 0.3, seed: int = 7
+) -> QualityModel:
+    """Fit on (buckets, shares) and labels; the bias is moved from the sample's to the corpus' ``share`` of label 1.
 
     With one class or no rows the model returns a smoothed share of label 1 for every text.
     """
     rng = np.random.default_rng(seed)
-    labels = np.array([y for _, y in rows], int)
     if len(set(labels)) < 2:
         share = (int(labels.sum()) + 1) / (len(labels) + 2)
         return QualityModel(np.zeros(BUCKETS + 2, np.float32), float(np.log(share / (1 - share))))
-    docs = []
-    for text, _ in rows:
-        data = np.frombuffer(b" " + text.encode() + b" ", np.uint8)
-        _, bucket, weight = features(data, np.zeros(1, int))
-        kinds, inverse = np.unique(bucket, return_inverse=True)
-        mass = np.bincount(inverse, weight)
-        docs.append((kinds, (mass / max(mass.sum(), 1.0)).astype(np.float32)))
     table = rng.normal(0, 0.1, (BUCKETS + 2, DIM)).astype(np.float32)
     seen = np.full((BUCKETS + 2, 1), 1e-8, np.float32)
     out = rng.normal(0, 0.5, (DIM, 2)).astype(np.float32)
@@ -205,9 +214,23 @@ def train(rows: list[tuple[str, int]], share: float = 0.5, epochs: int = 12, bat
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2) -> QualityModel:
-    """Learn ``quality`` from labelled rows outside the held-out fold (crc32 of the id)."""
-    learn = fold(F.col("doc_id"), folds) != held
-    return train(*labelled_sample(docs, labels, "quality", learn, TRAIN_ROWS, TRAIN_CHARS))
+    """Learn ``quality`` from labelled rows outside the held-out fold (crc32 of the id).
+
+    Tasks turn the whole texts of the sampled rows into sparse vectors; only these come to the driver.
+    """
+    rows, share = labelled_rows(docs, labels, "quality", fold(F.col("doc_id"), folds) != held, TRAIN_ROWS)
+
+    @F.arrow_udf("struct<kinds:array<int>,mass:array<float>>")
+    def vectors(array: pa.Array) -> pa.Array:
+        found = [vector(text) for text in encoded(array)]
+        ends = pa.array(np.cumsum([0, *(len(k) for k, _ in found)]), pa.int32())
+        flat = [np.concatenate([f[k] for f in found]) if found else np.empty(0) for k in (0, 1)]
+        lists = [pa.ListArray.from_arrays(ends, pa.array(v, t)) for v, t in zip(flat, (pa.int32(), pa.float32()))]
+        return pa.StructArray.from_arrays(lists, ["kinds", "mass"])
+
+    seen = rows.select("doc_id", "_label", vectors("text").alias("v")).select("doc_id", "_label", "v.*").toArrow().sort_by("doc_id")
+    lists = [[x.values.to_numpy() for x in seen[c]] for c in ("kinds", "mass")]
+    return train_vectors(list(zip(*lists)), seen["_label"].to_numpy(), share)
 
 
 def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.7) -> DataFrame:

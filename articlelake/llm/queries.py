@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import embeddings, fingerprints, graph_search, hard_negatives, language, lexical_search, license_scan, packing, quality
@@ -12,6 +12,11 @@ from . import sentencepiece_fst, simhash, toxicity, warc
 from .common import fold, table
 
 
+def held_out(folds: int, held: int) -> Column:
+    """Whether a row is kept from learning; false for rows without an id, which are not learned from either."""
+    return F.coalesce(fold(F.col("doc_id"), folds) == held, F.lit(False)).alias("held_out")
+
+
 def op1_license(spark: SparkSession, d: str) -> DataFrame:
     return license_scan.report(license_scan.scan(table(spark, d, "documents")))
 
@@ -19,7 +24,7 @@ def op1_license(spark: SparkSession, d: str) -> DataFrame:
 def op2_language(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     found = language.identify(docs, language.fit(docs))
-    return found.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", held_out(5, 0), "lang_pred", "score")
 
 
 def op3_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
@@ -33,7 +38,7 @@ def op4_fingerprints(spark: SparkSession, d: str) -> DataFrame:
 def op5_quality(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     scored = quality.score_quality(docs, quality.fit(docs, table(spark, d, "labels")))
-    return scored.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", held_out(4, 2), "score", "predicted")
 
 
 def op6_embeddings(spark: SparkSession, d: str) -> DataFrame:
@@ -43,7 +48,7 @@ def op6_embeddings(spark: SparkSession, d: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     scored = toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, d, "labels")))
-    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", held_out(5, 0), "score", "predicted")
 
 
 def op8_simhash(spark: SparkSession, d: str) -> DataFrame:

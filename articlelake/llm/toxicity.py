@@ -197,11 +197,19 @@ def token_counts(sample: DataFrame) -> DataFrame:
 
 
 def learn_tokens(counted: DataFrame) -> ToxicityModel:
-    """Uncalibrated model from ``counted(token, toxic, clean)``; at most four times LEXICON rows are collected."""
-    total = counted.agg(F.sum("toxic"), F.sum("clean")).first()
+    """Uncalibrated model from ``counted(token, toxic, clean)``; at most four times LEXICON rows are collected.
+
+    Tokens compete by the score that :func:`build` gives them, so neither the size of the sample nor its
+    share of toxic rows changes which kind of token is kept.
+    """
+    toxic, clean = (x or 0 for x in counted.agg(F.sum("toxic"), F.sum("clean")).first())
     tokens = counted.groupBy("token").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    kept = tokens.where("toxic >= 3 and toxic > clean").orderBy(F.desc("toxic"), "clean", "token").limit(4 * LEXICON)
-    return build([tuple(r) for r in kept.collect()], total[0] or 0, total[1] or 0)
+    t, c = F.col("toxic").cast("double"), F.col("clean").cast("double")
+    prior = (t + c) * (PRIOR_TOKENS / max(1, toxic + clean)) + PRIOR_FLOOR
+    delta = F.log((t + prior) / (toxic + PRIOR_TOKENS - t - prior)) - F.log((c + prior) / (clean + PRIOR_TOKENS - c - prior))
+    scored = tokens.where("toxic >= 3").withColumn("z", delta / F.sqrt(1 / (t + prior) + 1 / (c + prior)))
+    kept = scored.where(F.col("z") >= SIGNIFICANT_Z).orderBy(F.desc("z"), "token").limit(4 * LEXICON)
+    return build([tuple(r) for r in kept.select("token", "toxic", "clean").collect()], toxic, clean)
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0) -> ToxicityModel:

@@ -57,6 +57,47 @@ def test_recall_against_brute_force(spark, monkeypatch):
     assert sum(got.values()) >= 0.95 * sum(want.values())
 
 
+def test_recall_at_eight_levels(spark, monkeypatch):
+    """Production trees and spill, more levels than the given tables need."""
+    monkeypatch.setattr(em, "LEAF_ROWS", 6)
+    rows = clustered(600, 64, 2, 0.25)
+    assert max(sum(r[2] == y for r in rows) for y in range(3)) * 0.6**8 > 6
+    want = {r[0]: r[1] for r in brute(rows)}
+    got = {r.vec_id: r.n_links for r in em.near_duplicates(frame(spark, rows)).collect()}
+    assert sum(want.values()) > 200 and all(got[k] <= want[k] for k in want)
+    assert sum(got.values()) >= 0.95 * sum(want.values())
+
+
+def test_pairs_at_the_threshold_are_summed_exactly(monkeypatch):
+    """In slices, so that a dense leaf needs no copy of the vectors for each of its pairs."""
+    monkeypatch.setattr(em, "SLICE", 7)
+    rng = np.random.default_rng(1)
+    points = np.repeat(rng.normal(size=(3, 8)), 20, axis=0)
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    threshold = float(np.einsum("ij,ij->i", points[:1], points[1:2])[0])
+    i, j = em.near(points, points, threshold)
+    want = {(a, b) for a in range(60) for b in range(60) if np.einsum("ij,ij->i", points[a : a + 1], points[b : b + 1])[0] >= threshold}
+    assert set(zip(i.tolist(), j.tolist())) == want and len(want) > 300
+
+
+def test_two_thousand_near_copies_in_bounded_memory(spark):
+    """Production constants; a step over them used to copy both vectors of each pair (2 GB)."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=64) + rng.normal(size=(2000, 64)) * 0.05
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    tracemalloc.start()
+    for begin in range(0, 2000, em.PRODUCTS // 2000):
+        em.near(unit[begin : begin + em.PRODUCTS // 2000], unit, em.THRESHOLD)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    rows = [(k, p.tolist(), 1) for k, p in enumerate(points.astype(np.float32))]
+    found = result(em.near_duplicates(frame(spark, rows)))
+    assert found == sorted(((k, 1999, 0, k == 0) for k in range(2000)), key=repr)
+
+
 def test_large_group_of_near_copies(spark, monkeypatch):
     """More rows than a side: cells of one leaf, every link counted once."""
     monkeypatch.setattr(em, "LEAF_ROWS", 16)
