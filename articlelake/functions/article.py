@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import unicodedata
 from datetime import datetime, timezone
 
 from pyspark.sql import Column
@@ -32,19 +31,6 @@ def dump_file_of(article_id: Column) -> Column:
     return F.shiftright(article_id, 32)
 
 
-def _unaccented() -> tuple[str, str]:
-    """Lower-case Latin letters with marks, and the letter each stands on."""
-    letters = [chr(c) for block in (range(0xC0, 0x250), range(0x1E00, 0x1F00)) for c in block]
-    pairs = [(c, unicodedata.normalize("NFD", c)[0]) for c in letters if c == c.lower()]
-    changed = [(c, base) for c, base in pairs if base != c]
-    return "".join(c for c, _ in changed), "".join(base for _, base in changed)
-
-
-def fold_title(title: Column) -> Column:
-    """Lower case without accents: equal for titles that an insensitive search should not tell apart."""
-    return F.regexp_replace(F.translate(F.lower(title), *_unaccented()), r"\p{M}+", "")
-
-
 def alias_id(title: Column) -> Column:
     """Id of an alias row. Aliases own no child rows; negative ids keep them apart from
     dumped articles."""

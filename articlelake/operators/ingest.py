@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import article as fa
+from ..functions.folding import fold_title
 from ..schemas import ARTICLE, INGEST_JSON
 from ..sources.lines import read_pending_lines
 
@@ -61,7 +62,7 @@ def article_rows(lines: DataFrame, as_of: datetime) -> DataFrame:
     article = row(
         id=fa.article_id(F.col("dump_file_id"), F.col("dump_idx")),
         title=j["name"],
-        title_srch=fa.fold_title(j["name"]),
+        title_srch=fold_title(j["name"]),
         description=fa.description(j["abstract"]),
         update=now,
         dump_file_id=F.col("dump_file_id"),
@@ -77,7 +78,7 @@ def article_rows(lines: DataFrame, as_of: datetime) -> DataFrame:
         return row(
             id=fa.alias_id(entry["name"]),
             title=entry["name"],
-            title_srch=fa.fold_title(entry["name"]),
+            title_srch=fold_title(entry["name"]),
             update=now,
             url=entry["url"],
             redirect=j["name"],

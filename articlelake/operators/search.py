@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.article import fold_title
+from ..functions.folding import fold_title
 
 
 def like_pattern(search: str) -> str:

@@ -19,6 +19,12 @@ AS_OF = datetime(2024, 1, 1)
 ARTICLES_PER_FILE = 200
 ORDERS_PER_PAGE = 100_000
 
+# First words of titles in several scripts, and the search that each answers to.
+SCRIPTS = {
+    "Ørsted": "ors", "Łódź": "LODZ", "Ælfred": "Aelf", "STRAẞE": "strass", "Αθήνα": "ΑΘΗ", "Ёлка": "елк", "Đỗ": "Do", "Čačak": "čaca",
+    "Йод": "йо", "Ναΐς": "ναισ", "œuvre": "OEU", "İzmir": "izm", "カナ": "かな", "ﬁnale": "fin", "שלום": "שלומ", "Ð": "d ",
+}
+
 _written: dict[tuple[str, str], str] = {}
 
 

@@ -287,9 +287,14 @@ ORACLES = {
     "title_search_wildcards": f"{_R} SELECT * FROM ({_RESOLVED}) WHERE sub_title LIKE '%stomer#%_7%'",
     "redirect_resolve": f"{_R} {_RESOLVED}",
     "title_search_ai_ci": "SELECT doc_id, lang FROM documents WHERE starts_with(strip_accents(lower(text)), 'el')",
-    "title_search_folded": """SELECT prefix, doc_id, strip_accents(lower(left(text, 400))) AS title_srch
+    "title_search_folded": """SELECT prefix, doc_id, strip_accents(lower(text)) AS title_srch
       FROM documents, (VALUES ('Éa', 'ea'), ('th', 'th'), ('ÑA', 'na')) t(prefix, folded)
-      WHERE starts_with(strip_accents(lower(left(text, 400))), folded)""",
+      WHERE starts_with(strip_accents(lower(text)), folded)""",
+    "title_search_scripts": """SELECT prefix, p_partkey, folded || ' ' || lower(p_name) AS title_srch
+      FROM part JOIN (VALUES (0, 'ors', 'orsted'), (1, 'LODZ', 'lodz'), (2, 'Aelf', 'aelfred'), (3, 'strass', 'strasse'), (4, 'ΑΘΗ', 'αθηνα'),
+        (5, 'елк', 'елка'), (6, 'Do', 'do'), (7, 'čaca', 'cacak'), (8, 'йо', 'йод'), (9, 'ναισ', 'ναισ'), (10, 'OEU', 'oeuvre'),
+        (11, 'izm', 'izmir'), (12, 'かな', 'かな'), (13, 'fin', 'finale'), (14, 'שלומ', 'שלומ'), (15, 'd ', 'd')) t(k, prefix, folded)
+      ON p_partkey % 16 = k""",
     "title_token_search": r"""SELECT p_partkey, p_name, 2::BIGINT AS matched FROM part
       WHERE list_has_all(regexp_split_to_array(lower(p_name), '\W+'), ['ring', 'small'])""",
     "article_with_dump": f"""{_R} SELECT id, art.title, file_name FROM art JOIN a ON a.article_id = art.id""",

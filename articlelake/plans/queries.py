@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import article as fa
 from ..functions import chunks
+from ..functions.folding import fold_title
 from ..operators import checks, dates, detail, events, ingest, search, sections
 from ..session import scratch_path, stage
 from ..sources import archive, lines as src
@@ -430,18 +433,28 @@ def redirect_resolve(spark, d):
 
 
 def title_search_ai_ci(spark, d):
+    """With accent and capital in the search, by the collation."""
     docs = table(spark, d, "documents")
-    return docs.where(search.title_matches_loosely(F.col("text"), "el")).select("doc_id", "lang")
+    return docs.where(search.title_matches_loosely(F.col("text"), "Él")).select("doc_id", "lang")
 
 
 def title_search_folded(spark, d):
     """Prefix search with accent and capitals over document texts as titles, laid out by the folded title."""
-    titles = table(spark, d, "documents").withColumn("title_srch", fa.fold_title(F.substring("text", 1, 400)))
+    titles = table(spark, d, "documents").withColumn("title_srch", fold_title(F.col("text")))
     laid_out = stage(search.by_title(titles), "titles")
     found = [search.search_titles_loosely(laid_out, prefix).withColumn("prefix", F.lit(prefix)) for prefix in ("Éa", "th", "ÑA")]
     return found[0].unionByName(found[1]).unionByName(found[2]).select("prefix", "doc_id", "title_srch")
 
 
+def title_search_scripts(spark, d):
+    """Titles in several scripts, found by prefixes without their accents, strokes, ligatures and capitals."""
+    names = F.element_at(F.array(*[F.lit(name) for name in corpus.SCRIPTS]), (F.col("p_partkey") % len(corpus.SCRIPTS) + 1).cast("int"))
+    titles = table(spark, d, "part").withColumn("title_srch", fold_title(F.concat(names, F.lit(" "), F.col("p_name"))))
+    laid_out = stage(search.by_title(titles), "titles")
+    found = [search.search_titles_loosely(laid_out, prefix).withColumn("prefix", F.lit(prefix)) for prefix in corpus.SCRIPTS.values()]
+    return reduce(DataFrame.unionByName, found).select("prefix", "p_partkey", "title_srch")
+
+
 def title_token_search(spark, d):
     return search.search_title_words(table(spark, d, "part"), "Ring small", title="p_name").select(
         "p_partkey", "p_name", *_long("matched")
@@ -539,7 +552,7 @@ QUERIES = {
         link_filter, boilerplate_removed, section_children, section_id_contiguity, page_links, page_tag_counts,
         page_sections, page_section_counts, date_mentions, event_sentences, date_intervals, resolve_dates_article, resolve_dates_section,
         unresolved_events, events_writeback, date_failure_context, articles_without_dates, title_search,
-        title_search_wildcards, title_search_folded, redirect_resolve, title_search_ai_ci, title_token_search, article_with_dump,
+        title_search_wildcards, title_search_folded, title_search_scripts, redirect_resolve, title_search_ai_ci, title_token_search, article_with_dump,
         articles_to_parse, refresh_articles, article_detail, article_parse_stats, table_counts, duplicate_keys, orphan_rows, flagship,
     )
 }
