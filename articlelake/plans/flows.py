@@ -203,6 +203,18 @@ def article_detail_on_demand(spark, d):
     )
 
 
+def stored_detail(spark, d):
+    """Bundles of a few stored articles of one dump file, those not up to date parsed into the store first."""
+    folder, catalog, articles = _from_files(spark, d)
+    articles = articles.withColumn("err", F.when(F.col("redirect").isNull(), "UP_TO_DATE").otherwise("NEW_DUMP"))
+    store = Store(spark, scratch_path(spark, "shelf"))
+    for name, rows in before_refresh(spark, stage(articles, "article")).items():
+        store.replace(name, rows)
+    ids = [r.id for r in store.read("article").where("dump_file_id = 1").orderBy("id").limit(40).select("id").collect()]
+    bundles = detail.stored_detail(store, folder, catalog, AS_OF, ids, packed=True)
+    return bundles.select("title", "err", F.size("article_section").cast("bigint").alias("sections"))
+
+
 # Constraints -------------------------------------------------------------------------------
 
 
@@ -226,6 +238,6 @@ FLOWS = {
     for f in (
         stream_ingest_parts, rich_sections, rich_spans, rich_overflow, page_paragraphs, date_forms, event_flow,
         resolve_dates_in_two_runs, event_flow_of_late_sections, unresolved_batch, articles_of_older_rules,
-        refresh_unparseable, refresh_wanted, article_detail_on_demand, stored_violations,
+        refresh_unparseable, refresh_wanted, article_detail_on_demand, stored_detail, stored_violations,
     )
 }

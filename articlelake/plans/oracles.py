@@ -414,6 +414,8 @@ ORACLES |= {
         CASE WHEN redirect IS NULL THEN 1 ELSE 8 + 4 * n END::BIGINT AS sections,
         CASE WHEN redirect IS NULL THEN 'old' ELSE art.title END AS first_text
       FROM art JOIN a ON a.article_id = art.id WHERE description IS NOT NULL""",
+    "stored_detail": f"""{_R} SELECT art.title, 'UP_TO_DATE' AS err, CASE WHEN redirect IS NULL THEN 1 ELSE 8 + 4 * n END::BIGINT AS sections
+      FROM art JOIN a ON a.article_id = art.id WHERE a.dump_file_id = 1 ORDER BY a.dump_idx LIMIT 40""",
     "stored_violations": f"{_R} " + " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{kind}' AS kind, coalesce(({sql if sql.startswith('SELECT') else 'SELECT ' + sql}), 0)::BIGINT AS n"
         for (t, kind), sql in _VIOLATIONS.items()

@@ -214,12 +214,11 @@ def wanted_lines(lines: DataFrame, keys: DataFrame) -> DataFrame:
     runs = island.groupBy("dump_file_id", "chunk", "island").agg(F.min("dump_idx").alias("low"), F.max("dump_idx").alias("high"))
     stretches = runs.groupBy("dump_file_id", "chunk").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
     stretches = stage(stretches, "wanted-lines")
-    return (
-        lines.withColumn("chunk", chunk)
-        .join(stretches, ["dump_file_id", "chunk"])
-        .where(F.exists("runs", lambda r: F.col("dump_idx").between(r["low"], r["high"])))
-        .select(*lines.columns)
-    )
+    # Runs are disjoint, so a wanted line meets one. The test stands in a generator of its own: merged into the join,
+    # a lambda that sees columns of both sides is bound to one of them when the lines are the smaller side.
+    met = F.filter("runs", lambda r: F.col("dump_idx").between(r["low"], r["high"]))
+    joined = lines.withColumn("chunk", chunk).join(stretches, ["dump_file_id", "chunk"])
+    return joined.select(*lines.columns, F.explode_outer(met).alias("_run")).where("_run is not null").drop("_run")
 
 
 def lines_at(lines: DataFrame, articles: DataFrame) -> DataFrame:

@@ -408,6 +408,13 @@ def test_refresh_in_place_touches_its_files_only(spark, dumps, tmp_path):
     plan = tables["article_section"]._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
     assert detail.article_detail(tables, [(2 << 32) + 5]).count() == 1
+    # Bundles of stored articles: from their folders; stale ones are refreshed in place first.
+    (bundle,) = detail.stored_detail(store, dumps, catalog, NOW, [(2 << 32) + 5]).collect()
+    assert bundle.title == "1/5" and [s.text for s in bundle.article_section] == ["1/5", "1/5 in 1999"] and files() == after
+    plan = detail.stored_detail(store, dumps, catalog, NOW, [(2 << 32) + 5])._jdf.queryExecution().toString()
+    assert plan.count("bucket#") > 0 and "PushedFilters: [IsNotNull(article_id), EqualTo(article_id,8589934597)]" in plan
+    (bundle,) = detail.stored_detail(store, dumps, catalog, NOW, [(2 << 32) + 6], force=True).collect()
+    assert bundle.title == "1/6" and files()["bucket=1"] == before["bucket=1"] and files()["bucket=2"] != after["bucket=2"]
     # Events of refreshed articles go, even if a folder has no others.
     events.event_flow(store, NOW)
     assert store.read("parsed_event").where("article_id >> 32 = 1").count() > 0
