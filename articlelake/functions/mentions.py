@@ -30,11 +30,19 @@ _MONTH = (
 )
 _UNIT = "(?:minute|hour|day|week|month|year)"
 _ERA = "(?:BC|AD)"
+_ORDINAL = "(?:st|nd|rd|th)"
 _YEAR = r"(?:1\d{3}|20\d{2})"
 
 # At one position the first alternative that fits is taken, so longer forms come first. Years below
 # 1000 and above 2099 need an era; numbers too large for the calendar give failed mentions, not none.
 GRAMMAR = [
+    rf"\d{{1,2}}-\d{{1,2}} {_MONTH} \d{{4}}",
+    rf"{_MONTH}(?: to |-){_MONTH} \d{{4}}",
+    rf"\d{{1,2}}{_ORDINAL}(?: of)? {_MONTH}(?: \d{{4}})?",
+    rf"{_MONTH} \d{{1,2}}{_ORDINAL}(?:, \d{{4}})?",
+    rf"{_YEAR}/\d{{2}}",
+    r"(?:[Ee]arly |[Ll]ate |[Mm]id[ -])\d+0s",
+    r"\d{1,2}(?::\d{2})? [ap]m",
     rf"\d{{1,2}} {_MONTH}(?: \d+ {_ERA}| \d{{4}})?",
     rf"{_MONTH}(?: \d{{1,2}}, (?:\d+ {_ERA}|\d{{4}})| \d+ {_ERA}| \d{{4}}| \d{{1,2}})",
     r"\d{4}-\d{2}-\d{2}",
@@ -50,7 +58,7 @@ GRAMMAR = [
 ]
 
 # The lookahead names every first character, so most positions are dismissed at once.
-SCAN = r"\b(?=[\dJFMASONDTt])(?:" + "|".join(GRAMMAR).replace(_MONTH, "(?:" + _MONTH[1:]) + r")\b"
+SCAN = r"\b(?=[\dJFMASONDTtEeLlm])(?:" + "|".join(GRAMMAR).replace(_MONTH, "(?:" + _MONTH[1:]) + r")\b"
 # Every form holds a digit, but for one that starts with these words.
 HINT = r"\d|[Tt]he (?:following|next|previous) "
 
@@ -173,18 +181,19 @@ def find_in_sentences(text: Column) -> Column:
 
 _RULES = (
     "map<string,struct<op:string,grain:string,sign:int,y:int,scale:int,shift:int,years:int,upto:int,least:bigint,"
-    "m:int,d:int,low:bigint,high:bigint,step:int>>"
+    "m:int,d:int,low:bigint,high:bigint,step:int,dto:int,mto:int>>"
 )
 _BY_NAME = -1
 # Years that the calendar can place in 64-bit seconds, and units that a shift may count.
 _YEARS, _SHIFTS = 2 * 10**11, 10**9
 
 
-def _rule(op, grain=None, sign=1, y=None, scale=1, shift=0, years=1, upto=None, least=0, m=None, d=None, low=0, high=_YEARS, step=1):
+def _rule(op, grain=None, sign=1, y=None, scale=1, shift=0, years=1, upto=None, least=0, m=None, d=None, low=0, high=_YEARS, step=1, dto=None, mto=None):
     """How the numbers of one form are read. ``y, upto, m, d`` are indexes into them; the year is
     ``number * scale + shift`` of a number of at least ``least``; a form of two years ends with that
-    at ``upto``; the first number must be a multiple of ``step`` in ``[low, high]``."""
-    return dict(op=op, grain=grain, sign=sign, y=y, scale=scale, shift=shift, years=years, upto=upto, least=least, m=m, d=d, low=low, high=high, step=step)
+    at ``upto``; one of two days with that at ``dto``, one of two months with the named one at ``mto``; the first
+    number must be a multiple of ``step`` in ``[low, high]``."""
+    return dict(op=op, grain=grain, sign=sign, y=y, scale=scale, shift=shift, years=years, upto=upto, least=least, m=m, d=d, low=low, high=high, step=step, dto=dto, mto=mto)
 
 
 def _rules() -> dict[str, dict]:
@@ -198,6 +207,12 @@ def _rules() -> dict[str, dict]:
         "9999-9999": _rule("set", "year", y=0, upto=1, low=1000, high=2099),
         "9999": _rule("set", "year", y=0, low=1000, high=2099),
     }
+    rules["9999/99"] = _rule("set", "year", y=0, upto=1, low=1000, high=2099)
+    rules["M to M 9999"] = rules["M-M 9999"] = _rule("set", "month", y=0, m=_BY_NAME, mto=1)
+    # Thirds of a decade: its years 0 to 3, 4 to 6 and 7 to 9.
+    for word, joint, shift, years in (("early", " ", 0, 4), ("mid", " ", 4, 3), ("mid", "-", 4, 3), ("late", " ", 7, 3)):
+        for n in nines[2:]:
+            rules[f"{word}{joint}{n}s"] = rules[f"{word.capitalize()}{joint}{n}s"] = _rule("set", "year", y=0, shift=shift, years=years, step=10)
     eras = {"BC": dict(scale=-1, shift=1, least=1), "AD": dict(least=1)}
     for n in nines[1:3]:
         rules[f"{n} M 9999"] = _rule("set", "day", y=1, m=_BY_NAME, d=0)
@@ -205,7 +220,16 @@ def _rules() -> dict[str, dict]:
         # Year 2000 has a 29 February; whether the reference year has one, the fold decides.
         rules[f"{n} M"] = rules[f"M {n}"] = _rule("fix", y=0, scale=0, shift=2000, m=_BY_NAME, d=0)
         rules[f"{n}:99"] = _rule("clock", high=23)
+        for word, hours in (("am", 0), ("pm", 12)):
+            # Scale 12: an hour of half a day, and the hours before that half.
+            rules[f"{n} {word}"] = rules[f"{n}:99 {word}"] = _rule("clock", scale=12, shift=hours, low=1, high=12)
+        for other in nines[1:3]:
+            rules[f"{n}-{other} M 9999"] = _rule("set", "day", y=2, m=_BY_NAME, d=0, dto=1)
         for ordinal in ("st", "nd", "rd", "th"):
+            for of in ("", " of"):
+                rules[f"{n}{ordinal}{of} M 9999"] = rules[f"{n} M 9999"]
+                rules[f"{n}{ordinal}{of} M"] = rules[f"{n} M"]
+            rules[f"M {n}{ordinal}, 9999"], rules[f"M {n}{ordinal}"] = rules[f"{n} M 9999"], rules[f"{n} M"]
             rules[f"{n}{ordinal} century"] = _rule("set", "century", y=0, scale=100, shift=-99, years=100, low=1)
             rules[f"{n}{ordinal} century BC"] = _rule("set", "century", y=0, scale=-100, shift=1, years=100, low=1)
         for year in nines[1:]:
@@ -243,10 +267,21 @@ def with_mention_op(df: DataFrame, text: str = "date_text", out: str = "_op") ->
     op, begin = F.col("_name"), F.col("_begin")
     whole = ~F.exists(n, lambda x: x.isNull()) & (F.coalesce(F.get(n, rule["y"]), rule["least"]) >= rule["least"])
     read = whole & first.between(rule["low"], rule["high"]) & (first % rule["step"] == 0)
-    exists = y.isNotNull() & m.between(1, 12) & (d >= 1) & (d <= F.col("_days")) & (F.coalesce(F.col("_last"), y) >= y)
+    last_day, last_month = F.coalesce(F.col("_to.d"), d), F.coalesce(F.col("_to.m"), m)
+    exists = y.isNotNull() & m.between(1, 12) & (d >= 1) & (last_day >= d) & (last_day <= F.col("_days"))
+    exists = exists & (last_month >= m) & (F.coalesce(F.col("_last"), y) >= y)
     year = F.get(n, rule["y"])
+    # A second year of two digits is the next that ends with them.
+    upto = F.get(n, rule["upto"])
+    short = year - year % 100 + upto
+
+    def number_of(name):
+        return (F.array_position(F.array(*[F.lit(x) for x in _NAMES]), name) - 1) % 12 + 1
+
+    second_name = F.get(F.regexp_extract_all(t, F.lit(rf"\b{_MONTH}\b"), F.lit(1)), rule["mto"])
     end = (
-        F.when(rule["grain"] == "day", begin + DAY)
+        F.when(rule["grain"] == "day", begin + (last_day - d + 1) * DAY)
+        .when(rule["mto"].isNotNull(), epoch(y + F.call_function("div", last_month, F.lit(12)), last_month % 12 + 1, F.lit(1)))
         .when(rule["grain"] == "month", begin + F.col("_days") * DAY)
         .otherwise(F.col("_next"))
     )
@@ -258,13 +293,14 @@ def with_mention_op(df: DataFrame, text: str = "date_text", out: str = "_op") ->
         "_ymd": F.struct(
             F.when(year.between(0, _YEARS), year * rule["scale"] + rule["shift"]).alias("y"),
             F.when(rule["m"].isNull(), F.lit(1))
-            .when(rule["m"] == _BY_NAME, (F.array_position(F.array(*[F.lit(x) for x in _NAMES]), month_name) - 1) % 12 + 1)
+            .when(rule["m"] == _BY_NAME, number_of(month_name))
             .otherwise(F.get(n, rule["m"]))
             .alias("m"),
             F.when(rule["d"].isNull(), F.lit(1)).otherwise(F.get(n, rule["d"])).alias("d"),
         ),
         "_days": days_in_month(y, m),
-        "_last": F.get(n, rule["upto"]),
+        "_to": F.struct(F.get(n, rule["dto"]).alias("d"), F.when(rule["mto"].isNotNull(), number_of(second_name)).alias("m")),
+        "_last": F.when(upto < 100, F.when(short < year, short + 100).otherwise(short)).otherwise(upto),
         "_name": F.when(F.coalesce(~read, F.lit(True)), "fail")
         .when(rule["op"].isin("set", "fix") & ~exists, "fail")
         .when((rule["op"] == "clock") & (F.get(n, F.lit(1)) > 59), "fail")
@@ -276,7 +312,10 @@ def with_mention_op(df: DataFrame, text: str = "date_text", out: str = "_op") ->
             F.when(op == "set", begin)
             .when(op == "fix", m)
             .when(op == "shift", first * rule["sign"])
-            .when(op == "clock", first * 3600 + F.get(n, F.lit(1)) * 60)
+            .when(
+                op == "clock",
+                F.when(rule["scale"] == 12, first % 12 + rule["shift"]).otherwise(first) * 3600 + F.coalesce(F.get(n, F.lit(1)), F.lit(0)) * 60,
+            )
             .alias("a"),
             F.when(op == "set", end - 1).when(op == "fix", d).alias("b"),
             F.when(op.isin("set", "shift"), rule["grain"]).alias("grain"),

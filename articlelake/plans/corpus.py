@@ -211,6 +211,35 @@ def dated_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(key.alias("article_id"), F.lit(0).alias("section_id"), text.alias("text"))
 
 
+def composed_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One section per order whose sentence holds a date made of two, or of a date and a word."""
+    d, key = F.col("o_orderdate"), F.col("o_orderkey")
+    year, day = F.year(d), F.least(F.dayofmonth(d), F.lit(25))
+    month = F.date_format(d, "MMMM")
+    # From the first day on, as December has no month after it.
+    next_month = F.date_format(F.add_months(F.trunc(d, "year"), F.least(F.month(d), F.lit(11))), "MMMM")
+    first_month = F.date_format(F.add_months(F.trunc(d, "year"), F.least(F.month(d), F.lit(11)) - 1), "MMMM")
+    ordinal = F.when(day.isin(1, 21), "st").when(day.isin(2, 22), "nd").when(day.isin(3, 23), "rd").otherwise("th")
+    decade = (year - year % 10).cast("string")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    forms = [
+        text(day, "-", day + key % 3 + 1, " ", month, " ", year),
+        text(first_month, " to ", next_month, " ", year),
+        text(year, "/", F.lpad(((year + 1) % 100).cast("string"), 2, "0")),
+        text(day, ordinal, " of ", month, " ", year),
+        text(month, " ", day, ordinal, ", ", year),
+        text("early ", decade, "s"),
+        text("mid-", decade, "s"),
+        text("late ", decade, "s"),
+    ]
+    chosen = forms[-1]
+    for i in range(len(forms) - 2, -1, -1):
+        chosen = F.when(key % 8 == i, forms[i]).otherwise(chosen)
+    return table(spark, sf_dir, "orders").select(
+        key.alias("article_id"), F.lit(0).alias("section_id"), text("Order K", key, " is of ", chosen, ", it says.").alias("text")
+    )
+
+
 def chained_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mentions that lean on each other: one per order, three sections per customer."""
     d, key = F.col("o_orderdate"), F.col("o_orderkey")

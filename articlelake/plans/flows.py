@@ -81,6 +81,12 @@ def date_forms(spark, d):
     return found.select("article_id", *_long("start_pos"), "date_text", "sentence", "start_date", "end_date", "grain")
 
 
+def date_forms_composed(spark, d):
+    """Dates made of two dates, or of a date and a word."""
+    found = dates.date_intervals(events.scan_mentions(corpus.composed_notes(spark, d)))
+    return found.select("article_id", *_long("start_pos"), "date_text", "start_date", "end_date", "grain")
+
+
 def event_flow(spark, d):
     """The flow over stored tables, run again after a run whose log of scans was lost."""
     store = Store(spark, scratch_path(spark, "lake"))
@@ -236,7 +242,7 @@ def stored_violations(spark, d):
 FLOWS = {
     f.__name__: f
     for f in (
-        stream_ingest_parts, rich_sections, rich_spans, rich_overflow, page_paragraphs, date_forms, event_flow,
+        stream_ingest_parts, rich_sections, rich_spans, rich_overflow, page_paragraphs, date_forms, date_forms_composed, event_flow,
         resolve_dates_in_two_runs, event_flow_of_late_sections, unresolved_batch, articles_of_older_rules,
         refresh_unparseable, refresh_wanted, article_detail_on_demand, stored_detail, stored_violations,
     )

@@ -400,6 +400,25 @@ ORACLES |= {
         'Order K' || article_id || ' is of ' || date_text || ', it says!' AS sentence,
         (datediff('day', DATE '1970-01-01', low::DATE) * 86400)::BIGINT AS start_date,
         (datediff('day', DATE '1970-01-01', high::DATE) * 86400 - 1)::BIGINT AS end_date, grain FROM f""",
+    "date_forms_composed": """WITH q AS (
+        SELECT o_orderkey AS article_id, o_orderkey % 8 AS kind, o_orderdate AS d, year(o_orderdate) AS y, month(o_orderdate) AS m,
+          least(day(o_orderdate), 25) AS dd, least(month(o_orderdate), 11) AS m1, o_orderkey % 3 + 1 AS more, year(o_orderdate) // 10 * 10 AS dec FROM orders),
+      o AS (SELECT *, dd || CASE WHEN dd IN (1, 21) THEN 'st' WHEN dd IN (2, 22) THEN 'nd' WHEN dd IN (3, 23) THEN 'rd' ELSE 'th' END AS th FROM q),
+      f AS (SELECT *,
+        CASE kind WHEN 0 THEN dd || '-' || (dd + more) || strftime(d, ' %B ') || y
+          WHEN 1 THEN strftime(make_date(y, m1, 1), '%B') || ' to ' || strftime(make_date(y, m1 + 1, 1), '%B ') || y
+          WHEN 2 THEN y || '/' || printf('%02d', (y + 1) % 100) WHEN 3 THEN th || ' of' || strftime(d, ' %B ') || y
+          WHEN 4 THEN strftime(d, '%B ') || th || ', ' || y WHEN 5 THEN 'early ' || dec || 's' WHEN 6 THEN 'mid-' || dec || 's'
+          ELSE 'late ' || dec || 's' END AS date_text,
+        CASE kind WHEN 1 THEN make_date(y, m1, 1) WHEN 2 THEN make_date(y, 1, 1) WHEN 5 THEN make_date(dec, 1, 1)
+          WHEN 6 THEN make_date(dec + 4, 1, 1) WHEN 7 THEN make_date(dec + 7, 1, 1) ELSE make_date(y, m, dd) END AS low,
+        CASE kind WHEN 0 THEN make_date(y, m, dd + more) + 1 WHEN 1 THEN make_date(y, m1 + 1, 1) + INTERVAL 1 MONTH
+          WHEN 2 THEN make_date(y + 2, 1, 1) WHEN 5 THEN make_date(dec + 4, 1, 1) WHEN 6 THEN make_date(dec + 7, 1, 1)
+          WHEN 7 THEN make_date(dec + 10, 1, 1) ELSE make_date(y, m, dd) + 1 END AS high,
+        CASE WHEN kind IN (0, 3, 4) THEN 'day' WHEN kind = 1 THEN 'month' ELSE 'year' END AS grain FROM o)
+      SELECT article_id, (14 + length(article_id::VARCHAR))::BIGINT AS start_pos, date_text,
+        (datediff('day', DATE '1970-01-01', low::DATE) * 86400)::BIGINT AS start_date,
+        (datediff('day', DATE '1970-01-01', high::DATE) * 86400 - 1)::BIGINT AS end_date, grain FROM f""",
     "event_flow": f"""{_M} SELECT title, section_id, start_pos, date_text, start_date, end_date, 1::BIGINT AS parse_status,
       'Y' AS is_parsed FROM m""",
     "refresh_unparseable": f"""{_R} SELECT art.title, CASE WHEN art.dump_idx % 3 = 0 THEN 'UP_TO_DATE' ELSE 'PARSE_ERROR' END AS err,

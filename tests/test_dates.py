@@ -310,3 +310,25 @@ def test_runs_in_any_order_end_alike(spark):
     assert intervals(table) == want and len(want) == len(rows)
     again = stage(resolve_events(table, as_of), "t")
     assert intervals(again) == want
+
+
+def test_composed_forms(spark):
+    def span(low, high, grain):
+        return ("set", seconds(*low), seconds(*high) - 1, grain)
+
+    forms = {
+        "3-5 May 1990": span((1990, 5, 3), (1990, 5, 6), "day"), "May to June 1990": span((1990, 5, 1), (1990, 7, 1), "month"),
+        "Nov-Dec 1990": span((1990, 11, 1), (1991, 1, 1), "month"), "1990/91": span((1990, 1, 1), (1992, 1, 1), "year"),
+        "1999/00": span((1999, 1, 1), (2001, 1, 1), "year"), "3rd of May 1990": span((1990, 5, 3), (1990, 5, 4), "day"),
+        "21st May 1990": span((1990, 5, 21), (1990, 5, 22), "day"), "May 2nd, 1990": span((1990, 5, 2), (1990, 5, 3), "day"),
+        "early 1990s": span((1990, 1, 1), (1994, 1, 1), "year"), "mid-1990s": span((1994, 1, 1), (1997, 1, 1), "year"),
+        "Late 1990s": span((1997, 1, 1), (2000, 1, 1), "year"), "4th of July": ("fix", 7, 4, None), "July 4th": ("fix", 7, 4, None),
+        "5 pm": ("clock", 17 * 3600, None, None), "12 am": ("clock", 0, None, None), "12:30 pm": ("clock", 12 * 3600 + 1800, None, None),
+    }
+    assert dict(zip(forms, ops(spark, *forms))) == forms
+    assert [h[0] for h in found(spark, "; ".join(forms))] == list(forms)
+
+
+@pytest.mark.parametrize("text", ["5-3 May 1990", "30-32 May 1990", "June to May 1990", "13 pm", "12:60 pm", "early 1995s", "29-30 February 1990"])
+def test_composed_failures(spark, text):
+    assert ops(spark, text) == [("fail", None, None, None)]
