@@ -43,6 +43,13 @@ def rich_sections(spark, d):
     )
 
 
+def section_paths(spark, d):
+    """Depth, topmost section and path of every section of pages with nested lists and tables."""
+    rows = sections.section_rows(_rich(spark, d), ("s_suppkey",))
+    found = sections.section_paths(rows, ("s_suppkey",))
+    return found.select("s_suppkey", *_long("section_id", "depth", "root"), F.array_join(F.col("path").cast("array<string>"), "/").alias("path"))
+
+
 def rich_spans(spark, d):
     return sections.format_spans(_rich(spark, d), ("s_suppkey",)).select(
         "s_suppkey", *_long("section_id", "ord", "start_pos", "end_pos"), "format"
@@ -242,7 +249,7 @@ def stored_violations(spark, d):
 FLOWS = {
     f.__name__: f
     for f in (
-        stream_ingest_parts, rich_sections, rich_spans, rich_overflow, page_paragraphs, date_forms, date_forms_composed, event_flow,
+        stream_ingest_parts, rich_sections, section_paths, rich_spans, rich_overflow, page_paragraphs, date_forms, date_forms_composed, event_flow,
         resolve_dates_in_two_runs, event_flow_of_late_sections, unresolved_batch, articles_of_older_rules,
         refresh_unparseable, refresh_wanted, article_detail_on_demand, stored_detail, stored_violations,
     )

@@ -370,6 +370,11 @@ ORACLES |= {
         CASE text WHEN '@long' THEN left(repeat('long ', 3000) || s_suppkey, 14000)
           ELSE replace(replace(text, '@name', s_name), '@key', s_suppkey::VARCHAR) END AS text
       FROM supplier, shape""",
+    "section_paths": f"""WITH RECURSIVE shape(section_id, parent, tag, format, text, ri, ci, rs, cs) AS (VALUES {_RICH}),
+      up AS (SELECT section_id, parent, 0 AS depth, section_id AS root, section_id::VARCHAR AS path FROM shape
+        UNION ALL SELECT up.section_id, shape.parent, depth + 1, shape.section_id, shape.section_id || '/' || path FROM up JOIN shape ON up.parent = shape.section_id)
+      SELECT s_suppkey, section_id::BIGINT AS section_id, depth::BIGINT AS depth, root::BIGINT AS root, path FROM supplier, up
+      QUALIFY row_number() OVER (PARTITION BY s_suppkey, section_id ORDER BY depth DESC) = 1""",
     "rich_spans": """SELECT s_suppkey, 2::BIGINT AS section_id, ord::BIGINT AS ord, low::BIGINT AS start_pos,
         coalesce(high, 5 + length(s_name))::BIGINT AS end_pos, format
       FROM supplier, (VALUES (0, 4, 7, 'i'), (1, 8, 13, 'b'), (2, 0, NULL, 'blockquote')) t(ord, low, high, format)""",

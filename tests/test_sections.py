@@ -269,3 +269,18 @@ def test_odd_markup_gives_storable_rows(markup):
     for s in run(markup):
         s[3].encode()
         assert all(x is None or x < 1 << 31 for x in s[4:8])
+
+
+def test_section_paths(spark):
+    """Long chains, several trees, parents that are no section, and articles that share section numbers."""
+    from articlelake.operators.sections import section_paths
+
+    rows = [(1, i, i - 1 if i else None) for i in range(40)] + [(2, 0, None), (2, 1, 0), (2, 2, 0), (2, 3, 2), (2, 4, 99), (2, 5, 4)]
+    df = spark.createDataFrame(rows, "article_id long, section_id int, parent_section_id int")
+    got = {(r.article_id, r.section_id): (r.depth, r.root, r.path) for r in section_paths(df).collect()}
+    assert len(got) == len(rows) and got[1, 39] == (39, 0, list(range(40)))
+    assert got[2, 3] == (2, 0, [0, 2, 3]) and got[2, 4] == (0, 4, [4]) and got[2, 5] == (1, 4, [4, 5]) and got[2, 0] == (0, 0, [0])
+    assert section_paths(df.limit(0)).count() == 0
+    ring = spark.createDataFrame([(1, 0, 1), (1, 1, 0)], "article_id long, section_id int, parent_section_id int")
+    with pytest.raises(ValueError):
+        section_paths(ring)
