@@ -247,7 +247,8 @@ ORACLES = {
       9 + length(c_name) AS end_pos, 'b' AS format, NULL AS link FROM a
       UNION ALL SELECT title, 1, 19 + length(c_name), 19 + length(c_name) + length(n_name), 'a', './' || n_name FROM a""",
     "link_filter": f"{_A} SELECT title, './' || n_name AS link FROM a",
-    "boilerplate_removed": f"{_A} SELECT title, 8 + 4 * n AS sections, 0::BIGINT AS boilerplate FROM a",
+    "boilerplate_removed": f"""{_A}, h AS ({_HTML}) SELECT title, 8 + 4 * n AS sections, 0::BIGINT AS boilerplate,
+      len(string_split(html, 'id="References"')) - 1 AS in_html FROM a JOIN h USING (title)""",
     "section_children": f"""{_S} SELECT p.title, p.section_id, p.tag, count(*) AS children, max(x.section_id) AS last_child
       FROM s p JOIN s x ON x.title = p.title AND x.parent = p.section_id GROUP BY ALL""",
     "section_id_contiguity": f"{_A} SELECT title, 8 + 4 * n AS sections, TRUE AS contiguous FROM a",

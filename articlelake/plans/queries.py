@@ -289,10 +289,13 @@ def link_filter(spark, d):
 
 
 def boilerplate_removed(spark, d):
-    return _parsed(spark, d).groupBy("title").agg(
+    """Boilerplate sections in the HTML of each article, and in its stored sections."""
+    marked = F.size(F.regexp_extract_all("html", F.lit('id="References"'), F.lit(0))).cast("bigint")
+    left = _parsed(spark, d).groupBy("title").agg(
         F.count(F.lit(1)).alias("sections"),
         F.count_if(F.col("text").contains("removed in") | F.col("text").contains("References")).alias("boilerplate"),
     )
+    return left.join(corpus.articles(spark, d).select("title", marked.alias("in_html")), "title")
 
 
 def section_children(spark, d):
