@@ -196,6 +196,10 @@ def token_counts(sample: DataFrame) -> DataFrame:
     return tokens.groupBy("half", "token").agg(F.sum("_label").alias("toxic"), F.sum(1 - F.col("_label")).alias("clean"))
 
 
+# Log-odds that a token needs besides: a rate among toxic documents e times that among clean ones.
+LEAST_ODDS = 1.0
+
+
 def learn_tokens(counted: DataFrame) -> ToxicityModel:
     """Uncalibrated model from ``counted(token, toxic, clean)``; at most four times LEXICON rows are collected.
 
@@ -208,7 +212,7 @@ def learn_tokens(counted: DataFrame) -> ToxicityModel:
     prior = (t + c) * (PRIOR_TOKENS / max(1, toxic + clean)) + PRIOR_FLOOR
     delta = F.log((t + prior) / (toxic + PRIOR_TOKENS - t - prior)) - F.log((c + prior) / (clean + PRIOR_TOKENS - c - prior))
     scored = tokens.where("toxic >= 3").withColumn("z", delta / F.sqrt(1 / (t + prior) + 1 / (c + prior)))
-    kept = scored.where(F.col("z") >= SIGNIFICANT_Z).orderBy(F.desc("z"), "token").limit(4 * LEXICON)
+    kept = scored.withColumn("delta", delta).where((F.col("z") >= SIGNIFICANT_Z) & (F.col("delta") >= LEAST_ODDS)).orderBy(F.desc("z"), "token").limit(4 * LEXICON)
     return build([tuple(r) for r in kept.select("token", "toxic", "clean").collect()], toxic, clean)
 
 
