@@ -189,6 +189,7 @@ ORACLES = {
       WHERE dump_file_id % 2 = 0""",
     "article_lines": _FILE_LINES,
     "packed_article_lines": _FILE_LINES,
+    "article_lines_by_offset": _FILE_LINES,
     "lines_per_file": f"{_A} SELECT file_name, count(*) AS lines FROM a GROUP BY file_name",
     "article_lines_by_id": f"{_R} SELECT id AS article_id, title FROM art WHERE redirect IS NOT NULL AND id IS NOT NULL",
     "ingest_high_water": f"""{_A}, e AS (SELECT * FROM a WHERE {_EARLIER})

@@ -12,7 +12,7 @@ from ..functions import chunks
 from ..functions.folding import fold_title
 from ..operators import checks, dates, detail, events, ingest, search, sections
 from ..session import scratch_path, stage
-from ..sources import archive, lines as src
+from ..sources import archive, lines as src, offsets
 from ..sources.store import Store
 from ..streaming.ingest import ingest_stream
 from . import corpus, flows
@@ -114,6 +114,14 @@ def article_lines_by_id(spark, d):
     return found.select("article_id", F.get_json_object("value", "$.name").alias("title"))
 
 
+def article_lines_by_offset(spark, d):
+    """The line of every article, from byte ranges of its file."""
+    folder, catalog = corpus.dump_folder(spark, d), _file_catalog(spark, d)
+    index = stage(offsets.line_offsets(spark, folder, catalog, packed=True), "offsets")
+    wanted = src.read_lines(spark, folder, catalog, packed=True).select("dump_file_id", "dump_idx")
+    return _named(offsets.read_lines_by_offset(spark, folder, catalog, index, wanted, packed=True))
+
+
 def ingest_high_water(spark, d):
     return src.high_water(_earlier_run(spark, d))
 
@@ -547,7 +555,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        dump_catalog_upsert, article_lines, packed_article_lines, lines_per_file, article_lines_by_id,
+        dump_catalog_upsert, article_lines, packed_article_lines, lines_per_file, article_lines_by_id, article_lines_by_offset,
         ingest_high_water, pending_files, resume_lines, read_pending_lines, article_rows, rejected_lines, article_dedup, redirect_aliases,
         article_redirect_target, article_description, dash_normalise, new_titles_only, ingest_resumed, stream_ingest,
         text_chunks, section_full_text, document_chunks_roundtrip, unparsed_sections, mark_sections_parsed,

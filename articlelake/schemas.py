@@ -13,6 +13,12 @@ DUMP_FILE = "id bigint, file_name string, size bigint, modified timestamp"
 # Lines of each part that the stream has ingested.
 DUMP_PART = "file_name string, file_path string, lines bigint"
 
+# Bytes of each stretch of lines of a physical file.
+LINE_OFFSET = (
+    "dump_file_id bigint, file_name string, file_path string, file_size bigint, modified timestamp, "
+    "stretch bigint, first_idx bigint, lines bigint, start bigint, stop bigint"
+)
+
 ARTICLE = (
     "id bigint, title string, title_srch string, description string, `update` timestamp, "
     "dump_file_id bigint, dump_idx bigint, url string, redirect string, no_dates boolean, "
@@ -45,6 +51,7 @@ ARTICLE_TITLE = ARTICLE
 TABLES = {
     "dump_file": DUMP_FILE,
     "dump_part": DUMP_PART,
+    "line_offset": LINE_OFFSET,
     "article": ARTICLE,
     "article_title": ARTICLE_TITLE,
     "article_section": ARTICLE_SECTION,
@@ -74,6 +81,7 @@ BUCKETED = {
 PRIMARY_KEYS = {
     "dump_file": ("id",),
     "dump_part": ("file_path",),
+    "line_offset": ("dump_file_id", "stretch", "file_path"),
     "article": ("id",),
     "article_title": ("id",),
     "article_section": ("article_id", "section_id"),

@@ -81,11 +81,14 @@ def mark_lines(text: DataFrame, packed: bool = False) -> DataFrame:
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.col("_metadata.file_modification_time").alias("written"),
+        F.col("_metadata.file_size").alias("file_size"),
         "value",
     )
 
 
-def number_lines(marked: DataFrame, catalog: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+def number_lines(
+    marked: DataFrame, catalog: DataFrame, earlier: DataFrame | None = None, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """``(dump_file_id, file_name, dump_idx, value)``: 0-based line number within each dump file.
 
     Pass one counts lines per scan split (the text column is pruned away); the counts are
@@ -96,6 +99,7 @@ def number_lines(marked: DataFrame, catalog: DataFrame, earlier: DataFrame | Non
 
     ``earlier(file_name, lines)`` says how many lines of a file came before (in parts that are not
     scanned); its numbers go on from there. Files that the catalog does not name are left out.
+    ``keep`` names columns of ``marked`` to pass on.
     Both passes must see the same splits. Should the layout differ after all (see
     ``spark.sql.files.minPartitionNum``), the query fails instead of misnumbering.
     """
@@ -142,6 +146,7 @@ def number_lines(marked: DataFrame, catalog: DataFrame, earlier: DataFrame | Non
             "file_name",
             F.when((at >= 0) & (at < F.col("n")), F.col("before") + at).otherwise(misread.cast("bigint")).alias("dump_idx"),
             "value",
+            *keep,
         )
         result = lines if result is None else result.unionByName(lines)
     return result

@@ -1,5 +1,7 @@
+import gzip
 import io
 import json
+import os
 import tarfile
 from datetime import datetime
 
@@ -9,8 +11,10 @@ from pyspark.sql import functions as F
 from articlelake.operators import detail, events, ingest, sections
 from articlelake.plans import corpus
 from articlelake.schemas import TABLES
+from articlelake.session import stage
 from articlelake.sources import archive
 from articlelake.sources import lines as src
+from articlelake.sources import offsets
 from articlelake.sources.store import Store
 from articlelake.streaming.ingest import ingest_stream
 
@@ -502,3 +506,90 @@ def test_corpus_files_hold_the_corpus(spark, sf):
     folder = corpus.dump_folder(spark, sf)
     assert src.scan_lines(spark, folder, packed=True).count() == corpus.lines(spark, sf).count()
     assert sections.article_pages(corpus.lines(spark, sf)).count() == corpus.lines(spark, sf).count()
+
+
+def keyed(rows):
+    return sorted((r.dump_file_id, r.file_name, r.dump_idx, r.value) for r in rows.collect())
+
+
+def catalog_of(spark, folder):
+    return stage(src.upsert_catalog(src.empty_catalog(spark), src.list_files(spark, folder)), "catalog")
+
+
+def indexed(spark, folder, catalog):
+    return stage(offsets.line_offsets(spark, folder, catalog), "offsets")
+
+
+@pytest.fixture
+def odd_dumps(dumps):
+    """Beside the three dumps: no last line end, carriage returns and wide letters, a mark of byte order, a compressed file, nothing."""
+    with open(f"{dumps}/e0.ndjson", "w", newline="") as out:
+        out.write("\n".join(f"Zürich {i} \U0001f600\r" for i in range(130)) + "\n\nlast")
+    with open(f"{dumps}/e1.ndjson", "wb") as out:
+        out.write(b"\xef\xbb\xbf" + b"marked\n" * 70)
+    with gzip.open(f"{dumps}/e2.ndjson.gz", "wt") as out:
+        out.write("".join(f"packed {i}\n" for i in range(100)))
+    with open(f"{dumps}/a name+with %20 signs.ndjson", "w") as out:
+        out.write("one\ntwo\n")
+    open(f"{dumps}/e3.ndjson", "w").close()
+    return dumps
+
+
+def test_lines_by_offset_equal_the_scan(spark, odd_dumps):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        catalog = catalog_of(spark, odd_dumps)
+        index = indexed(spark, odd_dumps, catalog)
+        every = stage(src.read_lines(spark, odd_dumps, catalog), "every")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    names = {r.file_name.split(".")[0] for r in index.select("file_name").distinct().collect()}
+    assert {"d0", "d1", "d2", "e0"} <= names and not names & {"e1", "e2", "e3"}
+    got = offsets.read_lines_by_offset(spark, odd_dumps, catalog, index, every)
+    assert keyed(got) == keyed(every)
+    wanted = every.where("dump_idx % 61 = 0").unionByName(every.where("dump_idx % 61 = 0"))
+    assert keyed(offsets.read_lines_by_offset(spark, odd_dumps, catalog, index, wanted)) == keyed(every.where("dump_idx % 61 = 0"))
+
+
+def test_one_line_reads_one_stretch_of_one_file(spark, dumps, tmp_path):
+    catalog = catalog_of(spark, dumps)
+    index = indexed(spark, dumps, catalog)
+    kept = index.where("stretch = 3 and file_name = 'd1.ndjson'")
+    bounds = kept.first()
+    file = f"{dumps}/d1.ndjson"
+    before, info = open(file, "rb").read(), os.stat(file)
+    # Every byte outside the stretch is spoilt: nothing may depend on it.
+    spoilt = b"?" * bounds.start + before[bounds.start : bounds.stop] + b"?" * (len(before) - bounds.stop)
+    open(file, "wb").write(spoilt)
+    os.utime(file, ns=(info.st_atime_ns, info.st_mtime_ns))
+    wanted = spark.createDataFrame([(2, 200), (2, None), (None, 3), (2, 10**9)], "dump_file_id bigint, dump_idx bigint")
+    rows = offsets.read_lines_by_offset(spark, dumps, catalog, index, wanted.where("dump_idx = 200 or dump_idx is null")).collect()
+    assert [(r.article_id, r.dump_idx, json.loads(r.value)["name"]) for r in rows] == [((2 << 32) + 200, 200, "1/200")]
+    assert offsets.read_lines_by_offset(spark, dumps, catalog, index, wanted.where("dump_idx > 1000")).count() == 0
+
+
+def test_changed_files_are_scanned(spark, dumps):
+    catalog = catalog_of(spark, dumps)
+    index = indexed(spark, dumps, catalog)
+    with open(f"{dumps}/d0.ndjson", "w") as out:
+        out.write("".join(f"new {i}\n" for i in range(20)))
+    every = src.read_lines(spark, dumps, catalog)
+    wanted = every.select("dump_file_id", "dump_idx", F.lit("x").alias("stretch"), F.lit(1).alias("lines"))
+    assert keyed(offsets.read_lines_by_offset(spark, dumps, catalog, index, wanted)) == keyed(every)
+
+
+def test_offsets_of_nothing(spark, dumps):
+    none = src.empty_catalog(spark)
+    index = indexed(spark, dumps, none)
+    assert index.count() == 0
+    nothing = spark.createDataFrame([], "dump_file_id bigint, dump_idx bigint")
+    assert offsets.read_lines_by_offset(spark, dumps, none, index, nothing).count() == 0
+
+
+def test_offsets_go_into_the_store(spark, dumps, tmp_path):
+    catalog, store = catalog_of(spark, dumps), Store(spark, str(tmp_path / "store"))
+    store.replace("line_offset", offsets.line_offsets(spark, dumps, catalog))
+    every = src.read_lines(spark, dumps, catalog)
+    assert keyed(offsets.read_lines_by_offset(spark, dumps, catalog, store.read("line_offset"), every)) == keyed(every)
