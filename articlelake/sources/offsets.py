@@ -16,6 +16,8 @@ from .lines import number_lines, read_lines_at, scan_lines
 
 # Lines between two offsets: what is read for one wanted line.
 STRETCH_LINES = 64
+# Bytes that one task reads.
+RANGE_BYTES = 128 << 20
 
 _FOUND = "dump_file_id bigint, file_name string, dump_idx bigint, raw binary"
 _ARROW = pa.schema([("dump_file_id", pa.int64()), ("file_name", pa.string()), ("dump_idx", pa.int64()), ("raw", pa.binary())])
@@ -109,19 +111,23 @@ def read_lines_by_offset(
     """
     keys = articles.where("dump_idx is not null and dump_file_id is not null").select("dump_file_id", "dump_idx").distinct()
     keys = keys.withColumn("stretch", F.call_function("div", "dump_idx", F.lit(STRETCH_LINES)))
-    held = keys.join(offsets, ["dump_file_id", "stretch"])
     inside = (F.col("dump_idx") >= F.col("first_idx")) & (F.col("dump_idx") < F.col("first_idx") + F.col("lines"))
-    place = ["dump_file_id", "file_name", "file_path", "file_size", "modified", "first_idx", "lines", "start", "stop"]
-    ranges = held.where(inside).groupBy(*place).agg(F.sort_array(F.collect_list("dump_idx")).alias("wanted"))
-    ranges = stage(unchanged(spark, path, ranges), "line-ranges")
-    # One file's ranges follow each other in a task, which opens it once; a large file's are read by many.
-    spread = ranges.repartitionByRange("plain_path", "start").sortWithinPartitions("plain_path", "start")
-    read = spread.mapInArrow(_read_ranges, _FOUND).select(
+    held = keys.join(unchanged(spark, path, offsets), ["dump_file_id", "stretch"]).where(inside).drop("stretch")
+    # One row for each stretch; positions without one are gathered by stretch, too.
+    placed = keys.join(held, ["dump_file_id", "dump_idx"], "left")
+    place = [c for c in held.columns if c != "dump_idx"]
+    ranges = stage(placed.groupBy("stretch", *place).agg(F.sort_array(F.collect_list("dump_idx")).alias("wanted")), "line-ranges")
+    total = ranges.agg(F.coalesce(F.sum(F.col("stop") - F.col("start")), F.lit(0)).alias("bytes"), F.count_if(F.col("plain_path").isNull()).alias("rest")).first()
+    # The rows are small, but what they stand for is not: tasks are counted by the bytes to read.
+    tasks = total.bytes // RANGE_BYTES + 1
+    found = ranges.where("plain_path is not null")
+    spread = found.coalesce(1) if tasks == 1 else found.repartitionByRange(tasks, "plain_path", "start")
+    # One file's ranges follow each other in a task, which opens it once.
+    read = spread.sortWithinPartitions("plain_path", "start").mapInArrow(_read_ranges, _FOUND).select(
         article_id(F.col("dump_file_id"), F.col("dump_idx")).alias("article_id"),
         "dump_file_id", "file_name", "dump_idx", F.col("raw").cast("string").alias("value"),
     )
-    done = ranges.select("dump_file_id", F.explode("wanted").alias("dump_idx"))
-    rest = stage(keys.join(done, ["dump_file_id", "dump_idx"], "left_anti"), "lines-to-scan")
-    if not rest.take(1):
+    if not total.rest:
         return read
+    rest = ranges.where("plain_path is null").select("dump_file_id", F.explode("wanted").alias("dump_idx"))
     return read.unionByName(read_lines_at(spark, path, catalog, rest, packed))
