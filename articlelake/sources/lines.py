@@ -11,8 +11,8 @@ from ..session import numbered, stage
 
 # Split offsets broadcast at once: about 150 bytes each.
 SPLITS_A_SHARE = 200_000
-# Lines of a file that one row of wanted positions stands for.
-CHUNK_LINES = 1 << 15
+# Lines of a file that one row of wanted positions stands for: the bits of a long, as a power of two.
+MASK_BITS = 6
 
 
 def list_files(spark: SparkSession, path, packed: bool = False) -> DataFrame:
@@ -208,22 +208,18 @@ def resume_lines(lines: DataFrame, articles: DataFrame) -> DataFrame:
 def wanted_lines(lines: DataFrame, keys: DataFrame) -> DataFrame:
     """Lines whose position is in ``keys(dump_file_id, dump_idx)``.
 
-    Positions are gathered into runs of neighbours, one row for each stretch of CHUNK_LINES lines
-    of a file. "All", "none" and "the rest of a file" are a few bytes a stretch, so the planner
-    can broadcast them against the scan and the text stays where it is.
+    Positions are gathered into bit masks, one row for each stretch of 64 lines of a file. A line meets one
+    row at most and tests one bit of it, so the time does not depend on how many lines of its file are wanted, or
+    how they lie. The rows are narrow; where they are few, the planner broadcasts them against the scan and the
+    text stays where it is.
     """
-    chunk = F.call_function("div", "dump_idx", F.lit(CHUNK_LINES))
-    own = keys.select("dump_file_id", "dump_idx", chunk.alias("chunk")).distinct()
-    order = Window.partitionBy("dump_file_id", "chunk").orderBy("dump_idx")
-    island = own.withColumn("island", F.col("dump_idx") - F.row_number().over(order))
-    runs = island.groupBy("dump_file_id", "chunk", "island").agg(F.min("dump_idx").alias("low"), F.max("dump_idx").alias("high"))
-    stretches = runs.groupBy("dump_file_id", "chunk").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
-    stretches = stage(stretches, "wanted-lines")
-    # Runs are disjoint, so a wanted line meets one. The test stands in a generator of its own: merged into the join,
-    # a lambda that sees columns of both sides is bound to one of them when the lines are the smaller side.
-    met = F.filter("runs", lambda r: F.col("dump_idx").between(r["low"], r["high"]))
-    joined = lines.withColumn("chunk", chunk).join(stretches, ["dump_file_id", "chunk"])
-    return joined.select(*lines.columns, F.explode_outer(met).alias("_run")).where("_run is not null").drop("_run")
+    # Shifts and masks round negative positions down, too, where a division would not.
+    stretch = F.shiftright("dump_idx", MASK_BITS)
+    bit = f"cast(dump_idx & {(1 << MASK_BITS) - 1} as int)"
+    masks = keys.groupBy("dump_file_id", stretch.alias("_stretch")).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("_mask"))
+    masks = stage(masks, "wanted-lines")
+    joined = lines.withColumn("_stretch", stretch).join(masks, ["dump_file_id", "_stretch"])
+    return joined.where(F.expr(f"(shiftright(_mask, {bit}) & 1) = 1")).select(*lines.columns)
 
 
 def lines_at(lines: DataFrame, articles: DataFrame) -> DataFrame:

@@ -122,6 +122,18 @@ def test_wanted_lines(spark):
         assert got.select("dump_file_id", "dump_idx").exceptAll(keys).count() == 0
 
 
+def test_wanted_lines_test_one_mask(spark, monkeypatch):
+    """What a line is compared with does not grow with the wanted lines of its file; positions may be negative or NULL."""
+    staged = []
+    monkeypatch.setattr(src, "stage", lambda df, label: staged.append(stage(df, label)) or staged[-1])
+    lines = spark.range(-200, 20_000).selectExpr("1L as dump_file_id", "'f' as file_name", "nullif(id, 7) as dump_idx", "'x' as value")
+    keys = lines.where("dump_idx % 3 = 0 or dump_idx is null").select("dump_file_id", "dump_idx")
+    got = src.wanted_lines(lines, keys)
+    assert {t for _, t in staged[0].dtypes} == {"bigint"} and staged[0].count() < 330
+    assert got.select("dump_idx").exceptAll(keys.where("dump_idx is not null").select("dump_idx")).count() == 0
+    assert got.count() == keys.where("dump_idx is not null").count()
+
+
 def test_catalog_upsert_keeps_ids(spark, dumps):
     listed = src.list_files(spark, dumps)
     known = spark.createDataFrame([(7, "d1.ndjson", 1, NOW)], TABLES["dump_file"] if "dump_file" in TABLES else "")
