@@ -189,7 +189,7 @@ def articles_of_older_rules(spark, d):
 
 def _from_files(spark, d) -> tuple[str, DataFrame, DataFrame]:
     """Dump folder, its catalog, and the articles that its lines give."""
-    folder = corpus.dump_folder(spark, d)
+    folder = corpus.dump_folder(spark, d, compress=True)
     listed = src.list_files(spark, folder, packed=True)
     catalog = stage(src.upsert_catalog(src.empty_catalog(spark), listed), "catalog")
     return folder, catalog, ingest.ingest(src.read_lines(spark, folder, catalog, packed=True), None, AS_OF)

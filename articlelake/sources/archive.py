@@ -6,7 +6,7 @@ import tarfile
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .lines import read_lines
@@ -80,14 +80,16 @@ def only_new_files(lines: DataFrame, known: DataFrame) -> DataFrame:
     return lines.join(names, "file_name", "left_anti")
 
 
-def write_files(lines: DataFrame, path: str, compress: bool = False, mode: str = "append") -> None:
+def write_files(lines: DataFrame, path: str, compress: bool = False, mode: str = "append", value: Column | None = None) -> None:
     """One folder ``file_name=<name>`` per dump file, lines in ``dump_idx`` order.
 
     Lines are range partitioned, so a very large file becomes several consecutive parts
-    written by several tasks; part numbers keep the line order.
+    written by several tasks; part numbers keep the line order. ``value`` makes the text of a line from the
+    columns of ``lines`` where it is written, so that only those columns are shuffled and sorted.
     """
     ordered = lines.repartitionByRange("file_name", "dump_idx").sortWithinPartitions("file_name", "dump_idx")
-    writer = ordered.select("file_name", "value").write.mode(mode).partitionBy("file_name")
+    text = F.col("value") if value is None else value.alias("value")
+    writer = ordered.select("file_name", text).write.mode(mode).partitionBy("file_name")
     if compress:
         writer = writer.option("compression", "gzip")
     writer.text(path)
@@ -105,6 +107,6 @@ def unpack(spark: SparkSession, archives: str, target: str, known: DataFrame | N
     )
 
 
-def pack(lines: DataFrame, target: str) -> None:
-    """Compress each dump file; originals stay."""
-    write_files(lines, target, compress=True)
+def pack(lines: DataFrame, target: str, value: Column | None = None) -> None:
+    """Compress each dump file; originals stay. ``value`` as in :func:`write_files`."""
+    write_files(lines, target, compress=True, value=value)

@@ -134,6 +134,27 @@ def test_wanted_lines_test_one_mask(spark, monkeypatch):
     assert got.count() == keys.where("dump_idx is not null").count()
 
 
+def test_lines_are_made_where_they_are_written(spark, tmp_path):
+    """Only what a line is made of is shuffled; plain and packed files hold the same lines in the same order."""
+    rows = spark.range(900).selectExpr("1L as dump_file_id", "concat('f', id % 3) as file_name", "899 - id as dump_idx", "id as n")
+    text = F.concat(F.lit("line "), F.col("n").cast("string"))
+    archive.write_files(rows, str(tmp_path / "plain"), value=text)
+    archive.pack(rows, str(tmp_path / "packed"), text)
+    expected = sorted((f"f{i % 3}", 899 - i, f"line {i}") for i in range(900))
+    for folder in ("plain", "packed"):
+        listed = src.list_files(spark, str(tmp_path / folder), packed=True)
+        catalog = src.upsert_catalog(src.empty_catalog(spark), listed)
+        got = src.read_lines(spark, str(tmp_path / folder), catalog, packed=True).select("file_name", "dump_idx", "value").collect()
+        by_file = {f: [t for n, _, t in expected if n == f] for f in ("f0", "f1", "f2")}
+        assert sorted((r.file_name, r.dump_idx, r.value) for r in got) == sorted((f, i, t) for f, ts in by_file.items() for i, t in enumerate(ts))
+
+
+def test_packed_dumps_hold_the_same_lines(spark, sf):
+    plain, packed = (spark.read.schema("value string, file_name string").text(corpus.dump_folder(spark, sf, compress=c)) for c in (False, True))
+    assert packed.count() == corpus.lines(spark, sf).count() and all(f.endswith(".gz") for f in packed.inputFiles())
+    assert packed.exceptAll(plain).count() == 0
+
+
 def test_catalog_upsert_keeps_ids(spark, dumps):
     listed = src.list_files(spark, dumps)
     known = spark.createDataFrame([(7, "d1.ndjson", 1, NOW)], TABLES["dump_file"] if "dump_file" in TABLES else "")
