@@ -15,10 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, encoded, fold, labelled_rows
+from .common import CHUNK_BYTES, discard, encoded, fold, labelled_rows, staged
 
 BUCKETS = 1 << 16
 REPEAT, FRESH = BUCKETS, BUCKETS + 1
@@ -26,6 +27,8 @@ DIM = 8
 WORD_WEIGHT = 4.0
 # Sample bound of the fit: rows per label.
 TRAIN_ROWS = 2500
+# Shares in which the vectors of the sample come to the driver.
+FETCHES = 8
 
 _SPREAD = {2: np.uint32(2654435761), 3: np.uint32(2246822519), 4: np.uint32(3266489917)}
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -228,9 +231,17 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2) -> Qu
         lists = [pa.ListArray.from_arrays(ends, pa.array(v, t)) for v, t in zip(flat, (pa.int32(), pa.float32()))]
         return pa.StructArray.from_arrays(lists, ["kinds", "mass"])
 
-    seen = rows.select("doc_id", "_label", vectors("text").alias("v")).select("doc_id", "_label", "v.*").toArrow().sort_by("doc_id")
-    lists = [[x.values.to_numpy() for x in seen[c]] for c in ("kinds", "mass")]
-    return train_vectors(list(zip(*lists)), seen["_label"].to_numpy(), share)
+    found = staged(rows.select("doc_id", "_label", vectors("text").alias("v")).select("doc_id", "_label", "v.*"), "quality-vectors")
+    # Share by share, so that the driver's JVM passes on a few megabytes at a time and Python holds the vectors once.
+    share_of = F.pmod(F.xxhash64("doc_id"), F.lit(FETCHES))
+    seen = pa.concat_tables([found.where(share_of == i).toArrow() for i in range(FETCHES)])
+    discard(found)
+    order = pc.sort_indices(seen, [("doc_id", "ascending")]).to_numpy()
+    kinds, mass = [[x.values.to_numpy() for x in seen[c]] for c in ("kinds", "mass")]
+    model = train_vectors([(kinds[i], mass[i]) for i in order], seen["_label"].to_numpy()[order], share)
+    del seen, kinds, mass
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.7) -> DataFrame:
