@@ -1,9 +1,13 @@
 """Golden rows for the HTML walk, worked out by hand from the rules."""
 
+import random
+import re
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from articlelake.operators import sections
 from articlelake.operators.sections import BODY_JSON, _Soup, article_section_ext_text, parse_articles, parse_sections, walk
 
 
@@ -284,3 +288,20 @@ def test_section_paths(spark):
     ring = spark.createDataFrame([(1, 0, 1), (1, 1, 0)], "article_id long, section_id int, parent_section_id int")
     with pytest.raises(ValueError):
         section_paths(ring)
+
+
+def test_runs_of_plain_tags_read_like_single_ones(monkeypatch):
+    """Taking a run of plainly written tags apart in one call gives the nodes that the tokenizer's handlers give."""
+    rng = random.Random(11)
+    pieces = ["<p>", "</p>", "<b>", "</b>", '<a href="./x">', "</a>", "<br>", "<br/>", "<div/>", "<rt>", "</rt>", "<template>", "</template>", "<pre>", "</pre>",
+              "<ul>", "<li>", "</ul>", '<td colspan="2">', "<table>", "</table>", " ", "\n", " \n ", "word", "&amp;", "<!-- c -->", "<title>t</title>", "</x>", "<"]
+    pages = ["".join(rng.choices(pieces, k=rng.randint(1, 40))) for _ in range(3000)]
+    for implied in (False, True):
+        soup = sections._Soup(implied)
+        handled = []
+        monkeypatch.setattr(sections._Soup, "handle_starttag", lambda self, tag, attrs, call=sections._Soup.handle_starttag: (handled.append(tag), call(self, tag, attrs))[1])
+        assert soup.read("<body><p>one <b>two</b></p><br></body>") and not handled
+        found = [soup.read(page) for page in pages]
+        with monkeypatch.context() as patch:
+            patch.setattr(sections, "_PLAIN", re.compile(r"(?!)"))
+            assert found == [soup.read(page) for page in pages]
