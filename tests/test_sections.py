@@ -305,3 +305,72 @@ def test_runs_of_plain_tags_read_like_single_ones(monkeypatch):
         with monkeypatch.context() as patch:
             patch.setattr(sections, "_PLAIN", re.compile(r"(?!)"))
             assert found == [soup.read(page) for page in pages]
+
+
+def columns_of(page, extra=()):
+    """What the one-loop path gives for a page: (sections, spans), or None where it leaves the page to the tokenizer."""
+    out = sections._Columns()
+    found = sections._walk_plain(page, "T", sections._actions(frozenset(extra)), {}, out)
+    assert found or out.size() == (0, 0)
+    return (out.sections, out.spans) if found else None
+
+
+def columns_of_walk(page, extra=()):
+    out = sections._Columns()
+    out.extend(run(page, wrap=False, extra_containers=extra))
+    return out.sections, out.spans
+
+
+def test_pages_of_plain_tags_need_no_tokenizer(spark, sf, monkeypatch):
+    from articlelake.plans import corpus
+
+    page = corpus.articles(spark, sf).orderBy("c").first().html.replace("\N{EN DASH}", "-")
+    expected = columns_of_walk(page)
+    monkeypatch.setattr(sections._Soup, "read", None)
+    assert columns_of(page) == expected
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<section><p>a</p><section><p>b<b>c</b></p><h2 id=\"References\">R</h2><p>d</p></section><p>e</p></section>",
+        "<p>a<section>x<table><tr><td>b<i>c</i><p id=\"Citations\">d</p></td></tr></table></section>f<u>g</u></p>",
+        "<table><tr><td rowspan=\"2\">a</td><section><td>b</td><h3 id=\"Citations\">c</h3></section><th>d</th></tr></table>",
+        "<section><h2><section>a</section>b</h2><figure>c<p id=\"Bibliography\">d</p></figure></section><p>e</p>",
+        "<ul><li>a<b>b<ul><li>c</b>d</li></ul></ul>e</p><p/><hr/>f",
+        "<p>a<a href=\"./A\"></a><b> \n</b>x<span>\xa0y\x0b</span></p><caption>c<p>d</p></caption>",
+    ],
+)
+def test_plain_pages_give_what_the_walk_gives(body):
+    page = f"<html><head><title>T</title></head><body>{body}</body></html>\n"
+    assert columns_of(page) == columns_of_walk(page)
+    assert columns_of(page, ("figure",)) == columns_of_walk(page, ("figure",))
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<p>a&amp;b</p>", "<p>a<!-- b --></p>", "<p>a > b</p>", "<p>a < b</p>", "<P>a</P>", "<p\0>a</p>", "<script>a</script>", "<pre> </pre>",
+        "<title>a<b>b</b></title>", "<p a=b>c</p>", "<section><p id=\"Citations\">a</p></section><p id=\"Citations\">b</p>",
+        "<h2>a<section><p id=\"Citations\">b</p></section></h2>", "<div>" * 300 + "</p>",
+    ],
+)
+def test_other_pages_are_left_to_the_tokenizer(body):
+    assert columns_of(f"<body>{body}</body>") is None
+    assert columns_of(f"<section><body id=\"Citations\">{body}</body></section>") is None
+    assert columns_of("<body><p>a") is None
+    assert columns_of("a>p<b") is None
+
+
+_PARTS = st.sampled_from(
+    ["x", " ", " y\n", "<p>", "</p>", "<b>", "</b>", "<section>", "</section>", "<li>", "</li>", "<table>", "</table>", "<tr>", "</tr>",
+     "<td>", "</td>", "<h2 id=\"References\">", "<h2>", "</h2>", "<nav>", "</nav>", "<a href=\"./A\">", "</a>", "<br>", "<p id=\"Citations\"/>", "<body>", "</body>"]
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(_PARTS, max_size=40))
+def test_one_loop_equals_tokenizer_and_walk(parts):
+    page = f"<html><body>{''.join(parts)}</body></html>"
+    found = columns_of(page)
+    assert found is None or found == columns_of_walk(page)
