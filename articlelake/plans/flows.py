@@ -221,8 +221,11 @@ def stored_detail(spark, d):
     folder, catalog, articles = _from_files(spark, d)
     articles = articles.withColumn("err", F.when(F.col("redirect").isNull(), "UP_TO_DATE").otherwise("NEW_DUMP"))
     store = Store(spark, scratch_path(spark, "shelf"))
-    for name, rows in before_refresh(spark, stage(articles, "article")).items():
-        store.replace(name, rows)
+    store.replace("article", articles)
+    # The stored rows are what the other tables are made from: no copy of them beside the store.
+    for name, rows in before_refresh(spark, store.read("article")).items():
+        if name != "article":
+            store.replace(name, rows)
     ids = [r.id for r in store.read("article").where("dump_file_id = 1").orderBy("id").limit(40).select("id").collect()]
     bundles = detail.stored_detail(store, folder, catalog, AS_OF, ids, packed=True)
     return bundles.select("title", "err", F.size("article_section").cast("bigint").alias("sections"))

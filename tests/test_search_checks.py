@@ -154,3 +154,12 @@ def test_checks(spark):
     assert {tuple(r) for r in checks.table_counts({"p": parent, "c": child}).collect()} == {("p", 2), ("c", 4)}
     stored = spark.createDataFrame([(1, "x" * 501, "d" * 3)], "id int, display_text string, date_text string")
     assert checks.stored_length_violations("parsed_event", stored, ["id"]).first().column_name == "display_text"
+
+
+def test_stored_detail_keeps_no_copy_beside_the_store(spark, sf, monkeypatch):
+    from articlelake.plans import flows
+
+    staged, stage = [], flows.stage
+    monkeypatch.setattr(flows, "stage", lambda df, label: staged.append(label) or stage(df, label))
+    assert flows.stored_detail(spark, sf).count() == 40
+    assert staged == ["catalog"]
