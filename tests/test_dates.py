@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from articlelake.functions import calendar as cal
-from articlelake.functions.mentions import find_mentions, with_mention_op
+from articlelake.functions.mentions import HINT, find_mentions, with_mention_op
 from articlelake.operators.events import scan_mentions
 from articlelake.operators.dates import apply_op, resolve_dates
 
@@ -332,3 +332,19 @@ def test_composed_forms(spark):
 @pytest.mark.parametrize("text", ["5-3 May 1990", "30-32 May 1990", "June to May 1990", "13 pm", "12:60 pm", "early 1995s", "29-30 February 1990"])
 def test_composed_failures(spark, text):
     assert ops(spark, text) == [("fail", None, None, None)]
+
+
+def test_the_scan_matches_a_text_once(spark):
+    text = "K7 of 1990, \x01 May 5 to 3 days later. Sept 2nd, 2001\x01the next day; 1990/91 or AD 12x"
+    df = spark.createDataFrame([(text,)], "t string").select(find_mentions(F.col("t")).alias("m"))
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert (plan.count("regexp_replace("), plan.count("regexp_extract_all(")) == (1, 0)
+    found = [(m.date_text, text[m.start_pos : m.end_pos]) for m in df.first().m]
+    assert [m for m, _ in found] == ["1990", "May 5", "3 days later", "Sept 2nd, 2001", "the next day", "1990/91"]
+    assert all(a == b for a, b in found)
+
+
+def test_digits_inside_of_words_are_not_scanned(spark):
+    texts = {"K1990": False, "A1 B22_3": False, "no date": False, "mid-1990s": True, "AD 5": True, "(1990)": True, "the next day": True}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert {r.t: r.hint for r in df.select("t", F.col("t").rlike(HINT).alias("hint")).collect()} == texts
