@@ -239,7 +239,8 @@ def stored_violations(spark, d):
     lines = corpus.lines(spark, d)
     tables = detail.parse_into_tables(lines)
     parsed = tables.pop("parsed")
-    tables["parsed_event"] = events.parsed_events(events.scan_mentions(parsed))
+    # Scanned once: several constraints read the events.
+    tables["parsed_event"] = stage(events.parsed_events(events.scan_mentions(parsed)), "events")
     tables["article"] = stage(ingest.ingest(lines, None, AS_OF), "article")
     spans = tables["article_section_format"]
     headings = tables["article_section"].where("section_id = 0 and article_id % 5 = 0")

@@ -163,3 +163,26 @@ def test_stored_detail_keeps_no_copy_beside_the_store(spark, sf, monkeypatch):
     monkeypatch.setattr(flows, "stage", lambda df, label: staged.append(label) or stage(df, label))
     assert flows.stored_detail(spark, sf).count() == 40
     assert staged == ["catalog"]
+
+
+def test_stored_violations_scans_the_sections_once(spark, tmp_path):
+    from articlelake.plans.flows import stored_violations
+
+    tables = {
+        "nation": ([(1, "PERU")], "n_nationkey int, n_name string"),
+        "customer": ([(4, "Customer#000000004", 1, "AUTO")], "c_custkey long, c_name string, c_nationkey int, c_mktsegment string"),
+        "orders": (
+            [(k, 4, "O", "1-URGENT", "1995-03-04") for k in range(1, 9)],
+            "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate string",
+        ),
+    }
+    for name, (rows, schema) in tables.items():
+        df = spark.createDataFrame(rows, schema)
+        if name == "orders":
+            df = df.withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    found = stored_violations(spark, str(tmp_path))
+    assert "regexp_replace(" not in found._jdf.queryExecution().analyzed().toString()
+    counts = {(r.table_name, r.kind): r.n for r in found.collect()}
+    assert counts["article_section", "repeated key"] == 1 and counts["article_section_format", "no parent"] == 1
+    assert counts["parsed_event", "no parent"] == 0
