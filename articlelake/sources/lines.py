@@ -205,6 +205,14 @@ def resume_lines(lines: DataFrame, articles: DataFrame) -> DataFrame:
     )
 
 
+def position_masks(keys: DataFrame) -> DataFrame:
+    """``(dump_file_id, _stretch, _mask)``: the positions of ``keys(dump_file_id, dump_idx)``, one bit for each."""
+    # Shifts and masks round negative positions down, too, where a division would not.
+    stretch = F.shiftright("dump_idx", MASK_BITS)
+    bit = F.expr(f"shiftleft(1L, cast(dump_idx & {(1 << MASK_BITS) - 1} as int))")
+    return keys.groupBy("dump_file_id", stretch.alias("_stretch")).agg(F.bit_or(bit).alias("_mask"))
+
+
 def wanted_lines(lines: DataFrame, keys: DataFrame) -> DataFrame:
     """Lines whose position is in ``keys(dump_file_id, dump_idx)``.
 
@@ -213,12 +221,9 @@ def wanted_lines(lines: DataFrame, keys: DataFrame) -> DataFrame:
     how they lie. The rows are narrow; where they are few, the planner broadcasts them against the scan and the
     text stays where it is.
     """
-    # Shifts and masks round negative positions down, too, where a division would not.
-    stretch = F.shiftright("dump_idx", MASK_BITS)
+    masks = stage(position_masks(keys), "wanted-lines")
     bit = f"cast(dump_idx & {(1 << MASK_BITS) - 1} as int)"
-    masks = keys.groupBy("dump_file_id", stretch.alias("_stretch")).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("_mask"))
-    masks = stage(masks, "wanted-lines")
-    joined = lines.withColumn("_stretch", stretch).join(masks, ["dump_file_id", "_stretch"])
+    joined = lines.withColumn("_stretch", F.shiftright("dump_idx", MASK_BITS)).join(masks, ["dump_file_id", "_stretch"])
     return joined.where(F.expr(f"(shiftright(_mask, {bit}) & 1) = 1")).select(*lines.columns)
 
 

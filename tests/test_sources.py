@@ -626,3 +626,66 @@ def test_offsets_go_into_the_store(spark, dumps, tmp_path):
     store.replace("line_offset", offsets.line_offsets(spark, dumps, catalog))
     every = src.read_lines(spark, dumps, catalog)
     assert keyed(offsets.read_lines_by_offset(spark, dumps, catalog, store.read("line_offset"), every)) == keyed(every)
+
+
+def packed_text(folder):
+    return sum(os.path.getsize(os.path.join(at, f)) for at, _, files in os.walk(folder) for f in files if f.endswith(".txt.gz"))
+
+
+def odd_lines(spark):
+    """Names that Spark escapes, empty and null lines, wide letters, repeated numbers, files of one line and of many members."""
+    rows = [(1, "a name+with %20:signs/é.ndjson", i, None if i == 5 else "" if i % 9 == 0 else f"Zürich {i} \U0001f600\r") for i in range(300)]
+    rows += [(2, "one", 0, "only")] + [(3, "twice", i // 2, "same") for i in range(130)]
+    return spark.createDataFrame(rows, "dump_file_id bigint, file_name string, dump_idx bigint, value string")
+
+
+def test_members_are_read_by_their_ranges(spark, tmp_path):
+    plain, target = str(tmp_path / "plain"), str(tmp_path / "members")
+    archive.write_files(odd_lines(spark), plain)
+    archive.pack(odd_lines(spark), target, ranged=True)
+    catalog = stage(src.upsert_catalog(src.empty_catalog(spark), src.list_files(spark, target, packed=True)), "catalog")
+    every = src.read_lines(spark, target, catalog, packed=True)
+    assert keyed(every) == keyed(src.read_lines(spark, plain, catalog, packed=True))
+    index = stage(offsets.line_offsets(spark, target, catalog, packed=True), "offsets")
+    rows = index.collect()
+    # Every line lies in a member that has offsets; the ranges make up the files.
+    assert sum(r.lines for r in rows) == every.count() == 431 and max(r.lines for r in rows) == 64
+    assert sum(r.stop - r.start for r in rows) == packed_text(target)
+    assert keyed(offsets.read_lines_by_offset(spark, target, catalog, index, every, packed=True)) == keyed(every)
+    some = every.where("dump_idx % 63 = 0").unionByName(every.where("dump_idx % 63 = 0"))
+    assert keyed(offsets.read_lines_by_offset(spark, target, catalog, index, some, packed=True)) == keyed(every.where("dump_idx % 63 = 0"))
+
+
+def test_members_of_other_writers(spark, tmp_path):
+    """Members that begin in the middle of a stretch are indexed; those that do not hold whole lines, or too many, are not."""
+    texts = {
+        "short": [b"".join(b"%d\n" % i for i in range(n)) for n in (10, 64, 1, 60)] + [b"", b"last"],
+        "torn": [b"a\nb", b"c\n"],
+        "long": [b"x\n" * 65],
+        "marked": [b"\xef\xbb\xbfx\n", b"y\n"],
+    }
+    for name, members in texts.items():
+        (tmp_path / f"{name}.gz").write_bytes(b"".join(gzip.compress(m) for m in members))
+    catalog = catalog_of(spark, str(tmp_path))
+    index = indexed(spark, str(tmp_path), catalog)
+    assert sorted((r.file_name, r.first_idx, r.lines) for r in index.collect()) == [
+        ("short.gz", 0, 10), ("short.gz", 10, 64), ("short.gz", 74, 1), ("short.gz", 75, 60), ("short.gz", 135, 1)
+    ]
+    every = src.read_lines(spark, str(tmp_path), catalog)
+    assert keyed(offsets.read_lines_by_offset(spark, str(tmp_path), catalog, index, every)) == keyed(every)
+    one = every.where("file_name = 'short.gz' and dump_idx in (70, 74, 75)")
+    assert keyed(offsets.read_lines_by_offset(spark, str(tmp_path), catalog, index, one)) == keyed(one)
+
+
+def test_lines_by_offset_are_not_stored_plain(spark, sf):
+    folder = corpus.dump_folder(spark, sf, ranged=True)
+    catalog = stage(src.upsert_catalog(src.empty_catalog(spark), src.list_files(spark, folder, packed=True)), "catalog")
+    index = offsets.line_offsets(spark, folder, catalog, packed=True)
+    lines = src.read_lines(spark, folder, catalog, packed=True)
+    assert index.agg(F.sum("lines")).first()[0] == lines.count() == corpus.lines(spark, sf).count()
+    assert packed_text(folder) * 5 < lines.agg(F.sum(F.octet_length("value"))).first()[0]
+
+
+def test_members_of_nothing(spark, tmp_path):
+    archive.pack(odd_lines(spark).limit(0), str(tmp_path / "none"), ranged=True)
+    assert src.list_files(spark, str(tmp_path / "none"), packed=True).count() == 0
