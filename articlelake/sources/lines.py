@@ -13,6 +13,8 @@ from ..session import numbered, stage
 SPLITS_A_SHARE = 200_000
 # Lines of a file that one row of wanted positions stands for: the bits of a long, as a power of two.
 MASK_BITS = 6
+# Rows of wanted positions that are broadcast, about 100 bytes each in memory: of 64 million lines, if all are wanted.
+MASKS_BROADCAST = 1 << 20
 
 
 def list_files(spark: SparkSession, path, packed: bool = False) -> DataFrame:
@@ -218,10 +220,12 @@ def wanted_lines(lines: DataFrame, keys: DataFrame) -> DataFrame:
 
     Positions are gathered into bit masks, one row for each stretch of 64 lines of a file. A line meets one
     row at most and tests one bit of it, so the time does not depend on how many lines of its file are wanted, or
-    how they lie. The rows are narrow; where they are few, the planner broadcasts them against the scan and the
-    text stays where it is.
+    how they lie. The rows are narrow; up to MASKS_BROADCAST of them are broadcast against the scan and the text stays
+    where it is. The planner's own limit is meant for either side of a join: past it, all lines would be shuffled.
     """
     masks = stage(position_masks(keys), "wanted-lines")
+    if masks.count() <= MASKS_BROADCAST:
+        masks = F.broadcast(masks)
     bit = f"cast(dump_idx & {(1 << MASK_BITS) - 1} as int)"
     joined = lines.withColumn("_stretch", F.shiftright("dump_idx", MASK_BITS)).join(masks, ["dump_file_id", "_stretch"])
     return joined.where(F.expr(f"(shiftright(_mask, {bit}) & 1) = 1")).select(*lines.columns)

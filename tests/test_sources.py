@@ -689,3 +689,17 @@ def test_lines_by_offset_are_not_stored_plain(spark, sf):
 def test_members_of_nothing(spark, tmp_path):
     archive.pack(odd_lines(spark).limit(0), str(tmp_path / "none"), ranged=True)
     assert src.list_files(spark, str(tmp_path / "none"), packed=True).count() == 0
+
+
+def test_text_stays_where_it_is_when_many_lines_are_wanted(spark, dumps):
+    """Wanted positions beyond the planner's limit for broadcasts, as of a large dump, must not get all lines shuffled."""
+    lines = numbered(spark, dumps)
+    keys = lines.where("dump_idx % 3 = 0").select("dump_file_id", "dump_idx")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        found = src.wanted_lines(lines, keys)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+        assert found.count() == keys.count() > 500
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
