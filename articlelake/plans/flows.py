@@ -23,7 +23,7 @@ def stream_ingest_parts(spark, d):
     """Every dump file arrives in two parts, the second after the first was ingested."""
     store, folder, offsets = Store(spark, scratch_path(spark, "stream")), scratch_path(spark, "arriving"), scratch_path(spark, "offsets")
     for half in ("dump_idx % 200 < 100", "dump_idx % 200 >= 100"):
-        archive.write_files(corpus.lines(spark, d).where(half), folder)
+        archive.write_files(corpus.pages(spark, d).where(half), folder, compress=True, value=corpus.document())
         ingest_stream(spark, folder, store, offsets, AS_OF, packed=True).awaitTermination()
     return store.read("article").where("dump_file_id is not null").select("id", "title")
 

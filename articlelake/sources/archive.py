@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import made_folder
+from ..session import made_folder, shuffles_deleted
 from .lines import read_lines
 from .offsets import STRETCH_LINES, located
 
@@ -101,7 +101,8 @@ def write_files(lines: DataFrame, path: str, compress: bool = False, mode: str =
     writer = _ordered(lines, value).write.mode(mode).partitionBy("file_name")
     if compress:
         writer = writer.option("compression", "gzip")
-    writer.text(path)
+    with shuffles_deleted(lines.sparkSession):
+        writer.text(path)
 
 
 def _folder_name(file_name: str | None) -> str:

@@ -6,6 +6,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from articlelake.operators import events
+from articlelake.plans import flows
 from articlelake.schemas import TABLES
 from articlelake.session import scratch_root, stage
 from articlelake.sources.store import Store, lie_together
@@ -66,3 +67,13 @@ def test_staged_rows_that_lie_together(spark):
     mixed, sorted_ = stage(rows, "mixed"), stage(rows.repartitionByRange(4, "article_id"), "sorted")
     assert lie_together(mixed, "parsed_event") == (set(range(20)), False)
     assert lie_together(sorted_, "parsed_event") == (set(range(20)), True)
+
+
+def test_arriving_parts_are_packed(spark, sf):
+    seen = len(staged(spark, "arriving"))
+    flows.stream_ingest_parts(spark, sf)
+    folders = [f"{top}/{f}" for top, names, _ in os.walk(scratch_root(spark)) for f in names if f.startswith("arriving-")]
+    assert len(folders) == seen + 1
+    newest = max(folders, key=os.path.getmtime)
+    parts = [name for _, _, names in os.walk(newest) for name in names if name.startswith("part-")]
+    assert parts and all(name.endswith(".txt.gz") for name in parts)
