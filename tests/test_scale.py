@@ -5,7 +5,9 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from articlelake.functions.folding import fold_letter, fold_title
 from articlelake.operators import events
+from articlelake.operators.search import search_titles_loosely
 from articlelake.plans import flows
 from articlelake.schemas import TABLES
 from articlelake.session import scratch_root, stage
@@ -77,3 +79,16 @@ def test_arriving_parts_are_packed(spark, sf):
     newest = max(folders, key=os.path.getmtime)
     parts = [name for _, _, names in os.walk(newest) for name in names if name.startswith("part-")]
     assert parts and all(name.endswith(".txt.gz") for name in parts)
+
+
+def test_long_titles_are_folded_in_one_pass(spark):
+    """Letters that become several are replaced kind by kind, not looked up letter by letter; marks take no pattern."""
+    text = "Straße Œuvre É Á ﬁ ё ИЙй ا آ Æther Á ñ 𐞃 カ" * 400
+    df = spark.createDataFrame([(1, text), (2, "ß"), (3, "plain A"), (4, ""), (5, None)], "n int, t string").withColumn("f", fold_title(F.col("t")))
+    plan = df._jdf.queryExecution().toString()
+    assert "regexp_replace" not in plan and "try_element_at" not in plan
+    got = {r.n: r.f for r in df.collect()}
+    assert got[1] == "strasse oeuvre e a fi е ийй ا آ aether a n ʙ か".replace("ʙ", fold_letter("𐞃")) * 400
+    assert [got[n] for n in (2, 3, 4, 5)] == ["ss", "plain a", "", None]
+    part = spark.createDataFrame([(1, "Éa"), (2, "EA"), (3, "É")], "n int, t string").withColumn("title_srch", fold_title(F.col("t")))
+    assert {r.n for r in search_titles_loosely(part, "éA").collect()} == {1, 2}
