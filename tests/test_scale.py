@@ -6,7 +6,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from articlelake.functions.folding import fold_letter, fold_title
-from articlelake.operators import events
+from articlelake.operators import detail, events
 from articlelake.operators.search import search_titles_loosely
 from articlelake.plans import flows
 from articlelake.schemas import TABLES
@@ -92,3 +92,23 @@ def test_long_titles_are_folded_in_one_pass(spark):
     assert [got[n] for n in (2, 3, 4, 5)] == ["ss", "plain a", "", None]
     part = spark.createDataFrame([(1, "Éa"), (2, "EA"), (3, "É")], "n int, t string").withColumn("title_srch", fold_title(F.col("t")))
     assert {r.n for r in search_titles_loosely(part, "éA").collect()} == {1, 2}
+
+
+def test_article_detail_gathers_all_tables_at_once(spark):
+    tables = {name: spark.createDataFrame([], TABLES[name]) for name in TABLES}
+    ids = [(1 << 32) + i for i in range(3)]
+    article = [(i, f"T{i}", None, None, None, 1, k, None, None, None, None, None) for k, i in enumerate(ids)]
+    alias = (-5, "alias", None, None, None, None, None, None, "T", None, None, None)
+    tables["article"] = spark.createDataFrame([*article, alias], TABLES["article"])
+    rows = [section(ids[0], 1, "b"), section(ids[0], 0, "a"), section(ids[1], 0, "c"), section(None, 0, "x"), section(-5, 0, "y")]
+    tables["article_section"] = spark.createDataFrame(rows, TABLES["article_section"])
+    tables["article_section_format"] = spark.createDataFrame([(ids[1], 0, 1, 5, 6, "b", None), (ids[1], 0, 0, 1, 2, "a", "l")], TABLES["article_section_format"])
+    bundles = detail.article_detail(tables)
+    assert bundles.columns == [*tables["article"].columns, "article_section", "article_section_ext_text", "article_section_format", "parsed_event"]
+    plan = bundles._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and plan.count("Aggregate [") == 1
+    got = {r.id: r for r in bundles.collect()}
+    assert set(got) == set(ids)
+    assert [(s.section_id, s.text) for s in got[ids[0]].article_section] == [(0, "a"), (1, "b")] and got[ids[0]].article_section_format is None
+    assert [(s.ord, s.format, s.link) for s in got[ids[1]].article_section_format] == [(0, "a", "l"), (1, "b", None)]
+    assert got[ids[2]].article_section is None and got[ids[2]].parsed_event is None and got[ids[2]].article_section_ext_text is None
